@@ -55,7 +55,7 @@ def _(v):
     "SignalID, Phase:int, CycleStart, StartTimeStamp, EndTimeStamp, EventCode:int, ~Duration, ~TimeInCycle", "SELECT * FROM gyr",
 )
 def _(v):
-    return E.phase_intervals(v.event_log_day())
+    return E.phase_intervals(v.stored_day())
 
 
 @query(
@@ -67,7 +67,7 @@ def _(v):
 
 @query("e06_volume_by_phase", "SignalID, Phase:int, PhaseStart, EventCode:int, CycleStart, ~Duration, Volume:bigint", "SELECT * FROM cycles")
 def _(v):
-    log = v.event_log_day()
+    log = v.stored_day()
     spans = E.phase_intervals(log)
     hits = E.attribute_detections(spans, E.detector_pairs(log, E.count_detector_flag(v.det_config())))
     return E.volume_by_phase(spans, hits)
@@ -79,7 +79,7 @@ def _(v):
     "SELECT * FROM cycles",
 )
 def _(v):
-    return E.etl(v.event_log_day(), E.count_detector_flag(v.det_config()))[0]
+    return E.etl(v.stored_day(), E.count_detector_flag(v.det_config()))[0]
 
 
 @query(
@@ -88,7 +88,7 @@ def _(v):
     "SELECT * FROM detections",
 )
 def _(v):
-    return E.etl(v.event_log_day(), E.count_detector_flag(v.det_config()))[1]
+    return E.etl(v.stored_day(), E.count_detector_flag(v.det_config()))[1]
 
 
 @query(
@@ -238,7 +238,7 @@ def _(v):
       (SELECT SignalID, Date, Phase, count(*) AS n FROM detections GROUP BY ALL) USING (SignalID, Date, Phase)""",
 )
 def _(v):
-    tables = event_tables(v.event_log_day(), v.det_config())
+    tables = event_tables(v.stored_day(), v.det_config())
     key = ["SignalID", "Date", "Phase"]
     c = tables["cycles"].groupBy(*key).agg(F.count_if(F.col("EventCode") == 1).alias("greens"), F.sum("Volume").alias("vehicles"))
     d = tables["detections"].groupBy(*key).agg(F.count("*").alias("n"))

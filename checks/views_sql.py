@@ -119,7 +119,7 @@ def filtered(counts: str, config: str, step: int, limits: tuple) -> str:
               - interval {step} minute, interval {step} minute)) AS t
               FROM (SELECT DISTINCT cast(Timeperiod as date) AS d FROM {counts} WHERE CallPhase IS NOT NULL)) t) g
       FULL JOIN (SELECT * FROM {counts} WHERE CallPhase IS NOT NULL) c
-      ON g.SignalID = c.SignalID AND g.Timeperiod = c.Timeperiod AND g.Detector = c.Detector AND g.CallPhase = c.CallPhase)))
+      ON g.SignalID = c.SignalID AND g.Timeperiod = c.Timeperiod AND g.Detector = c.Detector AND g.CallPhase = c.CallPhase))
     WINDOW o AS (PARTITION BY SignalID, Date, CallPhase, Detector ORDER BY Timeperiod))))
     WINDOW d AS (PARTITION BY SignalID, Date, CallPhase, Detector))))"""
 
@@ -167,10 +167,10 @@ VIEWS: dict[str, str] = {
     "corridors": """SELECT cast(n_nationkey as varchar) AS SignalID, 'GROUP_' || (n_regionkey % 2) AS Zone_Group,
       'ZONE_' || (n_regionkey % 2) AS Zone, r_name AS Corridor, r_name || '-' || (n_nationkey // 5 % 2) AS Subcorridor,
       n_name || ' @ ' || r_name AS Name, n_nationkey || ': ' || n_name || ' @ ' || r_name AS Description,
-      date '2024-01-01' AS Asof, CASE WHEN n_nationkey % 6 <> 5 THEN 33.0::double + n_nationkey / 100 END AS Latitude,
+      date '2024-01-01' AS "Asof", CASE WHEN n_nationkey % 6 <> 5 THEN 33.0::double + n_nationkey / 100 END AS Latitude,
       CASE WHEN n_nationkey % 6 <> 5 THEN -84.0::double - n_nationkey / 100 END AS Longitude
       FROM nation JOIN region ON n_regionkey = r_regionkey""",
-    "subcorridors": """SELECT Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor, SignalID, Name, Description, Asof,
+    "subcorridors": """SELECT Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor, SignalID, Name, Description, "Asof",
       Latitude, Longitude FROM corridors WHERE Subcorridor IS NOT NULL""",
     "inputs": "SELECT cast(n_nationkey as varchar) AS SignalID, cast(unnest(range(1, 9)) as int) AS Detector FROM nation",
     "det_config": """SELECT *, CASE WHEN CallPhase IN (2, 6) THEN 'Mainline' ELSE 'Side' END AS ApproachDesc, 'Vehicle' AS LaneTypeDesc
@@ -216,6 +216,10 @@ VIEWS: dict[str, str] = {
     "filtered_1h": filtered("counts_1h", "det_config", 60, (1, 2, 1, 2, 12, 5)),
     "filtered_15": filtered("counts_15", "det_config", 15, (1, 2, 1, 2, 50, 20)),
     "adjusted_1h": adjusted("filtered_1h"),
+    "filtered_sel": """SELECT f.* FROM filtered_1h f SEMI JOIN (SELECT * FROM (SELECT *, min(CountPriority) OVER
+      (PARTITION BY SignalID, CallPhase) AS least FROM det_config) WHERE CountPriority = least) k
+      ON f.SignalID = k.SignalID AND f.Detector = k.Detector AND f.CallPhase = k.CallPhase""",
+    "adjusted_sel": adjusted("filtered_sel"),
     # Events.
     "cycle_starts": """SELECT DISTINCT SignalID, Date, Timestamp AS CycleStart FROM event_log_day
       WHERE EventCode = 31 AND EventParam = 1""",

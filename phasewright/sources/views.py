@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phasewright.functions.calendar import NTZ, week
-from phasewright.session import configure
+from phasewright.operators.events import count_detector_flag, etl
+from phasewright.session import configure, stage
 
 DAY_ZERO = "2024-01-01"
 DAY_ZERO_MICROS = 1_704_067_200_000_000
@@ -83,6 +84,16 @@ class Views:
         pressed = F.lit(DAY_ZERO_MICROS) + F.floor((us - DAY_ZERO_MICROS) / 30)
         return self._coded(5, F.timestamp_micros(pressed.cast("bigint")).cast(NTZ)).distinct()
 
+    def stored_day(self) -> DataFrame:
+        """The one-day log as a stored table, as a pipeline would find it."""
+        return stage(self.event_log_day())
+
+    def stored_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The one-day log with its stored cycle and detection tables."""
+        log = self.stored_day()
+        cycles, detections = etl(log, count_detector_flag(self.det_config()))
+        return log, stage(cycles), detections
+
     # Configuration --------------------------------------------------------------------------
 
     def corridors(self) -> DataFrame:
