@@ -49,9 +49,15 @@ def _(v):
     return _filtered(v)
 
 
-@query("c03_filter_counts_15min", FILTER_COLS, "SELECT * FROM filtered_15")
+@query(
+    "c03_filter_counts_15min", "SignalID, Date, Detector:int, Good_Day:int, flat_strk:int, mean_abs_delta:int, periods:bigint, ~total",
+    """SELECT SignalID, Date, Detector, Good_Day, flat_strk, mean_abs_delta, count(*) AS periods, sum(vol) AS total
+    FROM filtered_15 GROUP BY ALL""",
+)
 def _(v):
-    return C.filter_counts(C.counts(v.event_log(), v.det_config(), minutes=15), v.det_config(), LOW_QUARTER)
+    quarter = C.filter_counts(C.counts(v.event_log(), v.det_config(), minutes=15), v.det_config(), LOW_QUARTER)
+    day = ["SignalID", "Date", "Detector", "Good_Day", "flat_strk", "mean_abs_delta"]
+    return quarter.groupBy(*day).agg(F.count("*").alias("periods"), F.sum("vol").alias("total"))
 
 
 @query("c04_adjust_counts", "SignalID, CallPhase:int, Detector:int, Timeperiod, vol:int, Date", "SELECT * FROM adjusted_1h")

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phasewright.functions.calendar import week
 from phasewright.operators.runs import complete_seen, zero_streak_id
@@ -89,7 +90,7 @@ def regularized_gamma(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def gamma_cdf(shape: pd.Series, x: pd.Series) -> pd.Series:
     return pd.Series(regularized_gamma(shape.to_numpy(float), x.to_numpy(float)))
 
