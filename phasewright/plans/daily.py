@@ -105,13 +105,13 @@ def run_counts(spark, events: DataFrame, config: DataFrame, ped_config: DataFram
     first = count_tables(events, config, ped_config)
     S.write_days(first["counts_1hr"], f"{base}/counts_1hr")
     S.write_days(first["counts_15min"], f"{base}/counts_15min")
-    hour = S.read_table(spark, f"{base}/counts_1hr").drop("date", "Date")
-    quarter = S.read_table(spark, f"{base}/counts_15min").drop("date", "Date")
+    hour = S.read_table(spark, f"{base}/counts_1hr").drop("Date")
+    quarter = S.read_table(spark, f"{base}/counts_15min").drop("Date")
     days = events.select("Date").distinct()
     for name, counted, limits in (("1hr", hour, C.HOURLY), ("15min", quarter, C.QUARTER_HOURLY)):
         todays = counted.withColumn("Date", F.to_date("Timeperiod")).join(days, "Date", "left_semi").drop("Date")
         S.write_days(C.filter_counts(todays, config, limits), f"{base}/filtered_counts_{name}")
-    filtered = S.read_table(spark, f"{base}/filtered_counts_1hr").drop("date").join(days, "Date", "left_semi")
+    filtered = S.read_table(spark, f"{base}/filtered_counts_1hr").join(days, "Date", "left_semi")
     S.write_days(M.bad_detectors(filtered), f"{base}/bad_detectors")
     S.write_days(A.daily_detector_uptime(filtered), f"{base}/detector_uptime_pd")
     for name in ("comm_uptime", "counts_ped_1hr", "counts_ped_15min", "ped_actuations_pd", "ped_actuations_ph"):
@@ -121,5 +121,5 @@ def run_counts(spark, events: DataFrame, config: DataFrame, ped_config: DataFram
 def run_events(spark, events: DataFrame, config: DataFrame, base: str) -> None:
     """The event job: cycles and detections are stored, then measured from the store."""
     store(event_tables(events, config), base)
-    stored = [S.read_table(spark, f"{base}/{t}").drop("date") for t in ("cycles", "detections")]
+    stored = [S.read_table(spark, f"{base}/{t}") for t in ("cycles", "detections")]
     store(event_measures(events, *stored, config), base)

@@ -38,8 +38,7 @@ def read_table(
         df = df.where(day >= F.lit(start).cast("date"))
     if end is not None:
         df = df.where(day <= F.lit(end).cast("date"))
-    df = df.withColumn("Date", day) if "date" in df.columns else df
-    df = df.drop(*[c for c in df.columns if c.startswith("__")])
+    df = df.withColumnRenamed("date", "Date").drop(*[c for c in df.columns if c.startswith("__")])
     if midweek_only:
         df = df.where(is_midweek("Date"))
     df = only_signals(df, signals)
@@ -88,7 +87,7 @@ def config_reader(spark: SparkSession, base: str, folder: str, schema: T.StructT
     dated = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
 
     def read(start, end=None) -> DataFrame:
-        return read_table(spark, f"{base}/{folder}", start=start, end=end or start, schema=dated).drop("date")
+        return read_table(spark, f"{base}/{folder}", start=start, end=end or start, schema=dated)
 
     return read
 
@@ -131,7 +130,8 @@ def write_days(df: DataFrame, base: str, *, day: str = "Date", per_day_files: in
     rebalance splits large days and joins small ones. Running it again leaves the
     table unchanged.
     """
-    keyed = df.withColumn("date", F.col(day).cast("date")).withColumn("SignalID", F.col("SignalID").cast("string")).drop(day)
+    keyed = df.select(*[c for c in df.columns if c != day], F.col(day).cast("date").alias("date"))
+    keyed = keyed.withColumn("SignalID", F.col("SignalID").cast("string"))
     spread = keyed.repartition(per_day_files, "date", "SignalID") if per_day_files else keyed.hint("rebalance", "date")
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(base)
 
