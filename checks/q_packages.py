@@ -16,6 +16,7 @@ from phasewright.operators import measures as M
 from phasewright.operators import rollups as A
 from phasewright.plans import packages as P
 from phasewright.schemas import METRICS
+from phasewright.session import stage
 
 
 def sub(sql: str) -> str:
@@ -37,12 +38,12 @@ HR = "Zone_Group, Corridor, Hour, ~{v}, ~delta"
 
 @query("p01_detector_uptime_week", WK.format(v="uptime"), rollup(sub(weekly_avg(f"(SELECT *, {week('Date')} AS Week FROM ({DDU}))", "uptime", '"all"')), "Date", "uptime", '"all"'))
 def _(v):
-    return P.detector_uptime(ddu(v).withColumn("Week", X.week("Date")), v.corridors())["cor_wk_du"]
+    return P.detector_uptime(stage(ddu(v).withColumn("Week", X.week("Date"))), v.corridors())["cor_wk_du"]
 
 
 @query("p01_detector_uptime_day_subcorridor", "Zone_Group, Corridor, Date, ~uptime_sb, ~uptime_pr, ~uptime", _three("Date", f"({AVG_DDU})", False).replace("JOIN corridors h", "JOIN subcorridors h"))
 def _(v):
-    return P.detector_uptime(ddu(v).withColumn("Week", X.week("Date")), v.corridors())["sub_dy_du"]
+    return P.detector_uptime(stage(ddu(v).withColumn("Week", X.week("Date"))), v.corridors())["sub_dy_du"]
 
 
 _PAU = f"(SELECT SignalID, Detector AS CallPhase, Date, {week('Date')} AS Week, uptime, 1 AS ones FROM ({_PED_UP}))"
@@ -94,7 +95,7 @@ _PED_DAILY = f"(SELECT SignalID, 0 AS CallPhase, Date, {week('Date')} AS Week, A
 @query("p04_ped_delay_week", WK.format(v="pd"), rollup(sub(weekly_avg(_PED_DAILY, "pd", "Events")), "Date", "pd", "Events"))
 def _(v):
     daily = M.ped_delay(v.event_log().where("EventCode <> 132"), max_free=30000)
-    return P.ped_delay(daily, v.corridors())["cor_wk_pd"]
+    return P.ped_delay(stage(daily), v.corridors())["cor_wk_pd"]
 
 
 _CU = f"""(SELECT AssetNum AS SignalID, 0 AS CallPhase, Date, {week('Date')} AS Week, AvgQuality / 100 AS uptime, 1 AS ones FROM comm_quality q
@@ -226,7 +227,7 @@ _TINT = f"(SELECT SignalID, 0 AS CallPhase, Date, {week('Date')} AS Week, tint,
 
 @query("p14_time_in_transition_week", WK.format(v="tint"), rollup(f"(SELECT * EXCLUDE (ones) FROM ({weekly_avg(_TINT, 'tint', 'ones')}))", "Date", "tint"))
 def _(v):
-    return P.time_in_transition(M.time_in_transition(v.event_log()), v.corridors())["cor_wk_tint"]
+    return P.time_in_transition(stage(M.time_in_transition(v.event_log())), v.corridors())["cor_wk_tint"]
 
 
 _DELAY = named(HOURS, "delay", "vol")

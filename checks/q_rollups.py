@@ -12,6 +12,7 @@ from phasewright.operators import rollups as A
 from phasewright.operators import runs as R
 from phasewright.plans import packages as P
 from phasewright.schemas import Metric
+from phasewright.session import stage
 
 S = "SignalID"
 
@@ -363,7 +364,7 @@ _DAILY_P = f"(SELECT *, 0 AS CallPhase, {week('Date')} AS Week FROM {_DAILY})"
 
 def _bundle(v):
     daily = A.daily_avg(v.daily_measure(), "value", "weight").withColumn("CallPhase", F.lit(0)).withColumn("Week", X.week("Date"))
-    return A.aggregate(METRIC, daily, v.corridors(), K.subcorridor_view(v.corridors()))
+    return A.aggregate_plans(METRIC, stage(daily), v.corridors(), K.subcorridor_view(v.corridors()))
 
 
 _AGG_MO = monthly_avg(_DAILY_P)
@@ -376,12 +377,12 @@ _AGG_SUB_MO = rollup("(" + _AGG_MO + ")", "Month", "value", "weight", level="sub
     signal_rows(_AGG_WK, rollup("(" + _AGG_WK + ")", "Date", "value", "weight"), "Date", "value"),
 )
 def _(v):
-    return _bundle(v)["sig_wk_m"]
+    return _bundle(v)["sig_wk_m"]()
 
 
 @query("a28_aggregate_subcorridor_month", COR_COLS.format(p="Month"), _AGG_SUB_MO)
 def _(v):
-    return _bundle(v)["sub_mo_m"]
+    return _bundle(v)["sub_mo_m"]()
 
 
 @query(
@@ -389,7 +390,7 @@ def _(v):
     quarterly(_AGG_SUB_MO, "value", "avg(value)"),
 )
 def _(v):
-    return _bundle(v)["sub_qu_m"]
+    return _bundle(v)["sub_qu_m"]()
 
 
 # Detector uptime ------------------------------------------------------------------------------
@@ -437,7 +438,7 @@ def _three(per: str, src: str, weighted: bool) -> str:
 
 @query("a31_corridor_daily_detector_uptime", "Zone_Group, Corridor, Date, ~uptime_sb, ~uptime_pr, ~uptime", _three("Date", f"({AVG_DDU})", False))
 def _(v):
-    return A.corridor_daily_detector_uptime(A.avg_daily_detector_uptime(ddu(v)), v.corridors())
+    return A.corridor_daily_detector_uptime(stage(A.avg_daily_detector_uptime(ddu(v))), v.corridors())
 
 
 @query(
@@ -445,7 +446,7 @@ def _(v):
     _three("Month", f"(SELECT *, {month('Date')} AS Month FROM ({AVG_DDU}))", True),
 )
 def _(v):
-    return A.corridor_monthly_detector_uptime(A.avg_daily_detector_uptime(ddu(v)), v.corridors())
+    return A.corridor_monthly_detector_uptime(stage(A.avg_daily_detector_uptime(ddu(v))), v.corridors())
 
 
 _FLASH = f"(SELECT SignalID, {month('Date')} AS Date, 0 AS CallPhase, count(*) AS flash FROM daily_measure GROUP BY ALL)"

@@ -7,6 +7,9 @@ windows over an entity are as long as the report.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, partial
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -341,27 +344,37 @@ def corridor_monthly_detector_uptime(avg: DataFrame, corridors: DataFrame) -> Da
 # Descriptor-driven --------------------------------------------------------------------------
 
 
-def aggregate(metric, daily: DataFrame, corridors: DataFrame, subcorridors: DataFrame) -> dict[str, DataFrame]:
-    """All levels and periods of a measure, keyed ``{level}_{period}_{table}``.
+def aggregate_plans(metric, daily: DataFrame, corridors: DataFrame, subcorridors: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """All levels and periods of a measure as functions, keyed ``{level}_{period}_{table}``.
 
-    The frames are plans over ``daily``; a caller that writes them all should persist
-    or store ``daily`` first.
+    ``daily`` should be a stored table: every result is planned from it on its own.
     """
-    var, wt = metric.variable, metric.weight
-    by_signal = {
-        "dy": (daily, "Date"),
-        "wk": (weekly_avg(daily, var, wt, peak_only=metric.peak_only), "Date"),
-        "mo": (monthly_avg(daily, var, wt or ONES, peak_only=metric.peak_only), "Month"),
+    var, wt, peak_only = metric.variable, metric.weight, metric.peak_only
+    signals = {
+        "dy": (lambda: daily, "Date"),
+        "wk": (cache(lambda: weekly_avg(daily, var, wt, peak_only=peak_only)), "Date"),
+        "mo": (cache(lambda: monthly_avg(daily, var, wt or ONES, peak_only=peak_only)), "Month"),
     }
-    out: dict[str, DataFrame] = {}
-    for per, (frame, period) in by_signal.items():
-        roll = corridor_by_date if period == "Date" else corridor_by_month
-        cor, sub = roll(frame, corridors, var, wt), roll(frame, subcorridors, var, wt)
-        sig = signal_rows(frame.withColumn("delta", F.col("delta") if "delta" in frame.columns else F.lit(None).cast("double")), cor, corridors)
-        out[f"cor_{per}_{metric.table}"], out[f"sub_{per}_{metric.table}"] = cor, sub
-        out[f"sig_{per}_{metric.table}"] = sig.select("Zone_Group", "Corridor", period, var, "delta").where("Zone_Group is not null")
-    for level in ("sig", "sub", "cor"):
-        out[f"{level}_qu_{metric.table}"] = quarterly(out[f"{level}_mo_{metric.table}"], var)
-    return out
+    plans: dict[str, Callable[[], DataFrame]] = {}
+
+    def level(hierarchy, frame, period):
+        return (corridor_by_date if period == "Date" else corridor_by_month)(frame(), hierarchy, var, wt)
 
+    def signal(frame, cor, period):
+        rows = frame()
+        rows = rows if "delta" in rows.columns else rows.withColumn("delta", F.lit(None).cast("double"))
+        return signal_rows(rows, cor(), corridors).select("Zone_Group", "Corridor", period, var, "delta").where("Zone_Group is not null")
 
+    for per, (frame, period) in signals.items():
+        cor = cache(partial(level, corridors, frame, period))
+        plans[f"cor_{per}_{metric.table}"] = cor
+        plans[f"sub_{per}_{metric.table}"] = partial(level, subcorridors, frame, period)
+        plans[f"sig_{per}_{metric.table}"] = partial(signal, frame, cor, period)
+    for name in ("sig", "sub", "cor"):
+        plans[f"{name}_qu_{metric.table}"] = lambda n=name: quarterly(plans[f"{n}_mo_{metric.table}"](), var)
+    return plans
+
+
+def aggregate(metric, daily: DataFrame, corridors: DataFrame, subcorridors: DataFrame) -> dict[str, DataFrame]:
+    """All levels and periods of a measure at once."""
+    return {name: plan() for name, plan in aggregate_plans(metric, daily, corridors, subcorridors).items()}

@@ -1,51 +1,77 @@
 """Which rollups each measure gets (P01-P18): dictionaries keyed ``{level}_{period}_{table}``.
 
 Levels are sig, sub and cor; periods dy, wk, mo, qu, with the hourly tables under mo or
-wk. All frames are plans; publish them one by one from a stored daily measure.
+wk. A bundle plans a table when it is asked for; publish the tables one by one from a
+stored daily measure.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache, partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phasewright.functions.calendar import is_midweek, is_peak, month_of, week
+from phasewright.functions.calendar import is_midweek, is_peak, week
 from phasewright.operators import measures as M
 from phasewright.operators import pedestrian as PB
 from phasewright.operators import rollups as A
 from phasewright.operators import travel as V
 from phasewright.operators.detectors import subcorridor_view
 from phasewright.schemas import METRICS
+from phasewright.session import stage
 
-Bundle = dict[str, DataFrame]
+Plan = Callable[[], DataFrame]
 
 
-def _levels(
-    frames: dict[str, tuple[DataFrame, str]], corridors: DataFrame, var: str, wt: str | None, table: str, **kw
-) -> Bundle:
-    """Signal, corridor and subcorridor frames for each period's signal frame."""
-    out: Bundle = {}
-    for per, (df, period) in frames.items():
-        for level, hierarchy in (("cor", corridors), ("sub", subcorridor_view(corridors))):
-            roll = A.corridor_by_hour if period == "Hour" else A.corridor_rollup
-            extra = {} if period == "Hour" else {"period": period}
-            rows = roll(df, hierarchy, var, wt, **extra, **kw)
-            out[f"{level}_{per}_{table}"] = rows.withColumn("Week", week("Date")) if period == "Date" else rows
-        out[f"sig_{per}_{table}"] = A.signal_rows(df, out[f"cor_{per}_{table}"], corridors)
-    return out
+class Bundle(Mapping):
+    """Tables by name, each planned on first use."""
+
+    def __init__(self, plans: Mapping[str, Plan]):
+        self.plans = {name: cache(plan) for name, plan in plans.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.plans[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.plans)
+
+    def __len__(self) -> int:
+        return len(self.plans)
+
+    def __or__(self, other: Mapping[str, Plan]) -> Bundle:
+        return Bundle({**self.plans, **(other.plans if isinstance(other, Bundle) else other)})
+
+
+def _roll(frame: Plan, hierarchy: DataFrame, var: str, wt: str | None, period: str) -> DataFrame:
+    if period == "Hour":
+        return A.corridor_by_hour(frame(), hierarchy, var, wt)
+    rows = A.corridor_rollup(frame(), hierarchy, var, wt, period=period)
+    return rows.withColumn("Week", week("Date")) if period == "Date" else rows
+
+
+def _levels(frames: dict[str, tuple[Plan, str]], corridors: DataFrame, var: str, wt: str | None, table: str) -> Bundle:
+    """Signal, corridor and subcorridor tables for each period's signal frame."""
+    plans: dict[str, Plan] = {}
+    for per, (plan, period) in frames.items():
+        frame = cache(plan)
+        cor = cache(partial(_roll, frame, corridors, var, wt, period))
+        plans[f"cor_{per}_{table}"] = cor
+        plans[f"sub_{per}_{table}"] = partial(_roll, frame, subcorridor_view(corridors), var, wt, period)
+        plans[f"sig_{per}_{table}"] = lambda f=frame, c=cor: A.signal_rows(f(), c(), corridors)
+    return Bundle(plans)
 
 
 def _day_week_month(
-    df: DataFrame, corridors: DataFrame, var: str, wt: str | None, table: str, *, peak_only: bool = False,
-    monthly_weight: str | None = "same",
+    df: DataFrame, corridors: DataFrame, var: str, wt: str | None, table: str, *, peak_only: bool = False
 ) -> Bundle:
     """Weighted means of a measure by day, week and month."""
-    mw = wt or A.ONES if monthly_weight == "same" else monthly_weight
     return _levels(
         {
-            "dy": (A.daily_avg(df, var, wt, peak_only=peak_only), "Date"),
-            "wk": (A.weekly_avg(df, var, wt, peak_only=peak_only), "Date"),
-            "mo": (A.monthly_avg(df, var, mw, peak_only=peak_only), "Month"),
+            "dy": (partial(A.daily_avg, df, var, wt, peak_only=peak_only), "Date"),
+            "wk": (partial(A.weekly_avg, df, var, wt, peak_only=peak_only), "Date"),
+            "mo": (partial(A.monthly_avg, df, var, wt or A.ONES, peak_only=peak_only), "Month"),
         },
         corridors, var, wt, table,
     )
@@ -56,9 +82,9 @@ def _day_week_month_sums(df: DataFrame, corridors: DataFrame, var: str, table: s
     chosen = df.where(is_midweek("Date")) if midweek else df
     return _levels(
         {
-            "dy": (A.daily_sum(df, var), "Date"),
-            "wk": (A.weekly_sum(chosen, var), "Date"),
-            "mo": (A.monthly_avg(chosen, var), "Month"),
+            "dy": (partial(A.daily_sum, df, var), "Date"),
+            "wk": (partial(A.weekly_sum, chosen, var), "Date"),
+            "mo": (partial(A.monthly_avg, chosen, var), "Month"),
         },
         corridors, var, None, table,
     )
@@ -66,46 +92,45 @@ def _day_week_month_sums(df: DataFrame, corridors: DataFrame, var: str, table: s
 
 def _by_hour(df: DataFrame, corridors: DataFrame, var: str, wt: str, table: str) -> Bundle:
     """Hourly pattern of a month."""
-    return _levels({"mo": (A.monthly_by_hour(A.avg_by_hour(df, var, wt), var, wt), "Hour")}, corridors, var, wt, table)
+    return _levels({"mo": (lambda: A.monthly_by_hour(A.avg_by_hour(df, var, wt), var, wt), "Hour")}, corridors, var, wt, table)
 
 
 def detector_uptime(ddu: DataFrame, corridors: DataFrame) -> Bundle:
-    """P01."""
-    avg = A.avg_daily_detector_uptime(ddu)
-    weekly, monthly = A.weekly_avg(ddu, "uptime", "all", peak_only=False), A.monthly_avg(ddu, "uptime", "all")
-    out = {
-        "sig_dy_du": A.signal_rows(avg, A.corridor_daily_detector_uptime(avg, corridors), corridors),
-        "sig_wk_du": A.signal_rows(weekly, A.corridor_by_date(weekly, corridors, "uptime", "all"), corridors),
-        "sig_mo_du": A.signal_rows(monthly, A.corridor_by_month(monthly, corridors, "uptime", "all"), corridors),
-    }
+    """P01; the daily averages feed six tables and are staged."""
+    avg = cache(lambda: stage(A.avg_daily_detector_uptime(ddu)))
+    weekly = _levels({"wk": (partial(A.weekly_avg, ddu, "uptime", "all", peak_only=False), "Date")}, corridors, "uptime", "all", "du")
+    plans: dict[str, Plan] = {}
     for level, h in (("cor", corridors), ("sub", subcorridor_view(corridors))):
-        out[f"{level}_dy_du"] = A.corridor_daily_detector_uptime(avg, h)
-        out[f"{level}_wk_du"] = A.corridor_by_date(weekly, h, "uptime", "all")
-        out[f"{level}_mo_du"] = A.corridor_monthly_detector_uptime(avg, h)
-    return out
+        plans[f"{level}_dy_du"] = lambda h=h: A.corridor_daily_detector_uptime(avg(), h)
+        plans[f"{level}_mo_du"] = lambda h=h: A.corridor_monthly_detector_uptime(avg(), h)
+    plans["sig_dy_du"] = lambda: A.signal_rows(avg(), plans["cor_dy_du"](), corridors)
+    plans["sig_mo_du"] = lambda: A.signal_rows(A.monthly_avg(ddu, "uptime", "all"), plans["cor_mo_du"](), corridors)
+    return weekly | plans
 
 
 def ped_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, config=None) -> Bundle:
-    """Push-button uptime, its rollups, the bad inputs and the repaired counts."""
-    pau = PB.ped_uptime(papd, paph, corridors, calc_start, report_start, config)
+    """Push-button uptime (staged), its rollups, the bad inputs and the repaired counts."""
+    pau = stage(PB.ped_uptime(papd, paph, corridors, calc_start, report_start, config))
     by_input = pau.withColumn("CallPhase", F.col("Detector"))
     frames = {
-        "dy": (A.daily_avg(by_input, "uptime"), "Date"),
-        "wk": (A.weekly_avg(by_input, "uptime", peak_only=False), "Date"),
-        "mo": (A.monthly_avg(by_input, "uptime", "all"), "Month"),
+        "dy": (partial(A.daily_avg, by_input, "uptime"), "Date"),
+        "wk": (partial(A.weekly_avg, by_input, "uptime", peak_only=False), "Date"),
+        "mo": (partial(A.monthly_avg, by_input, "uptime", "all"), "Month"),
+    }
+    return _levels(frames, corridors, "uptime", None, "pau") | {
+        "bad_ped_detectors": lambda: M.bad_ped_inputs(pau),
+        "papd_repaired": lambda: M.ped_count_repair(pau, M.bad_ped_inputs(pau)),
     }
-    out = _levels(frames, corridors, "uptime", None, "pau")
-    bad = M.bad_ped_inputs(pau)
-    out["bad_ped_detectors"] = bad
-    out["papd_repaired"] = M.ped_count_repair(pau, bad)
-    return out
 
 
 def ped_activations(papd: DataFrame, paph: DataFrame, corridors: DataFrame) -> Bundle:
     """P03."""
     out = _day_week_month_sums(papd, corridors, "papd", "papd")
     midweek = paph.where(is_midweek("Hour"))
-    hours = {"wk": (A.weekly_by_hour(midweek, "paph"), "Hour"), "mo": (A.monthly_volume_by_hour(paph, "paph"), "Hour")}
+    hours = {
+        "wk": (partial(A.weekly_by_hour, midweek, "paph"), "Hour"),
+        "mo": (partial(A.monthly_volume_by_hour, paph, "paph"), "Hour"),
+    }
     return out | _levels(hours, corridors, "paph", None, "paph")
 
 
@@ -125,17 +150,24 @@ def comm_uptime(quality: DataFrame, corridors: DataFrame) -> Bundle:
 
 def volumes(vpd: DataFrame, vph: DataFrame, corridors: DataFrame) -> Bundle:
     """Daily and hourly volumes with morning and evening peaks."""
-    out = _day_week_month_sums(vpd, corridors, "vpd", "vpd")
-    weekly, monthly = A.weekly_by_hour(vph.where(is_midweek("Hour")), "vph"), A.monthly_volume_by_hour(vph)
-    out |= _levels({"wk": (weekly, "Hour"), "mo": (monthly, "Hour")}, corridors, "vph", None, "vph")
+    weekly = cache(lambda: A.weekly_by_hour(vph.where(is_midweek("Hour")), "vph"))
+    monthly = cache(partial(A.monthly_volume_by_hour, vph))
+    hours = _levels({"wk": (weekly, "Hour"), "mo": (monthly, "Hour")}, corridors, "vph", None, "vph")
+
+    def cor(per: str, period: str, part: str) -> DataFrame:
+        peaks = A.corridor_at_peaks(hours[f"cor_{per}_vph"], "vph", period=period)
+        return peaks.where(F.col("period_of_day") == part).drop("period_of_day")
+
+    def sig(per: str, frame: Plan, period: str, part: str) -> DataFrame:
+        peaks = A.volume_at_peaks(frame(), "vph", period).where(F.col("period_of_day") == part).drop("period_of_day")
+        return A.signal_rows(peaks, cor(per, period, part), corridors)
+
+    plans: dict[str, Plan] = {}
     for per, frame, period in (("wk", weekly, "Date"), ("mo", monthly, "Month")):
-        peaks = A.volume_at_peaks(frame, "vph", period)
-        cor = A.corridor_at_peaks(out[f"cor_{per}_vph"], "vph", period=period)
         for part, table in (("am", "vphpa"), ("pm", "vphpp")):
-            out[f"cor_{per}_{table}"] = cor.where(F.col("period_of_day") == part).drop("period_of_day")
-            sig = peaks.where(F.col("period_of_day") == part).drop("period_of_day")
-            out[f"sig_{per}_{table}"] = A.signal_rows(sig, out[f"cor_{per}_{table}"], corridors)
-    return out
+            plans[f"cor_{per}_{table}"] = partial(cor, per, period, part)
+            plans[f"sig_{per}_{table}"] = partial(sig, per, frame, period, part)
+    return _day_week_month_sums(vpd, corridors, "vpd", "vpd") | hours | plans
 
 
 def throughput(daily: DataFrame, corridors: DataFrame) -> Bundle:
@@ -175,23 +207,23 @@ def detection_levels(levels: DataFrame, corridors: DataFrame) -> Bundle:
 def terminations(daily: DataFrame, corridors: DataFrame) -> Bundle:
     """Gap-outs, max-outs and force-offs."""
     df = daily.withColumn("Week", week("Date"))
-    out: Bundle = {}
+    out = Bundle({})
     for table in ("go", "mo", "fo"):
-        out |= A.aggregate(METRICS[table], df, corridors, subcorridor_view(corridors))
+        out |= A.aggregate_plans(METRICS[table], df, corridors, subcorridor_view(corridors))
     return out
 
 
 def time_in_transition(daily: DataFrame, corridors: DataFrame) -> Bundle:
     """P14."""
     df = daily.withColumn("CallPhase", F.lit(0)).withColumn("Week", week("Date"))
-    return A.aggregate(METRICS["tint"], df, corridors, subcorridor_view(corridors))
+    return Bundle(A.aggregate_plans(METRICS["tint"], df, corridors, subcorridor_view(corridors)))
 
 
 def approach_delay(hourly: DataFrame, corridors: DataFrame) -> Bundle:
     """P15; ``hourly`` is the hourly delay table."""
     daily = A.daily_avg(hourly.withColumn("Date", F.to_date("Hour")), "delay", "vol")
     df = daily.withColumn("CallPhase", F.lit(0)).withColumn("Week", week("Date"))
-    return A.aggregate(METRICS["ad"], df, corridors, subcorridor_view(corridors))
+    return Bundle(A.aggregate_plans(METRICS["ad"], df, corridors, subcorridor_view(corridors)))
 
 
 def period_package(
@@ -211,13 +243,15 @@ def period_package(
             *entity, F.explode(F.sequence(F.col("_s.lo"), F.col("_s.hi"), step)).alias(period)
         )
         df = grid.join(df, [*entity, period], "left").withColumn(var, F.coalesce(F.col(var), F.lit(fill)))
-    signal = A.period_sum(df, var, period) if sums else A.period_avg(df, var, period, wt)
-    out: Bundle = {}
-    for level, h in (("cor", corridors), ("sub", subcorridor_view(corridors))):
-        out[f"{level}_{table}"] = A.corridor_rollup(signal, h, var, None, period=period)
-    rows = A.signal_rows(signal, out[f"cor_{table}"], corridors)
-    out[f"sig_{table}"] = rows.select("Zone_Group", "Corridor", period, var, "delta")
-    return out
+    signal = cache(partial(A.period_sum, df, var, period) if sums else partial(A.period_avg, df, var, period, wt))
+    plans: dict[str, Plan] = {
+        f"{level}_{table}": lambda h=h: A.corridor_rollup(signal(), h, var, None, period=period)
+        for level, h in (("cor", corridors), ("sub", subcorridor_view(corridors)))
+    }
+    plans[f"sig_{table}"] = lambda: A.signal_rows(signal(), plans[f"cor_{table}"](), corridors).select(
+        "Zone_Group", "Corridor", period, var, "delta"
+    )
+    return Bundle(plans)
 
 
 def hourly_package(
@@ -253,7 +287,7 @@ def hourly_package(
 def with_quarters(bundle: Bundle, table: str, var: str, wt: str | None = None, operation: str = "avg") -> Bundle:
     """A measure's tables with the quarters of its monthly ones."""
     quarters = {
-        f"{level}_qu_{table}": A.quarterly(bundle[f"{level}_mo_{table}"], var, wt, operation)
+        f"{level}_qu_{table}": lambda level=level: A.quarterly(bundle[f"{level}_mo_{table}"], var, wt, operation)
         for level in ("sig", "sub", "cor") if f"{level}_mo_{table}" in bundle
     }
     return bundle | quarters
@@ -262,13 +296,12 @@ def with_quarters(bundle: Bundle, table: str, var: str, wt: str | None = None, o
 def travel_times(readings: DataFrame, cor_vph: DataFrame, corridors: DataFrame, grouping: list[str], period: str = "monthly") -> Bundle:
     """V04 with V05-V07: the four indexes by hour and by month or week."""
     ti = V.travel_time_package(readings, grouping, period)
-    per = "mo" if period == "monthly" else "wk"
-    out: Bundle = {}
+    per, by = ("mo", V.index_by_month) if period == "monthly" else ("wk", V.index_by_week)
+    plans: dict[str, Plan] = {}
     for var in ("tti", "pti", "tt", "spd"):
-        out[f"cor_{per}_{var}h"] = V.index_by_hour(ti, var, cor_vph, corridors)
-        by = V.index_by_month if per == "mo" else V.index_by_week
-        out[f"cor_{per}_{var}"] = by(ti, var, cor_vph, corridors)
-    return out
+        plans[f"cor_{per}_{var}h"] = partial(V.index_by_hour, ti, var, cor_vph, corridors)
+        plans[f"cor_{per}_{var}"] = partial(by, ti, var, cor_vph, corridors)
+    return Bundle(plans)
 
 
 def thin_bindings() -> dict[str, dict]:
@@ -297,6 +330,3 @@ def bind(name: str, df: DataFrame) -> DataFrame:
     out = operator(rows, *args, **b)
     return out.na.fill(0, [var]) if name == "weekly_du" else out
 
-
-def month_column(df: DataFrame) -> DataFrame:
-    return df.withColumn("Month", month_of("Date"))
