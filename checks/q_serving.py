@@ -13,7 +13,7 @@ from phasewright.operators import counts as C
 from phasewright.operators import rollups as A
 from phasewright.operators import serving as Q
 from phasewright.schemas import Metric
-from phasewright.session import shared_folder
+from phasewright.session import new_path
 from phasewright.sources import tables as S
 
 METRIC = Metric("Value", "value", "m", weight="weight", hourly_table="mh")
@@ -330,7 +330,7 @@ def _(v):
 
 
 def _path(v, name: str) -> str:
-    return f"{shared_folder(v.spark)}/{name}-{uuid.uuid4().hex}"
+    return new_path(v.spark, name)
 
 
 def _database(v) -> str:

@@ -12,6 +12,8 @@ from phasewright.operators import counts as C
 from phasewright.operators import measures as M
 from phasewright.operators import travel as V
 from phasewright.plans import packages as P
+from phasewright.session import new_path
+from phasewright.sources.tables import read_table, write_days
 
 CP = "Zone_Group, Zone, Corridor"
 AS_OF = "2024-01-31"
@@ -145,12 +147,7 @@ def _(v):
     "SELECT cast(Hour as date) AS date, count(*) AS n FROM segment_readings GROUP BY ALL",
 )
 def _(v):
-    from phasewright.session import shared_folder
-    from phasewright.sources.tables import read_table, write_days
-
-    import uuid
-
-    path = f"{shared_folder(v.spark)}/readings-{uuid.uuid4().hex}"
+    path = new_path(v.spark, "readings")
     r = v.segment_readings().withColumn("Date", F.to_date("Hour")).withColumnRenamed("tmc_code", "SignalID")
     write_days(r, path)
     return read_table(v.spark, path).groupBy("date").agg(F.count("*").alias("n"))

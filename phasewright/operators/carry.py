@@ -97,8 +97,10 @@ def carry(
         kept.append("_same")
 
     # One row per key and bin that has a marker: the value in force when the bin ends.
+    # Without a rank the order is one number, so plain values aggregate by hash.
+    order = F.col("_pos") if rank is None else F.struct("_pos", "_tie")
     ends = (rows if source is None else placed(source)).where(is_mark).groupBy(*keys, "_bin").agg(
-        *[F.max_by(F.when(h, m.value), F.when(h, F.struct("_pos", "_tie"))).alias(m.name) for m, h in zip(marks, holds)]
+        *[F.max_by(F.when(h, m.value), F.when(h, order)).alias(m.name) for m, h in zip(marks, holds)]
     )
     by_bin = Window.partitionBy(*keys).orderBy("_bin")
     last_bin = max(flip * first, flip * last)
@@ -141,18 +143,20 @@ def asof(
     instant; among several, the greatest ``values`` win.
     """
     on = [*keys] if day in keys else [*keys, day]
-    payload = F.struct(F.col(right_ts), *[F.col(v) for v in values])
+    payload = F.struct(F.col(right_ts), *[F.col(v) for v in values]) if values else F.col(right_ts)
     marks = right.where(F.col(right_ts).isNotNull()).select(
         *on, F.col(right_ts).alias("_ts"), payload.alias("_right"), F.lit(True).alias("_is_mark")
     )
     names = left.columns
     targets = left.withColumn("_ts", F.col(left_ts)).withColumn("_is_mark", F.lit(False))
     both = targets.unionByName(marks, allowMissingColumns=True)
-    rank = F.struct(F.when(F.col("_is_mark"), 0).otherwise(1).alias("side"), F.col("_right"))
+    rank = F.struct(F.when(F.col("_is_mark"), 0).otherwise(1).alias("side"), F.col("_right")) if values else None
     out = carry(
         both, on, "_ts", [Mark("_match", F.col("_is_mark"), F.col("_right"), strict)],
         day=day, rank=rank, forward=forward, bin_seconds=bin_seconds, source=marks,
     ).where(~F.col("_is_mark"))
+    if not values:
+        return out.select(*[F.col(c) for c in names], F.col("_match").alias(right_ts))
     return out.select(
         *[F.col(c) for c in names],
         *[F.col(f"_match.{c}").alias(c) for c in dict.fromkeys([right_ts, *values])],

@@ -54,25 +54,25 @@ def _paired(rows: DataFrame, keys: list[str], kind: str, links: list, *, strict:
     at, code = F.col("Timestamp"), F.col(kind)
     marks = []
     for n, (ends, starts) in enumerate(links):
-        start = F.struct(at.alias("at"), code.alias("code"))
-        marks.append(Mark(f"_from{n}", code.isin(*starts), start, strict))
+        marks.append(Mark(f"_from{n}", code.isin(*starts), at, strict))
         marks.append(Mark(f"_prior{n}", code.isin(*ends), at, True))
-    out = carry(
-        rows, keys, "Timestamp", marks, rank=F.lit(0), source=rows, bin_seconds=bin_seconds, count_same=[kind]
-    )
-    found = F.lit(None)
-    for n, (ends, _) in enumerate(links):
+        if len(starts) > 1:
+            marks.append(Mark(f"_code{n}", code.isin(*starts), code, strict))
+    out = carry(rows, keys, "Timestamp", marks, source=rows, bin_seconds=bin_seconds, count_same=[kind])
+    found, found_code = F.lit(None), F.lit(None)
+    for n, (ends, starts) in enumerate(links):
         start, prior = F.col(f"_from{n}"), F.col(f"_prior{n}")
-        taken = prior > start["at"] if strict else prior >= start["at"]
-        first = start.isNotNull() & ~F.coalesce(taken, F.lit(False))
-        found = F.when(code.isin(*ends) & first, start).otherwise(found)
-    return out.withColumn("_start", found).where("_start is not null and _same = 1")
+        taken = prior > start if strict else prior >= start
+        first = code.isin(*ends) & start.isNotNull() & ~F.coalesce(taken, F.lit(False))
+        found = F.when(first, start).otherwise(found)
+        found_code = F.when(first, F.col(f"_code{n}") if len(starts) > 1 else F.lit(starts[0])).otherwise(found_code)
+    return out.withColumns({"_start": found, "_start_code": found_code}).where("_start is not null and _same = 1")
 
 
 def _spans(paired: DataFrame, keys: list[str], name: str) -> DataFrame:
     return paired.select(
-        *keys, F.col("_start.at").alias("StartTimeStamp"), F.col("Timestamp").alias("EndTimeStamp"),
-        F.col("_start.code").alias(name), seconds_between("_start.at", "Timestamp").alias("Duration"),
+        *keys, F.col("_start").alias("StartTimeStamp"), F.col("Timestamp").alias("EndTimeStamp"),
+        F.col("_start_code").alias(name), seconds_between("_start", "Timestamp").alias("Duration"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,10 +37,19 @@ def shared_folder(spark: SparkSession) -> str | None:
     if spark.sparkContext.master.startswith("local"):
         if _local_folder is None:
             _local_folder = tempfile.mkdtemp(prefix="phasewright-")
+            atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
         return _local_folder
     return None
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the stored table.
 
@@ -47,9 +58,8 @@ def stage(df: DataFrame) -> DataFrame:
     cluster the frame is returned as it is.
     """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if folder is None:
+    if shared_folder(spark) is None:
         return df
-    path = f"{folder}/stage-{uuid.uuid4().hex}"
+    path = new_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
