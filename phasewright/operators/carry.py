@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from phasewright.functions.calendar import micros, midnight
 
 DAY_SECONDS = 86_400
+# Rank of rows that come after every marker of their instant.
+LAST = 2**31 - 1
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasewright.functions.calendar import plus_seconds, seconds_between
-from phasewright.operators.carry import Mark, asof, carry
+from phasewright.operators.carry import LAST, Mark, asof, carry
 from phasewright.session import stage
 
 # Event codes of the controller log.
@@ -58,7 +58,11 @@ def _paired(rows: DataFrame, keys: list[str], kind: str, links: list, *, strict:
         marks.append(Mark(f"_prior{n}", code.isin(*ends), at, True))
         if len(starts) > 1:
             marks.append(Mark(f"_code{n}", code.isin(*starts), code, strict))
-    out = carry(rows, keys, "Timestamp", marks, source=rows, bin_seconds=bin_seconds, count_same=[kind])
+    rank = None
+    if any(len(starts) > 1 for _, starts in links):
+        # Of several starts at one instant the greatest code counts.
+        rank = F.when(code.isin(*[c for _, starts in links for c in starts]), code).otherwise(F.lit(LAST))
+    out = carry(rows, keys, "Timestamp", marks, rank=rank, source=rows, bin_seconds=bin_seconds, count_same=[kind])
     found, found_code = F.lit(None), F.lit(None)
     for n, (ends, starts) in enumerate(links):
         start, prior = F.col(f"_from{n}"), F.col(f"_prior{n}")

@@ -9,7 +9,6 @@ from phasewright.functions.calendar import (
     floor_minutes,
     is_midweek,
     is_peak,
-    micros,
     midnight,
     month_of,
     plus_seconds,
@@ -17,7 +16,7 @@ from phasewright.functions.calendar import (
     week,
 )
 from phasewright.functions.stats import sum0, wmean
-from phasewright.operators.carry import Mark, asof, carry
+from phasewright.operators.carry import LAST, Mark, asof, carry
 from phasewright.operators.overlap import overlap_join, overlap_seconds
 from phasewright.operators.runs import complete_dates
 
@@ -141,7 +140,7 @@ def arrivals_on_green(detections: DataFrame, config: DataFrame, *, minutes: int
     bounds = de.select(*by).distinct().withColumn("at", F.explode(starts)).withColumn("code", F.lit(None).cast("int"))
     line = carry(
         intervals.unionByName(bounds), by, "at", [Mark("_in_force", F.col("code").isNotNull(), F.col("code"))],
-        source=intervals,
+        source=intervals, rank=F.coalesce(F.col("code"), F.lit(LAST)),
     ).withColumn("Hour", floor_minutes("at", minutes))
     inside = Window.partitionBy(*by, "Hour").orderBy("at", F.col("code").asc_nulls_last())
     period_end = F.col("Hour") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
@@ -329,7 +328,7 @@ def ped_delay(
     if fill_cycle_length:
         rows = carry(
             rows, ["SignalID", "Date"], "Timestamp", [Mark("CycleLength", code == 132, F.col("Phase"))],
-            source=lengths, bin_seconds=bin_seconds,
+            source=lengths, rank=F.when(code == 132, F.col("Phase")).otherwise(F.lit(LAST)), bin_seconds=bin_seconds,
         )
     else:
         rows = rows.withColumn("CycleLength", F.lit(None).cast("int"))
@@ -468,5 +467,3 @@ def terminations(cycles: DataFrame) -> DataFrame:
         "SignalID", F.col("Phase").alias("CallPhase"), "Date"
     ).agg(n.alias("Cycles"), share(4).alias("GapOut"), share(5).alias("MaxOut"), share(6).alias("ForceOff"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"micros"}]

@@ -235,15 +235,16 @@ def compare_with_past(hourly: DataFrame, var: str, by: list[str]) -> DataFrame:
 
 def last_modified(rows: DataFrame, zone: str | None = None, month=None) -> DataFrame:
     """Latest version per month and zone, ties kept (Q13)."""
-    newest = F.max("LastModified").over(Window.partitionBy("Month", "Zone"))
-    out = rows.withColumn("_newest", newest).where("LastModified = _newest").drop("_newest")
     if zone is not None:
-        out = out.where(F.col("Zone") == zone)
-    return out if month is None else out.where(F.col("Month") == F.lit(month).cast("date"))
+        rows = rows.where(F.col("Zone") == zone)
+    if month is not None:
+        rows = rows.where(F.col("Month") == F.lit(month).cast("date"))
+    newest = rows.groupBy("Month", "Zone").agg(F.max("LastModified").alias("LastModified"))
+    return rows.join(newest, ["Month", "Zone", "LastModified"], "left_semi").select(*rows.columns)
 
 
 def latest_versions(rows: DataFrame, n: int = 10) -> DataFrame:
-    """Latest n versions per month and zone, ties kept (Q14)."""
+    """Latest n versions per month and zone, ties kept (Q14); the rank limit is applied before the shuffle too."""
     w = Window.partitionBy("Month", "Zone").orderBy(F.desc("LastModified"))
     return rows.withColumn("_rank", F.rank().over(w)).where(F.col("_rank") <= n).drop("_rank")
 

@@ -239,10 +239,14 @@ def publish_bundle(spark: SparkSession, bundle: dict[str, DataFrame], *, prefix:
         publish(spark, df, prefix + name, None if period == "Quarter" else period, **window)
 
 
-def key_value(key: str, df: DataFrame) -> DataFrame:
-    """A small configuration table as one JSON row."""
+def key_value(key: str, df: DataFrame, *, rows_per_part: int = 10_000) -> DataFrame:
+    """A configuration table as JSON (S27): one row, or one per part where the table is larger than that."""
     row = F.struct(*[F.col(c) for c in df.columns])
-    return df.agg(F.to_json(F.array_sort(F.collect_list(row))).alias("data")).select(F.lit(key).alias("key"), "data")
+    parts = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows_per_part))).scalar()
+    placed = df.select(row.alias("_row"), F.pmod(F.xxhash64(row), parts).cast("int").alias("part"))
+    return placed.groupBy("part").agg(F.to_json(F.array_sort(F.collect_list("_row"))).alias("data")).select(
+        F.lit(key).alias("key"), "part", "data"
+    )
 
 
 # Nested signal details ----------------------------------------------------------------------

@@ -192,3 +192,11 @@ def test_count_job_twice_leaves_the_store_unchanged(spark, log, tmp_path):
 
 def test_metrics_have_one_descriptor_per_table():
     assert all(name == m.table for name, m in METRICS.items()) and METRICS["aogd"].weight == "vol"
+
+
+def test_key_value_splits_large_tables(spark):
+    df = spark.range(100).withColumn("n", F.col("id") * 2)
+    one, many = S.key_value("k", df), S.key_value("k", df, rows_per_part=30)
+    assert one.count() == 1 and 1 < many.count() <= 4
+    back = many.select(F.explode(F.from_json("data", "array<struct<id: bigint, n: bigint>>")).alias("r")).select("r.*")
+    assert rows(back) == rows(df)
