@@ -1 +1,8 @@
-"""Traffic-signal performance analytics as plain DataFrame-to-DataFrame functions on Spark."""
+"""Traffic-signal performance analytics on PySpark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel by value: executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +18,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-_local_folder: str | None = None
+_staged: list[str] = []
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -28,38 +28,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder named in spark.checkpoint.dir; in local mode a temporary one where it is unset."""
-    global _local_folder
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir; where it is unset, one in the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        if _local_folder is None:
-            _local_folder = tempfile.mkdtemp(prefix="phasewright-")
-            atexit.register(shutil.rmtree, _local_folder, ignore_errors=True)
-        return _local_folder
-    return None
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write an intermediate result to the shared folder and go on from the stored table.
 
     For frames that several later steps read: it is computed once, the lineage ends
-    there, and a lost executor only repeats its own tasks. Without a shared folder on a
-    cluster the frame is returned as it is.
+    there, and a lost executor only repeats its own tasks.
     """
     spark = df.sparkSession
-    if shared_folder(spark) is None:
-        return df
-    path = new_path(spark, "stage")
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _drop_local_tables() -> None:
+    """Remove at exit what this process staged on a local disk; other stores have their own clean-up."""
+    for path in _staged:
+        if path.startswith(("/", "file:")):
+            shutil.rmtree(urlparse(path).path, ignore_errors=True)
