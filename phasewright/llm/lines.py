@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phasewright.llm.text import ascii_lower, let, lines, strip, whole
+from phasewright.session import stage
 
 _LAST = 2**63 - 1
 
@@ -43,6 +44,7 @@ def keep_bitmaps(
         # ~id turns largest-first into an ascending order that no id overflows
         .select(F.unhex(F.md5(key)).alias("_key"), F.coalesce(F.bitwise_not("_doc"), F.lit(_LAST)).alias("_order"), "_doc", "_text", "_pos")
     )
+    found = stage(found, "line-keys")  # texts are parsed once, not again for the sample that sets the ranges
     by = [F.col("_key"), F.col("_order")]
     ordered = (found.repartitionByRange(ranges, *by) if ranges else found.repartitionByRange(*by)).sortWithinPartitions("_key", "_order", "_pos")
     # the first grouping stays inside the ranges; the second merges the ranges of a key
