@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasewright.llm import line_quality, lines, mixing
+from phasewright.llm import forest, line_quality, lines, mixing, suffixes
 from phasewright.llm import sql as S
 from phasewright.llm.text import whole
 
@@ -25,6 +25,15 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha256(text).alias("kept_sha256"))
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return forest.near_duplicates(_documents(spark, folder), percent=85)
+
+
+def op6_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffixes.remove_repeats(_documents(spark, folder), window=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -35,6 +44,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_repeated_strings": op6_repeated_strings,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -18,6 +18,18 @@ def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
+_NO_ID = -(2**63)
+
+
+def id_key(doc_id: Column) -> Column:
+    """An id that Python workers get as a plain number: null becomes the least one."""
+    return F.coalesce(doc_id.cast("long"), F.lit(_NO_ID))
+
+
+def id_of(key: Column) -> Column:
+    return F.when(key != _NO_ID, key)
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE))
 
