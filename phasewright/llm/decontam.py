@@ -9,6 +9,7 @@ read in blocks of bounded length, each against all documents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 from phasewright.llm.text import id_key, id_of, whole
 
 _STEP = 1 << 32  # one edit, above any offset
+_OUTSIDE = np.uint32(0xFFFFFFFF)
+_SPACE = re.compile(r"\s")
 
 
 def normal(text: str | None) -> str:
@@ -27,21 +30,32 @@ def normal(text: str | None) -> str:
     text = text or ""
     low = text.lower()
     low = low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-    return "".join(" " if c.isspace() else c for c in low) if any(c.isspace() and c != " " for c in set(low)) else low
+    return _SPACE.sub(" ", low)
 
 
 def grams(codes: np.ndarray, q: int) -> np.ndarray:
-    """Hashes of the q-grams of an array of code points."""
-    n = max(0, len(codes) - q + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(q):
-        out = (out ^ codes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
-        out ^= out >> np.uint64(32)
-    return out
+    """Hashes of the q-grams of an array of code points, put together from halves: grams of 1, 2, 4, ... and the rest."""
+    if len(codes) < q:
+        return np.empty(0, np.uint32)
+    power, width, done, out = codes, 1, 0, None
+    while True:
+        if q & width:
+            out = power.copy() if out is None else _join(out, power, done)
+            done += width
+        width *= 2
+        if width > q:
+            return out[: len(codes) - q + 1]
+        power = _join(power, power, width // 2)
+
+
+def _join(left: np.ndarray, right: np.ndarray, gap: int) -> np.ndarray:
+    n = min(len(left), len(right) - gap)
+    out = (left[:n] ^ (left[:n] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + right[gap : gap + n] * np.uint32(0x9E3779B1)
+    return out ^ (out >> np.uint32(13))
 
 
 def codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 class Index:
@@ -56,18 +70,18 @@ class Index:
         self.bound = lengths - q + 1 - self.budget * q
         self.width = np.maximum(8, 2 * self.budget)
         found = [grams(codes(text), q) for _, text in self.items]
-        hashed = np.concatenate(found) if found else np.empty(0, np.uint64)
+        hashed = np.concatenate(found) if found else np.empty(0, np.uint32)
         order = np.argsort(hashed, kind="stable")
         self.keys, self.first, self.count = np.unique(hashed[order], return_index=True, return_counts=True)
         self.owner = np.repeat(np.arange(len(found)), [len(g) for g in found])[order]
         self.place = np.concatenate([np.arange(len(g)) for g in found])[order] if found else np.empty(0, np.int64)
         self.bits = np.zeros(1 << 22, bool)
-        self.bits[(self.keys & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        self.bits[(self.keys & np.uint32((1 << 22) - 1)).astype(np.int64)] = True
 
     def bands(self, text: np.ndarray) -> list[tuple[int, int]]:
         """(item, band) pairs of one text that reach the bound of the item."""
         hashed = grams(text, self.q)
-        at = np.flatnonzero(self.bits[(hashed & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        at = np.flatnonzero(self.bits[(hashed & np.uint32((1 << 22) - 1)).astype(np.int64)])
         if not len(at):
             return []
         slot = np.minimum(np.searchsorted(self.keys, hashed[at]), len(self.keys) - 1)
@@ -96,11 +110,11 @@ def align(passage: np.ndarray, text: np.ndarray, low: int, high: int, budget: in
     far = np.int64(1 << 60)
     steps = np.arange(width, dtype=np.int64) * _STEP
     state = np.where((diagonals >= 0) & (diagonals <= len(text)), np.maximum(diagonals, 0), far)  # edits above, start below
-    padded = np.concatenate([np.full(max(0, -low), 1 << 33, np.uint64), text, np.full(max(0, high + len(passage) - len(text)) + 1, 1 << 33, np.uint64)])
+    padded = np.concatenate([np.full(max(0, -low), _OUTSIDE), text, np.full(max(0, high + len(passage) - len(text)) + 1, _OUTSIDE)])
     shift = max(0, -low)
     for i, symbol in enumerate(passage):
         here = padded[low + i + shift : high + i + 1 + shift]
-        step = np.where(here == symbol, 0, np.where(here == 1 << 33, far >> 1, _STEP))
+        step = np.where(here == symbol, 0, np.where(here == _OUTSIDE, far >> 1, _STEP))
         moved = np.minimum(state + step, np.append(state[1:], far) + _STEP)
         column = diagonals + i + 1
         moved = np.where((column < 0) | (column > len(text)), far, moved)

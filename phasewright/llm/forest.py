@@ -217,3 +217,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     out = signed.join(labels, "class", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of near duplicates, the one with the smallest id."""
+    kept = near_duplicates(docs, percent, id_col, text_col).where("kept").select(id_key(F.col("doc_id")).alias("_kept")).distinct()
+    return docs.join(kept, id_key(F.col(id_col)) == F.col("_kept"), "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasewright.llm import forest, line_quality, lines, mixing, suffixes
+from phasewright.llm import decontam, forest, html, licenses, line_quality, lines, mixing, rules, suffixes, toxicity
 from phasewright.llm import sql as S
 from phasewright.llm.text import whole
 
@@ -18,6 +18,18 @@ def _sha256(text):
     return F.sha2(whole(text).cast("binary"), 256)
 
 
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.classify(_documents(spark, folder), _table(spark, folder, "labels"), cut=0.3)
+
+
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(_documents(spark, folder))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _documents(spark, folder).select("doc_id", "text")
     out = lines.with_bitmaps(docs, min_chars=40, min_docs=5)
@@ -25,6 +37,13 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", _sha256(text).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _documents(spark, folder), _table(spark, folder, "labels")
+    held = rules.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs, labels.where(~held))
+    return toxicity.score(docs, model).withColumn("held_out", held)
+
+
 def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return forest.near_duplicates(_documents(spark, folder), percent=85)
 
@@ -34,6 +53,10 @@ def op6_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks_by_document(_documents(spark, folder), _table(spark, folder, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -42,12 +65,21 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_quality.quality_rules(_documents(spark, folder))
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(_table(spark, folder, "pages"))
+
+
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_license_scan": op2_license_scan,
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_repeated_strings": op6_repeated_strings,
+    "op7_decontamination": op7_decontamination,
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLES = {"op3_line_dedup": S.LINE_DEDUP, "op8_mixing": S.MIXING, "op9_quality_rules": S.QUALITY_RULES}
