@@ -16,7 +16,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from phasewright.llm.text import id_key, id_of, whole
 
@@ -183,7 +182,7 @@ def find_leaks(
         part = rows.mapInPandas(search, _MATCH)
         found = part if found is None else found.union(part)
     if found is None:
-        found = docs.sparkSession.createDataFrame([], T._parse_datatype_string(_MATCH))
+        found = docs.sparkSession.createDataFrame([], _MATCH)
     return found.withColumns({"doc_id": id_of(F.col("doc_id")), "item_id": id_of(F.col("item_id"))})
 
 
@@ -198,4 +197,4 @@ def leaks_by_document(docs: DataFrame, benchmark: DataFrame, **settings) -> Data
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """``docs`` without the documents that hold a passage; null ids are judged together."""
     held = find_leaks(docs, benchmark, id_col=id_col, **settings).select(id_key(F.col("doc_id")).alias("_held")).distinct()
-    return docs.join(held, id_key(F.col(id_col)) == F.col("_held"), "left_anti")
+    return docs.join(held, id_key(docs[id_col]) == held["_held"], "left_anti")

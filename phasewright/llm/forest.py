@@ -30,6 +30,7 @@ LEAST_DEPTH = 4  # common digits that make two neighbours candidates
 DEPTH = 8  # digits of an order
 HASHES = TREES * LEAST_DEPTH
 REGION = 9  # classes that are all compared with each other
+STRONGEST = (2, 4)  # candidates of a class confirmed in the first rounds
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -167,6 +168,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.where(F.col("n") * 100 >= (F.col("both") - F.col("n")) * percent).select("a", "b")
 
 
+def _between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different components."""
+    ra, rb = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
+    return pairs.join(ra, "a", "left").join(rb, "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -196,20 +203,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     sets = texts.mapInPandas(_sets, "class binary, hashes array<bigint>").groupBy("class").agg(F.first("hashes").alias("hashes"))
     sets = stage(sets, "sets")
 
-    # a class has at most 2 x 8 candidates in each order, which bounds the windows
-    ends = counted.select(F.col("a").alias("class"), "a", "b", "n").union(counted.select(F.col("b").alias("class"), "a", "b", "n"))
-    strongest = ends.withColumn("_place", F.row_number().over(W.partitionBy("class").orderBy(F.desc("n"), "a", "b"))).where("_place <= 2")
-    early = stage(_confirm(strongest.select("a", "b").distinct(), sets, percent), "links")
-    roots = connected(early)
+    # strongest candidates first: what they join needs no further pairs
+    links, tried, roots = None, None, None
+    for strongest in STRONGEST:
+        left = counted if tried is None else _between(counted, roots).join(tried, ["a", "b"], "left_anti")
+        # a class has at most 2 x 8 candidates in each order, which bounds the windows
+        ends = left.select(F.col("a").alias("class"), "a", "b", "n").union(left.select(F.col("b").alias("class"), "a", "b", "n"))
+        place = F.row_number().over(W.partitionBy("class").orderBy(F.desc("n"), "a", "b"))
+        picked = stage(ends.withColumn("_place", place).where(F.col("_place") <= strongest).select("a", "b").distinct(), "picked")
+        tried = picked if tried is None else tried.union(picked)
+        new = stage(_confirm(picked, sets, percent), "links")
+        links = new if links is None else links.union(new)
+        roots = connected(links)
 
     rooted = dense.join(roots, dense["class"] == roots["node"], "left").select("tree", "key", "class", F.coalesce("root", "class").alias("root"))
     across = _neighbours(rooted, True, "across").where("kind = 'pair'").select("a", "b")
-    ra, rb = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    open_pairs = (
-        counted.select("a", "b").union(across).distinct().join(ra, "a", "left").join(rb, "b", "left")
-        .where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-    late = stage(_confirm(open_pairs, sets, percent), "links")
-    roots = connected(early.union(late))
+    late = _between(counted.select("a", "b").union(across).distinct(), roots).join(tried, ["a", "b"], "left_anti")
+    roots = connected(links.union(stage(_confirm(late, sets, percent), "links")))
 
     placed = classes.select("class", "first_id").join(roots, classes["class"] == roots["node"], "left").select("class", "first_id", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -222,4 +232,4 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near duplicates, the one with the smallest id."""
     kept = near_duplicates(docs, percent, id_col, text_col).where("kept").select(id_key(F.col("doc_id")).alias("_kept")).distinct()
-    return docs.join(kept, id_key(F.col(id_col)) == F.col("_kept"), "left_semi")
+    return docs.join(kept, id_key(docs[id_col]) == kept["_kept"], "left_semi")

@@ -93,7 +93,7 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int
     """Score expression fitted on at most ``max_rows`` labelled rows (``doc_id``, ``quality`` 0 or 1), drawn by a seeded hash of the id.
 
     Null labels and ids are left out; without both classes the score is the share of the one
-    there is, 0.5 without any.
+    there is, 0.5 without any; where no statistic tells them apart it is the share of the good one.
     """
     drawn = labels.select("doc_id", F.col("quality").cast("double").alias("quality")).where("doc_id IS NOT NULL AND quality IS NOT NULL")
     drawn = drawn.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(max_rows)
@@ -102,8 +102,10 @@ def fit(stats: DataFrame, labels: DataFrame, max_rows: int = 20_000, trees: int
     if len(classes) < 2:
         return F.lit(float(next(iter(classes), 0.5)))
     names = [c for c in stats.columns if c != "doc_id"]
-    rules, intercept = fit_lasso(rows, extract_rules(rows, names, "quality", trees, depth, seed), "quality", penalty)
-    return compile_score(rules, intercept)
+    found = extract_rules(rows, names, "quality", trees, depth, seed)
+    if not found:
+        return F.lit(classes[1.0] / sum(classes.values()))
+    return compile_score(*fit_lasso(rows, found, "quality", penalty))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -135,8 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, n_features:
     hits = np.array([c[marks[i]].sum() if len(i) else 0.0 for i, c in zip(rows, counts, strict=True)]) * (label == 1)
     grade = np.where(label == 1, 1 + np.searchsorted(grade_cuts(hits, grades), hits), 0).astype(np.int64)
     order = {old: new for new, old in enumerate(sorted(set(grade.tolist())))}
-    grade = np.array([order[g] for g in grade.tolist()])
-    if grade.max() < 1:
+    grade = np.array([order[g] for g in grade.tolist()], np.int64)
+    if len(order) < 2:
         return Model()
     weights, thresholds = fit_cumulative(rows, [1.0 + np.log(c) for c in counts], grade, len(names))
     return Model({name: float(x) for name, x in zip(names, weights, strict=True)}, [float(x) for x in thresholds])
