@@ -153,7 +153,7 @@ def inventory(v):
     versions = F.explode(F.sequence(F.lit(1), F.lit(2))).alias("ver")
     tables["detectors"] = p.select("*", versions).select(
         (k * 2 + F.col("ver")).alias("ID"), F.concat(F.lit("D"), k).alias("DetectorID"), (k % 16 + 1).cast("int").alias("DetChannel"),
-        (k % 400).alias("ApproachID"), (k % 6).cast("int").alias("MovementTypeID"), (k % 3).cast("int").alias("LaneTypeID"),
+        k.alias("ApproachID"), (k % 6).cast("int").alias("MovementTypeID"), (k % 3).cast("int").alias("LaneTypeID"),
         (k % 2).cast("int").alias("DetectionHardwareID"), (F.col("p_size") * 10).cast("double").alias("DistanceFromStopBar"),
         (F.lit(30.0) + k % 3 * 5).alias("MPH"),
         (F.lit("2023-01-01").cast("timestamp_ntz") + F.make_dt_interval(((k * 7 + F.col("ver") * 200) % 500).cast("int"))).alias("DateAdded"),
@@ -162,7 +162,7 @@ def inventory(v):
     tables["detection_type_detector"] = tables["detectors"].select(
         "ID", F.explode(F.array_distinct(F.array((F.col("ID") % 4).cast("int"), (F.col("ID") % 3).cast("int")))).alias("DetectionTypeID")
     )
-    tables["approaches"] = p.where(k < 400).select(
+    tables["approaches"] = p.select(
         k.alias("ApproachID"), (k % 40).cast("string").alias("SignalID"), F.concat(F.lit("Approach "), k).alias("ApproachDesc"),
         (k % 4).cast("int").alias("DirectionTypeID"), (k % 8 + 1).cast("int").alias("ProtectedPhaseNumber"),
         F.when(k % 3 == 0, (k % 8).cast("int")).alias("PermissivePhaseNumber"),
@@ -181,7 +181,7 @@ INVENTORY_SQL = f"""SELECT s.SignalID, d.DetectorID, d.DetChannel AS Detector,
   d.DateAdded, CASE WHEN l.a = 'Exit' THEN 0 WHEN l.a = 'Vehicle' AND t.kinds LIKE '%Advanced Count%' THEN 1
   WHEN l.a = 'Vehicle' AND t.kinds LIKE '%Lane-by-lane Count%' THEN 2 ELSE 3 END AS CountPriority
   FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY DetectorID ORDER BY DateAdded DESC, ID DESC) AS rn FROM (
-    SELECT p_partkey * 2 + ver AS ID, 'D' || p_partkey AS DetectorID, cast(p_partkey % 16 + 1 as int) AS DetChannel, p_partkey % 400 AS ap,
+    SELECT p_partkey * 2 + ver AS ID, 'D' || p_partkey AS DetectorID, cast(p_partkey % 16 + 1 as int) AS DetChannel, p_partkey AS ap,
     cast(p_partkey % 6 as int) AS mt, cast(p_partkey % 3 as int) AS lt, p_size * 10.0::double AS dist, 30.0::double + p_partkey % 3 * 5 AS mph,
     timestamp '2023-01-01' + to_days(cast((p_partkey * 7 + ver * 200) % 500 as int)) AS DateAdded,
     CASE WHEN p_partkey % 10 = 0 THEN timestamp '2023-12-01' END AS DateDisabled FROM part, (VALUES (1), (2)) x(ver))
@@ -192,7 +192,7 @@ INVENTORY_SQL = f"""SELECT s.SignalID, d.DetectorID, d.DetChannel AS Detector,
     SELECT p_partkey * 2 + ver AS ID FROM part, (VALUES (1), (2)) x(ver))) JOIN (VALUES {_LOOK['detection_types']}) q(i, a) ON dt = q.i GROUP BY ID) t
     ON t.ID = d.ID
   JOIN (SELECT p_partkey AS ap, cast(p_partkey % 40 as varchar) AS SignalID, cast(p_partkey % 8 + 1 as int) AS prot,
-    CASE WHEN p_partkey % 3 = 0 THEN cast(p_partkey % 8 as int) END AS perm FROM part WHERE p_partkey < 400) a ON a.ap = d.ap
+    CASE WHEN p_partkey % 3 = 0 THEN cast(p_partkey % 8 as int) END AS perm FROM part) a ON a.ap = d.ap
   JOIN (SELECT DISTINCT cast(s_suppkey % 40 as varchar) AS SignalID FROM supplier) s ON s.SignalID = a.SignalID"""
 AS_OF = "2024-01-15"
 INV_COLS = "SignalID, DetectorID, Detector:int, CallPhase:int, ~TimeFromStopBar, DetectionTypeDesc, LaneTypeDesc, ApproachDesc, CountPriority:int"

@@ -261,7 +261,7 @@ def _package(v, period: str):
     sf = base.select("SignalID", F.lit(0).alias("CallPhase"), "Date_Hour", F.col("x").alias("sf_freq"), F.col("n").alias("cycles"))
     qs = base.select("SignalID", "CallPhase", "Date_Hour", F.col("x").alias("qs_freq"), F.col("n").alias("cycles"))
     delay = base.select("SignalID", F.col("Date_Hour").alias(period), F.col("x").alias("delay"), F.col("n").alias("vol"))
-    return P.hourly_package(pa, bad, vol, aog, sf, qs, delay, v.corridors(), period=period)
+    return P.hourly_package(pa, bad, vol, aog, sf, qs, delay, v.corridors(), start="2024-01-01", end="2024-02-01", period=period)
 
 
 def _base(counts: str) -> str:
@@ -277,38 +277,47 @@ def _(v):
     return _package(v, "Hour")["cor_hourly_pa"]
 
 
-@query(
-    "p16_hourly_arrivals_signals", "Zone_Group, Corridor, Hour, ~aog, ~delta",
-    signal_rows(
-        period_avg(f"(SELECT SignalID, Timeperiod AS Hour, x AS aog, n AS vol FROM {_base('counts_1h')})", "Hour", "aog", "vol"),
-        rollup(f"({period_avg(f'(SELECT SignalID, Timeperiod AS Hour, x AS aog, n AS vol FROM ' + _base('counts_1h') + ')', 'Hour', 'aog', 'vol')})", "Hour", "aog"),
-        "Hour", "aog"),
-)
-def _(v):
-    return _package(v, "Hour")["sig_hourly_aog"]
+def _source(per: str, col: str, phase: str) -> str:
+    counts = "counts_1h" if per == "Hour" else "counts_15"
+    return f"(SELECT SignalID, {phase} AS CallPhase, Timeperiod AS {per}, n AS vol, x AS {col} FROM {_base(counts)})"
 
 
-def _filled(col: str, phase: str) -> str:
-    src = f"(SELECT SignalID, {phase} AS CallPhase, Timeperiod, n, x FROM {_base('counts_15')})"
-    return f"""(SELECT g.SignalID, g.Timeperiod, coalesce(s.x, 0) AS {col}, 1 AS ones FROM (SELECT SignalID, CallPhase, unnest(generate_series(lo, hi, interval 15 minute)) AS Timeperiod
-      FROM (SELECT DISTINCT SignalID, CallPhase FROM {src}), (SELECT min(Timeperiod) AS lo, max(Timeperiod) AS hi FROM {src})) g
-      LEFT JOIN {src} s USING (SignalID, CallPhase, Timeperiod))"""
+def _span(per: str, col: str) -> str:
+    """A null row for each signal's period of the report without data."""
+    step, src = ("1 hour" if per == "Hour" else "15 minute"), _source(per, col, "CallPhase")
+    return f"""(SELECT g.SignalID, g.{per}, s.{col}, s.vol FROM (SELECT SignalID, unnest(generate_series(timestamp '2024-01-01', timestamp '2024-02-01' - interval {step}, interval {step})) AS {per}
+      FROM (SELECT DISTINCT SignalID FROM {src})) g LEFT JOIN {src} s USING (SignalID, {per}))"""
 
 
-@query(
-    "p17_quarter_hour_spillback", "Zone_Group, Corridor, Timeperiod, ~qs_freq, ~delta",
-    rollup(f"(SELECT * EXCLUDE (ones) FROM ({period_avg(_filled('qs_freq', 'CallPhase'), 'Timeperiod', 'qs_freq', 'ones')}))", "Timeperiod", "qs_freq"),
-)
-def _(v):
-    return _package(v, "Timeperiod")["cor_15min_qs"]
+def _zeros(per: str, col: str, phase: str, whole: bool = False) -> str:
+    """0 in the missing periods of an entity's days with data, or of the whole report."""
+    step, src = ("1 hour" if per == "Hour" else "15 minute"), _source(per, col, phase)
+    lo, hi = ("timestamp '2024-01-01'", "timestamp '2024-02-01'") if whole else ("day", "day + interval 1 day")
+    day = "" if whole else f", date_trunc('day', {per}) AS day"
+    return f"""(SELECT g.SignalID, g.{per}, coalesce(s.{col}, 0) AS {col}, 1 AS ones FROM (SELECT SignalID, CallPhase, unnest(generate_series({lo}, {hi} - interval {step}, interval {step})) AS {per}
+      FROM (SELECT DISTINCT SignalID, CallPhase{day} FROM {src})) g LEFT JOIN {src} s USING (SignalID, CallPhase, {per}))"""
 
 
-@query(
-    "p17_quarter_hour_progression", "Zone_Group, Corridor, Timeperiod, ~pr, ~delta",
-    rollup(f"({period_avg('(SELECT SignalID, Timeperiod, x * 2 AS pr, n AS vol FROM ' + _base('counts_15') + ')', 'Timeperiod', 'pr', 'vol')})", "Timeperiod", "pr", level="subcorridors"),
-)
-def _(v):
-    return _package(v, "Timeperiod")["sub_15min_pr"]
+def _period_queries() -> None:
+    """Arrivals, progression, failures and spillback of both packages, all three levels among them."""
+    for number, per, word in (("p16", "Hour", "hourly"), ("p17", "Timeperiod", "15min")):
+        sources = {
+            "aog": (_span(per, "aog"), "aog", "vol", "sig"),
+            "pr": (_span(per, "pr").replace("x AS pr", "x * 2 AS pr"), "pr", "vol", "sub"),
+            "sf": (_zeros(per, "sf_freq", "0", whole=per == "Timeperiod"), "sf_freq", "ones", "cor"),
+            "qs": (_zeros(per, "qs_freq", "CallPhase"), "qs_freq", "ones", "sub" if per == "Hour" else "cor"),
+        }
+        for table, (src, col, wt, level) in sources.items():
+            signals = f"(SELECT * EXCLUDE ({wt}) FROM ({period_avg(src, per, col, wt)}))"
+            sql = rollup(signals, per, col, level="subcorridors" if level == "sub" else "corridors")
+            if level == "sig":
+                spec, sql = f"Zone_Group, Corridor, {per}, ~{col}, ~delta", signal_rows(signals[1:-1], sql, per, col)
+            else:
+                spec = f"Zone_Group, Corridor, {per}, ~{col}, ~delta"
+            query(f"{number}_{word}_{table}_{level}", spec, sql)(lambda v, per=per, name=f"{level}_{word}_{table}": _package(v, per)[name])
+
+
+_period_queries()
 
 
 @query("p18_quarters_of_bundle", "Corridor, Zone_Group, Quarter, ~vph, ~delta", quarterly(

@@ -385,15 +385,16 @@ def approach_delay(
     ).join(longest, ["SignalID", "Date"], "left")
     limit = F.coalesce(F.col("CycleLength").cast("double"), F.when(F.col("_max") > 0, F.col("_max").cast("double")), F.lit(float(nominal_cycle)))
     kept = timed.where(F.col("delay") < limit * 3)
-    found = kept.groupBy("SignalID", floor_minutes("DetTimeStamp", minutes).alias("Hour")).agg(
+    found = kept.groupBy("SignalID", "Date", floor_minutes("DetTimeStamp", minutes).alias("Hour")).agg(
         F.avg("delay").alias("delay"), F.count("delay").alias("vol")
     )
     starts = F.sequence(
         midnight("Date"), midnight("Date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1440 - minutes)),
         F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes)),
     )
-    grid = detections.select("SignalID", "Date").distinct().select("SignalID", F.explode(starts).alias("Hour"))
-    return grid.join(found, ["SignalID", "Hour"], "left").select(
+    # arrivals that travel past midnight belong to no period of their day
+    grid = detections.select("SignalID", "Date").distinct().select("SignalID", "Date", F.explode(starts).alias("Hour"))
+    return grid.join(found, ["SignalID", "Date", "Hour"], "left").select(
         "SignalID", "Hour", F.coalesce("delay", F.lit(0.0)).alias("delay"), F.coalesce("vol", F.lit(0)).alias("vol")
     )
 

@@ -52,44 +52,54 @@ def presses_too_high(paph: DataFrame, start) -> DataFrame:
 def regularized_gamma(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
     """P(shape, x) by its power series, or the continued fraction of the complement."""
     out = np.full(len(shape), np.nan)
-    for i, (a, v) in enumerate(zip(shape, x)):
-        if not (a > 0 and v >= 0 and math.isfinite(a) and math.isfinite(v)):
-            continue
-        if v == 0:
-            out[i] = 0.0
-            continue
-        scale = math.exp(a * math.log(v) - v - math.lgamma(a))
-        if v < a + 1:
-            term = total = 1.0 / a
-            n = a
-            for _ in range(10_000):
-                n += 1
-                term *= v / n
-                total += term
-                if term < total * 1e-16:
-                    break
-            out[i] = total * scale
-        else:
-            tiny = 1e-300
-            b = v + 1 - a
-            c, d = 1 / tiny, 1 / b
-            h = d
-            for k in range(1, 10_000):
-                an = -k * (k - a)
-                b += 2
-                d = an * d + b
-                d = tiny if abs(d) < tiny else d
-                c = b + an / c
-                c = tiny if abs(c) < tiny else c
-                d = 1 / d
-                step = d * c
-                h *= step
-                if abs(step - 1) < 1e-15:
-                    break
-            out[i] = 1 - scale * h
+    usable = (shape > 0) & (x >= 0) & np.isfinite(shape) & np.isfinite(x)
+    out[usable & (x == 0)] = 0.0
+    usable &= x > 0
+    low, high = usable & (x < shape + 1), usable & (x >= shape + 1)
+    scale = lambda a, v: np.exp(a * np.log(v) - v - _log_gamma(a))
+    if low.any():
+        out[low] = _series(shape[low], x[low]) * scale(shape[low], x[low])
+    if high.any():
+        out[high] = 1 - _fraction(shape[high], x[high]) * scale(shape[high], x[high])
     return out
 
 
+def _log_gamma(a: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.lgamma, a), float, len(a))
+
+
+def _series(a: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Power series of the lower function; terms shrink from the start as v < a + 1, so it ends."""
+    n, term = a.copy(), 1.0 / a
+    total = term.copy()
+    while (term >= total * 1e-16).any():
+        n += 1
+        term = term * v / n
+        total += term
+    return total
+
+
+def _fraction(a: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Continued fraction of the upper function, until every step is 1 to working precision."""
+    tiny = 1e-300
+    b = v + 1 - a
+    c, d = np.full(len(a), 1 / tiny), 1 / b
+    h, k = d.copy(), 0
+    live = np.ones(len(a), bool)
+    while live.any():
+        k += 1
+        an = -k * (k - a)
+        b = b + 2
+        d, c = an * d + b, b + an / c
+        d, c = np.where(np.abs(d) < tiny, tiny, d), np.where(np.abs(c) < tiny, tiny, c)
+        d = 1 / d
+        step = d * c
+        h = np.where(live, h * step, h)
+        # rounding keeps some steps a few units away from 1
+        live &= np.abs(step - 1) >= 4e-16 * max(1, k)
+    return h
+
+
 @F.pandas_udf(T.DoubleType())
 def gamma_cdf(shape: pd.Series, x: pd.Series) -> pd.Series:
     return pd.Series(regularized_gamma(shape.to_numpy(float), x.to_numpy(float)))

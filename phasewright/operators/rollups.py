@@ -261,8 +261,8 @@ def corridor_at_peaks(cor: DataFrame, var: str = "vph", wt: str | None = None, p
 
 
 def quarterly(monthly: DataFrame, var: str, wt: str | None = None, operation: str = "avg") -> DataFrame:
-    """Quarters of a corridor's months: weighted mean, sum or the latest month."""
-    rows, wt = _weighted(monthly, wt)
+    """Quarters of a corridor's months: weighted mean, sum or the latest month (A26); the weight is ``ones``, 1 where that is absent."""
+    rows, wt = _weighted(monthly, wt or ONES)
     rows = rows.withColumn("Quarter", quarter_of("Month"))
     key = ["Corridor", "Zone_Group", "Quarter"]
     if operation == "avg":

@@ -226,23 +226,25 @@ def approach_delay(hourly: DataFrame, corridors: DataFrame) -> Bundle:
     return Bundle(A.aggregate_plans(METRICS["ad"], df, corridors, subcorridor_view(corridors)))
 
 
-def period_package(
-    df: DataFrame, corridors: DataFrame, var: str, wt: str | None, table: str, *, period: str = "Hour", sums: bool = False,
-    fill: float | None = None, minutes: int = 60,
-) -> Bundle:
-    """One measure on hours or quarter-hours at the three levels.
+def complete_span(df: DataFrame, period: str, minutes: int, start, end, fill: dict[str, float] | None = None, by: tuple[str, ...] = ("SignalID",)) -> DataFrame:
+    """Every period from ``start`` to before ``end`` for each entity; values are null, or those of ``fill``."""
+    first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    grid = df.select(*by).distinct().select(*by, F.explode(F.sequence(first, last - step, step)).alias(period))
+    out = grid.join(df, [*by, period], "left")
+    return out.na.fill(fill) if fill else out
 
-    ``fill`` completes each signal's periods from the first to the last of the data with
-    that value; None leaves gaps.
-    """
-    if fill is not None:
-        span = df.agg(F.struct(F.min(period).alias("lo"), F.max(period).alias("hi"))).scalar()
-        entity = ["SignalID", *(["CallPhase"] if "CallPhase" in df.columns else [])]
-        step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-        grid = df.select(*entity).distinct().withColumn("_s", span).select(
-            *entity, F.explode(F.sequence(F.col("_s.lo"), F.col("_s.hi"), step)).alias(period)
-        )
-        df = grid.join(df, [*entity, period], "left").withColumn(var, F.coalesce(F.col(var), F.lit(fill)))
+
+def complete_days(df: DataFrame, period: str, minutes: int, fill: dict[str, float], by: tuple[str, ...] = ("SignalID", "CallPhase")) -> DataFrame:
+    """Every period of the days on which an entity has data, with ``fill`` where a period is missing."""
+    day, step = F.col("_day").cast("timestamp_ntz"), F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+    last = day + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1440 - minutes))
+    grid = df.select(*by, F.to_date(period).alias("_day")).distinct().select(*by, F.explode(F.sequence(day, last, step)).alias(period))
+    return grid.join(df, [*by, period], "left").na.fill(fill)
+
+
+def period_package(df: DataFrame, corridors: DataFrame, var: str, wt: str | None, table: str, *, period: str = "Hour", sums: bool = False) -> Bundle:
+    """One measure on hours or quarter-hours at the three levels."""
     signal = cache(partial(A.period_sum, df, var, period) if sums else partial(A.period_avg, df, var, period, wt))
     plans: dict[str, Plan] = {
         f"{level}_{table}": lambda h=h: A.corridor_rollup(signal(), h, var, None, period=period)
@@ -256,31 +258,38 @@ def period_package(
 
 def hourly_package(
     paph: DataFrame, bad_ped: DataFrame, vph: DataFrame, aog: DataFrame, sf: DataFrame, qs: DataFrame, delay: DataFrame,
-    corridors: DataFrame, *, period: str = "Hour",
+    corridors: DataFrame, *, start, end, period: str = "Hour",
 ) -> Bundle:
-    """The seven measures by hour (P16) or by quarter-hour (P17, ``period="Timeperiod"``).
+    """The seven measures by hour (P16) or by quarter-hour (P17, ``period="Timeperiod"``) of the report from ``start`` to before ``end``.
 
-    Presses of bad input-days are left out. In the quarter-hour package missing periods
-    are 0 for failures and spillback and stay missing for arrivals and progression.
+    Presses of bad input-days are left out. Arrivals and progression have a null row for each
+    signal's period without vehicles, so a change after a gap is null. Failures and spillback are
+    0 in the missing periods of days with data (quarter-hour failures: of the whole report) and
+    averaged without weights.
     """
     quarter = period == "Timeperiod"
-    minutes, fill = (15, 0.0) if quarter else (60, None)
+    minutes = 15 if quarter else 60
     pa = paph.withColumn("Date", F.to_date(period)).join(bad_ped, ["SignalID", "Detector", "Date"], "left_anti").drop("Date")
-    kw = {"period": period, "minutes": minutes}
 
     def on_period(df):
         return df.withColumnRenamed("Date_Hour", period) if "Date_Hour" in df.columns else df
 
-    any_phase = on_period(sf.where("CallPhase = 0"))
+    arrivals = complete_span(on_period(aog), period, minutes, start, end)
+    failures, spillback = on_period(sf.where("CallPhase = 0")), on_period(qs)
+    if quarter:
+        failures = complete_span(failures, period, minutes, start, end, {"sf_freq": 0.0}, ("SignalID", "CallPhase"))
+    else:
+        failures = complete_days(failures, period, minutes, {"sf_freq": 0.0})
+    spillback = complete_days(spillback, period, minutes, {"qs_freq": 0.0})
     suffix = "15min" if quarter else "hourly"
     return (
-        period_package(pa, corridors, "paph", None, f"{suffix}_pa", sums=True, **kw)
-        | period_package(vph, corridors, "vph", None, f"{suffix}_vol", sums=True, **kw)
-        | period_package(on_period(aog), corridors, "aog", "vol", f"{suffix}_aog", **kw)
-        | period_package(on_period(aog), corridors, "pr", "vol", f"{suffix}_pr", **kw)
-        | period_package(any_phase, corridors, "sf_freq", None if quarter else "cycles", f"{suffix}_sf", fill=fill, **kw)
-        | period_package(on_period(qs), corridors, "qs_freq", None if quarter else "cycles", f"{suffix}_qs", fill=fill, **kw)
-        | period_package(delay, corridors, "delay", "vol", f"{suffix}_ad", **kw)
+        period_package(pa, corridors, "paph", None, f"{suffix}_pa", sums=True, period=period)
+        | period_package(vph, corridors, "vph", None, f"{suffix}_vol", sums=True, period=period)
+        | period_package(arrivals, corridors, "aog", "vol", f"{suffix}_aog", period=period)
+        | period_package(arrivals, corridors, "pr", "vol", f"{suffix}_pr", period=period)
+        | period_package(failures, corridors, "sf_freq", None, f"{suffix}_sf", period=period)
+        | period_package(spillback, corridors, "qs_freq", None, f"{suffix}_qs", period=period)
+        | period_package(delay, corridors, "delay", "vol", f"{suffix}_ad", period=period)
     )
 
 

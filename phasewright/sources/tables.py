@@ -224,29 +224,24 @@ def publish(spark: SparkSession, df: DataFrame, table: str, period: str | None,
     spark.sql(f"DROP TABLE {stage}")
 
 
-PERIODS = ("Quarter", "Month", "Date", "Hour", "Timeperiod")
-PERIOD_OF = {"qu": "Quarter", "mo": "Month", "wk": "Date", "dy": "Date"}
+PERIODS = ("Quarter", "Timeperiod", "Hour", "Month", "Date")
 
 
 def publish_bundle(spark: SparkSession, bundle: dict[str, DataFrame], *, prefix: str = "", **window) -> None:
-    """Publish every table of a bundle named ``{level}_{period}_{table}``.
+    """Publish every table of a bundle (S25, S26); a table's period is the first of ``PERIODS`` among its columns.
 
-    The loop is over table names; each write is its own distributed job.
+    Tables by quarter and tables without a period are replaced whole. The loop is over table
+    names; each write is its own distributed job.
     """
     for name, df in bundle.items():
-        kind = PERIOD_OF[name.split("_")[1]]
-        period = kind if kind in df.columns else next((p for p in PERIODS if p in df.columns), None)
+        period = next((p for p in PERIODS if p in df.columns), None)
         publish(spark, df, prefix + name, None if period == "Quarter" else period, **window)
 
 
-def key_value(key: str, df: DataFrame, *, rows_per_part: int = 10_000) -> DataFrame:
-    """A configuration table as JSON (S27): one row, or one per part where the table is larger than that."""
+def key_value(key: str, df: DataFrame) -> DataFrame:
+    """A configuration table as one row with a JSON array."""
     row = F.struct(*[F.col(c) for c in df.columns])
-    parts = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / rows_per_part))).scalar()
-    placed = df.select(row.alias("_row"), F.pmod(F.xxhash64(row), parts).cast("int").alias("part"))
-    return placed.groupBy("part").agg(F.to_json(F.array_sort(F.collect_list("_row"))).alias("data")).select(
-        F.lit(key).alias("key"), "part", "data"
-    )
+    return df.agg(F.to_json(F.array_sort(F.collect_list(row))).alias("data")).select(F.lit(key).alias("key"), "data")
 
 
 # Nested signal details ----------------------------------------------------------------------

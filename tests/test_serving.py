@@ -155,24 +155,17 @@ def test_staging_uses_the_folder_the_session_names(spark, tmp_path, monkeypatch)
     df = settings.stage(spark.range(5).withColumn("t", F.lit(at("8:00")).cast("timestamp_ntz")))
     assert df.count() == 5 and str(df.schema["t"].dataType) == "TimestampNTZType()"
     assert "RDDScan" not in df._jdf.queryExecution().toString() and any(tmp_path.iterdir())
-    monkeypatch.setattr(settings, "shared_folder", lambda s: None)
-    plain = spark.range(3)
-    assert settings.stage(plain) is plain
-    with pytest.raises(RuntimeError):
-        settings.new_path(spark, "x")
 
 
-def _stub(master, **conf):
+def _stub(**conf):
     """The parts of a session that decide the shared folder."""
-    context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda key: None))
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: conf.get(key, default)), sparkContext=context)
+    context = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda key: None))
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), sparkContext=context)
 
 
 def test_shared_folder_is_the_one_the_session_names():
-    assert settings.shared_folder(_stub("yarn", **{"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
-    assert settings.shared_folder(_stub("yarn")) is None
-    own = settings.shared_folder(_stub("local[2]"))
-    assert own and own == settings.shared_folder(_stub("local[2]"))
+    assert settings.shared_folder(_stub(**{"spark.checkpoint.dir": "hdfs:///shared"})) == "hdfs:///shared"
+    assert settings.shared_folder(_stub(**{"spark.sql.warehouse.dir": "hdfs:///tables/"})) == "hdfs:///tables/_staged"
 
 
 def test_count_job_twice_leaves_the_store_unchanged(spark, log, tmp_path):
@@ -194,9 +187,9 @@ def test_metrics_have_one_descriptor_per_table():
     assert all(name == m.table for name, m in METRICS.items()) and METRICS["aogd"].weight == "vol"
 
 
-def test_key_value_splits_large_tables(spark):
+def test_key_value_is_one_row(spark):
     df = spark.range(100).withColumn("n", F.col("id") * 2)
-    one, many = S.key_value("k", df), S.key_value("k", df, rows_per_part=30)
-    assert one.count() == 1 and 1 < many.count() <= 4
-    back = many.select(F.explode(F.from_json("data", "array<struct<id: bigint, n: bigint>>")).alias("r")).select("r.*")
+    stored = S.key_value("k", df)
+    assert [r["key"] for r in stored.collect()] == ["k"] and S.key_value("k", df.limit(0)).count() == 1
+    back = stored.select(F.explode(F.from_json("data", "array<struct<id: bigint, n: bigint>>")).alias("r")).select("r.*")
     assert rows(back) == rows(df)
