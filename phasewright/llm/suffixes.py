@@ -206,11 +206,12 @@ def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", t
     rows = docs.select(id_key(F.col(id_col)).alias("doc_id"), whole(F.col(text_col)).alias("text")).withColumn("text_key", F.xxhash64("text"))
     long = rows.where(F.octet_length("text") >= window)
     cut = lambda places: (lambda batches: _cut(batches, window, places))
-    often = long.mapInPandas(cut(False), "anchor long").groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor")
+    # stored aggregates: a join on stored rows splits a hot anchor, one on an aggregate cannot
+    often = stage(long.mapInPandas(cut(False), "anchor long").groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "anchors")
     parts = stage(long.mapInPandas(cut(True), _CUT).join(often, "anchor", "left_semi"), "segments")
     place = F.struct("doc_id", "text_key", "first", "n")
     folded = stage(parts.groupBy("anchor", "segment").agg(F.count("*").alias("count"), F.min(place).alias("place")), "folded")
-    kinds = folded.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    kinds = stage(folded.groupBy("anchor").agg(F.count("*").alias("kinds")), "kinds")
     known = folded.join(kinds, "anchor").select("anchor", "segment", "count", "place.*", "kinds")
     mixed = known.where("kinds > 1").withColumn("hot", F.col("kinds") > HOT)
 
