@@ -53,6 +53,7 @@ def keep_bitmaps(
         .groupBy("_key").agg(F.sum("_one").alias("_docs"), F.min("_order").alias("_first"))
         .where(F.col("_docs") >= min_docs)
     )
+    firsts = stage(firsts, "line-firsts")  # a join on stored rows splits a hot key, one on an aggregate cannot
     lost = ordered.join(firsts, "_key").where(F.col("_order") != F.col("_first"))
     per_doc = lost.groupBy("_doc", "_text").agg(F.array_sort(F.collect_set("_pos")).alias("_lost"))
     return per_doc.select("_doc", "_text", _runs_between(F.col("_lost")).alias("_gaps"))
