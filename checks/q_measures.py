@@ -470,7 +470,7 @@ def _(v):
 TINT_SQL = f"""WITH c AS (SELECT SignalID, Date, Timestamp, EventParam AS p, lag(EventParam) OVER w AS prev,
     last_value(CASE WHEN EventParam = 5 THEN Timestamp END IGNORE NULLS) OVER (PARTITION BY SignalID, Date ORDER BY Timestamp
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS five FROM event_log_day WHERE EventCode = 150
-    WINDOW w AS (PARTITION BY SignalID, Date ORDER BY Timestamp)),
+    WINDOW w AS (PARTITION BY SignalID, Date ORDER BY Timestamp, EventParam)),
   e AS (SELECT SignalID, Date, Timestamp AS e, {secs('five', 'Timestamp')} AS cl FROM c WHERE p = 5 AND prev = 1),
   t AS (SELECT SignalID, Date, {secs('min(s)', 'e')} AS sec, any_value(cl) AS cl FROM (SELECT c.SignalID, c.Date, c.Timestamp AS s, e.e, e.cl FROM
     (SELECT * FROM c WHERE p IN (2, 3, 4)) c ASOF JOIN e ON c.SignalID = e.SignalID AND c.Date = e.Date AND c.Timestamp <= e.e) GROUP BY SignalID, Date, e),

@@ -88,13 +88,13 @@ def _(v):
     return _activations(v)["cor_wk_paph"]
 
 
-_PED_LOG = _PED.format(log="(SELECT * FROM event_log WHERE EventCode <> 132)")
+_PED_LOG = _PED.format(log="event_log")
 _PED_DAILY = f"(SELECT SignalID, 0 AS CallPhase, Date, {week('Date')} AS Week, Avg_Max_Ped_Delay AS pd, Events FROM ({_PED_LOG}))"
 
 
 @query("p04_ped_delay_week", WK.format(v="pd"), rollup(sub(weekly_avg(_PED_DAILY, "pd", "Events")), "Date", "pd", "Events"))
 def _(v):
-    daily = M.ped_delay(v.event_log().where("EventCode <> 132"), max_free=30000)
+    daily = M.ped_delay(v.event_log(), max_free=30000)
     return P.ped_delay(stage(daily), v.corridors())["cor_wk_pd"]
 
 

@@ -13,7 +13,7 @@ from phasewright.operators import counts as C
 from phasewright.operators import rollups as A
 from phasewright.operators import serving as Q
 from phasewright.schemas import Metric
-from phasewright.session import new_path
+from phasewright.session import new_path, stage
 from phasewright.sources import tables as S
 
 METRIC = Metric("Value", "value", "m", weight="weight", hourly_table="mh")
@@ -218,12 +218,12 @@ def _(v):
     "SELECT CameraID, Description, " + ", ".join(
         f"""CASE coalesce(max(up) FILTER (WHERE Date = date '{d}'), 0) WHEN 0 THEN 'Camera Down' WHEN 1 THEN 'Working at encoder, but not 511'
         ELSE 'Working on 511' END AS d{_D[d]}""" for d in _DAYS
-    ) + " FROM (SELECT SignalID AS CameraID, 'cam ' || SignalID AS Description, Date, weight % 3 AS up FROM daily_measure WHERE CallPhase = 2) GROUP BY ALL",
+    ) + " FROM (SELECT SignalID AS CameraID, 'cam ' || SignalID AS Description, Date, weight % 3 AS up FROM daily_measure) GROUP BY ALL",
 )
 def _(v):
-    d = v.daily_measure().where("CallPhase = 2").select(
-        F.col("SignalID").alias("Corridor"), F.concat(F.lit("cam "), "SignalID").alias("Description"), "Date", (F.col("weight") % 3).alias("up")
-    )
+    d = v.daily_measure().groupBy(
+        F.col("SignalID").alias("Corridor"), F.concat(F.lit("cam "), "SignalID").alias("Description"), "Date"
+    ).agg(F.max(F.col("weight") % 3).alias("up"))
     return _renamed(Q.status_matrix(d, "GROUP_0", _DAYS))
 
 
@@ -476,8 +476,8 @@ _DETAILS = """SELECT coalesce(r.Timeperiod, f.Timeperiod, a.Timeperiod) AS Timep
 
 
 def details(v):
-    counted = C.counts(v.event_log(), v.det_config())
-    filtered = C.filter_counts(counted, v.det_config(), LOW_HOURLY)
+    counted = stage(C.counts(v.event_log(), v.det_config()))
+    filtered = stage(C.filter_counts(counted, v.det_config(), LOW_HOURLY))
     return S.signal_details(counted, filtered, C.adjust_counts(filtered))
 
 

@@ -177,13 +177,12 @@ PLACE = "Zone_Group, Zone, Corridor"
 
 @query(
     "w01_watchdog_alerts", f"{PLACE}, SignalID, CallPhase, Detector:int, Alert, Name, Date",
-    f"""SELECT {PLACE}, SignalID, cast(Phase as varchar) AS CallPhase, cast(replace(DetectorID, SignalID, '') as int) AS Detector,
-    replace(Message, ' threshold exceeded', '') AS Alert, Name, cast(TimeStamp as date) AS Date FROM (SELECT DISTINCT * FROM watchdog_messages WHERE TimeStamp > timestamp '2023-10-23'
-    AND NOT (SignalID = cast(Phase as varchar))) JOIN corridors USING (SignalID)""",
+    f"""SELECT {PLACE}, SignalID, cast(Phase as varchar) AS CallPhase, try_cast(replace(DetectorID, SignalID, '') as int) AS Detector,
+    replace(Message, ' threshold exceeded', '') AS Alert, Name, cast(TimeStamp as date) AS Date FROM (SELECT DISTINCT * FROM watchdog_messages WHERE TimeStamp > timestamp '2023-10-23') JOIN corridors USING (SignalID)""",
 )
 def _(v):
-    # Where a signal id equals its detector number the id text removes both; such rows are left out here.
-    return W.watchdog_alerts(v.watchdog_messages().where("SignalID <> cast(Phase as string)"), v.corridors(), AS_OF)
+    # where a signal id equals its detector number the id text removes both and no number is left
+    return W.watchdog_alerts(v.watchdog_messages(), v.corridors(), AS_OF)
 
 
 @query(

@@ -403,15 +403,15 @@ def time_in_transition(events: DataFrame, *, bin_seconds: int = 3600) -> DataFra
     """Minutes and cycles spent moving between coordination plans, per signal and day."""
     coord = events.where("EventCode = 150").select("SignalID", "Date", "Timestamp", F.col("EventParam").alias("state"))
     key = ["SignalID", "Date"]
-    last_state = F.struct(F.col("state"))
+    # the row before, which may be of the same instant; a signal's day has few plan changes
+    coord = coord.withColumn("_prev", F.lag("state").over(Window.partitionBy(*key).orderBy("Timestamp", "state")))
     ends = carry(
         coord, key, "Timestamp",
         [
-            Mark("_prev", F.lit(True), last_state, strict=True),
             Mark("_five", F.col("state") == 5, F.col("Timestamp"), strict=True),
         ],
         rank=F.col("state"), bin_seconds=bin_seconds,
-    ).where((F.col("state") == 5) & (F.col("_prev.state") == 1)).select(
+    ).where((F.col("state") == 5) & (F.col("_prev") == 1)).select(
         *key, F.col("Timestamp").alias("endTimestamp"), seconds_between("_five", "Timestamp").alias("CycleLength")
     )
     starts = coord.where(F.col("state").isin(2, 3, 4))

@@ -253,11 +253,13 @@ def signal_details(raw: DataFrame, filtered: DataFrame, adjusted: DataFrame) ->
     An array holds one day of one signal: detectors times 24 hours.
     """
     key = ["SignalID", "Timeperiod", "Detector", "CallPhase"]
-    rows = (
-        raw.select(*key, F.col("vol").alias("vol_rc"))
-        .join(filtered.select(*key, "Good_Day"), key, "full_outer")
-        .join(adjusted.select(*key, F.col("vol").alias("_ac")), key, "full_outer")
+    none = lambda kind: F.lit(None).cast(kind)
+    tagged = (
+        raw.select(*key, F.col("vol").cast("double").alias("vol_rc"), none("int").alias("Good_Day"), none("double").alias("_ac"))
+        .union(filtered.select(*key, none("double"), F.col("Good_Day").cast("int"), none("double")))
+        .union(adjusted.select(*key, none("double"), none("int"), F.col("vol").cast("double")))
     )
+    rows = tagged.groupBy(*key).agg(F.max("vol_rc").alias("vol_rc"), F.max("Good_Day").alias("Good_Day"), F.max("_ac").alias("_ac"))
     bad = F.col("Good_Day") == 0
     item = F.struct(
         F.col("Detector").alias("detector"), F.hour("Timeperiod").alias("hour"), F.col("CallPhase").alias("callphase"),
