@@ -334,12 +334,12 @@ def gamma_sql(src: str, by: str) -> str:
 
 
 _GRID = f"""SELECT i.*, d.Date, coalesce(p.papd, 0) AS papd, extract(dow from d.Date) BETWEEN 1 AND 5 AS weekday FROM (SELECT DISTINCT {_IN} FROM ({_PAPD_SQL})) i,
-  (SELECT DISTINCT Date FROM ({_PAPD_SQL})) d LEFT JOIN ({_PAPD_SQL}) p ON p.SignalID = i.SignalID AND p.Detector = i.Detector AND p.Date = d.Date"""
+  (SELECT unnest(generate_series(date '2023-08-01', date '2024-02-04', interval 1 day))::date AS Date) d LEFT JOIN ({_PAPD_SQL}) p ON p.SignalID = i.SignalID AND p.Detector = i.Detector AND p.Date = d.Date"""
 _PED_UP = f"""WITH g AS ({_GRID}), k AS (SELECT *, row_number() OVER w AS idx FROM g WINDOW w AS (PARTITION BY {_IN} ORDER BY Date)),
   s AS (SELECT *, CASE WHEN papd > 0 THEN NULL ELSE last_value(CASE WHEN papd > 0 THEN idx END IGNORE NULLS) OVER (PARTITION BY {_IN} ORDER BY Date) END AS streak FROM k),
-  f AS ({gamma_sql('g', _IN + ', weekday')}),
+  later AS (SELECT * FROM s WHERE Date >= date '2024-01-01'), f AS ({gamma_sql('later', _IN + ', weekday')}),
   r AS (SELECT s.*, CASE WHEN streak IS NULL THEN 0 WHEN bool_or(p0 IS NULL) OVER w THEN NULL ELSE 1 - product(p0) OVER w END AS problow
-    FROM s LEFT JOIN f USING ({_IN}, weekday) WINDOW w AS (PARTITION BY {_IN}, streak)),
+    FROM later s LEFT JOIN f USING ({_IN}, weekday) WINDOW w AS (PARTITION BY {_IN}, streak)),
   h AS (SELECT r.*, t.toohigh IS NOT NULL AS high FROM r LEFT JOIN (SELECT * FROM ({_TOO_HIGH.replace('WITH p AS', 'WITH pz AS (' + _SCALED + "), p AS (SELECT * FROM pz WHERE Date >= date '2024-01-08'), pq AS", 1)})) t
     USING ({_IN}, Date) WHERE r.Date >= date '2024-01-08')
   SELECT {_IN}, Date, papd, problow, cast(high as int) AS probhigh, CASE WHEN problow > 0.99 OR high THEN 0 WHEN NOT (problow > 0.99 OR high) THEN 1 END AS uptime FROM h"""
@@ -352,12 +352,12 @@ def _(v):
 
 @query("m17_ped_uptime", "SignalID, Detector:int, CallPhase:int, Date, papd:bigint, ~problow, probhigh:int, uptime:int", _PED_UP)
 def _(v):
-    return PB.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01")
+    return PB.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01", "2024-02-04")
 
 
 @query("m05_bad_ped_inputs", "SignalID, Detector:int, Date", f"SELECT * FROM ({_PED_UP}) WHERE uptime = 0")
 def _(v):
-    return M.bad_ped_inputs(PB.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01"))
+    return M.bad_ped_inputs(PB.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01", "2024-02-04"))
 
 
 

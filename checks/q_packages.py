@@ -50,7 +50,7 @@ _PAU = f"(SELECT SignalID, Detector AS CallPhase, Date, {week('Date')} AS Week,
 
 
 def _pau(v):
-    return P.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01")
+    return P.ped_uptime(_papd(v), _paph(v), v.corridors(), "2024-01-08", "2024-01-01", "2024-02-04")
 
 
 @query("p02_ped_uptime_day", WK.format(v="uptime"), rollup(f"(SELECT SignalID, Date, uptime FROM ({period_avg(_PAU, 'Date', 'uptime', 'ones')}))", "Date", "uptime"))

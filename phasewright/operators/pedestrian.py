@@ -121,10 +121,13 @@ def low_press_probability(papd: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ped_uptime(
-    papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, ped_config: DataFrame | None = None
+    papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, report_end, ped_config: DataFrame | None = None
 ) -> DataFrame:
     """Push-button uptime by day: 0 where a run of silent days is too unlikely or presses are too high.
 
+    Every input has every day from the month six months before ``report_end`` (or from
+    ``calc_start``, if that is earlier) to ``report_end``, with 0 presses where there are none.
+
     The probability uses the whole run, later days included. Windows run over one row
     per input and day.
     """
@@ -135,7 +138,10 @@ def ped_uptime(
         listed = ped_config.join(known, "SignalID", "left_semi").join(days, "Date", "left_semi").select(*INPUT, "Date").distinct()
         daily = daily.join(listed, [*INPUT, "Date"], "full_outer")
     daily = daily.where("CallPhase <> 0")
-    daily = complete_seen(daily, INPUT, ["Date"], {"papd": 0}).withColumn("weekday", F.dayofweek("Date").between(2, 6))
+    end = F.lit(report_end).cast("date")
+    first = F.least(F.lit(calc_start).cast("date"), F.trunc(F.add_months(end, -6), "month"))
+    days = daily.select(*INPUT).distinct().select(*INPUT, F.explode(F.sequence(first, end)).alias("Date"))
+    daily = days.join(daily, [*INPUT, "Date"], "left").na.fill({"papd": 0}).withColumn("weekday", F.dayofweek("Date").between(2, 6))
     daily = zero_streak_id(daily, INPUT, "Date", "papd", "streak_id")
     since = corridors.groupBy("SignalID").agg(F.min("Asof").alias("_asof"))
     daily = daily.join(since, "SignalID", "left").where(

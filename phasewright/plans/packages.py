@@ -108,9 +108,9 @@ def detector_uptime(ddu: DataFrame, corridors: DataFrame) -> Bundle:
     return weekly | plans
 
 
-def ped_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, config=None) -> Bundle:
+def ped_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, report_end, config=None) -> Bundle:
     """Push-button uptime (staged), its rollups, the bad inputs and the repaired counts."""
-    pau = stage(PB.ped_uptime(papd, paph, corridors, calc_start, report_start, config))
+    pau = stage(PB.ped_uptime(papd, paph, corridors, calc_start, report_start, report_end, config))
     by_input = pau.withColumn("CallPhase", F.col("Detector"))
     frames = {
         "dy": (partial(A.daily_avg, by_input, "uptime"), "Date"),

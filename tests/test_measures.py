@@ -148,7 +148,7 @@ def test_long_silence_fails_every_day_of_the_run(spark):
     values = [50, 60, 55, 52, 58, 54, 57] * 3 + [0] * 6
     paph = spark.createDataFrame([("1", 1, 2, DAY, at("8:00"), 5)], "SignalID string, Detector int, CallPhase int, Date date, Hour timestamp_ntz, paph int")
     corridors = spark.createDataFrame([("1", DAY)], "SignalID string, Asof date")
-    out = PB.ped_uptime(_papd(spark, values), paph, corridors, DAY, DAY)
+    out = PB.ped_uptime(_papd(spark, values), paph, corridors, DAY, DAY, DAY + timedelta(26))
     got = [r["uptime"] for r in out.orderBy("Date").collect()]
     assert got == [1] * 21 + [0] * 6
 
