@@ -363,6 +363,35 @@ def _(v):
     return S.cycle_data(v.stored_tables()[1], lambda d: d.where(F.col("Phase").isin(3, 4, 7, 8)))
 
 
+@query("s03_stored_cycles", "SignalID, Phase:int, CycleStart, PhaseStart, PhaseEnd, EventCode:int, Date", "SELECT * FROM cycles")
+def _(v):
+    path = _path(v, "cycles")
+    S.write_days(v.stored_tables()[1], path)
+    return S.cycle_data(S.read_table(v.spark, path))
+
+
+@query(
+    "s04_stored_detections", "SignalID, Phase:int, Detector:int, CycleStart, PhaseStart, EventCode:int, DetTimeStamp, ~DetDuration, Date",
+    "SELECT * FROM detections",
+)
+def _(v):
+    path = _path(v, "detections")
+    S.write_days(v.stored_tables()[2], path)
+    return S.read_table(v.spark, path)
+
+
+@query(
+    "s07_stored_configuration", "SignalID, Detector:int, CallPhase:int, Date",
+    "SELECT SignalID, Detector, CallPhase, unnest([date '2024-01-02', date '2024-01-03']) AS Date FROM det_config",
+)
+def _(v):
+    config = v.det_config().select("SignalID", "Detector", "CallPhase")
+    days = F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date"))
+    path = _path(v, "config")
+    S.write_days(config.withColumn("Date", F.explode(days)), f"{path}/detectors")
+    return S.config_reader(v.spark, path, "detectors", config.schema)("2024-01-02", "2024-01-03")
+
+
 @query(
     "s05_detection_events", "SignalID, Phase:int, Detector:int, CycleStart, PhaseStart, DetOn, DetOff, ~DetDuration, Date",
     f"SELECT *, DetTimeStamp AS DetOn, {plus('DetTimeStamp', 'DetDuration')} AS DetOff FROM detections WHERE Detector <= 4",
