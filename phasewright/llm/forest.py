@@ -3,10 +3,10 @@
 Documents with equal shingle sets are one class. Each class enters several sorted orders of its
 signature; in each order a class is compared with its neighbours by longest common prefix. How
 deep a prefix must be depends on the region: where few classes share the first digits all of
-them are compared, in dense regions only those that share more, and each class always with the
-next one. The few strongest candidates of each class are confirmed on full sets first; of the
-others only those between different components are, together with the neighbours from other
-components that a second walk over the dense regions finds.
+them are compared; in dense regions a class meets those next to it, which share the longest
+prefixes, if their whole signatures allow for a link. The few strongest candidates of each class
+are confirmed on full sets first; of the others only those between different components are,
+together with the nearest of other components that a second walk over the dense regions finds.
 """
 
 from __future__ import annotations
@@ -89,10 +89,12 @@ def _common(keys: np.ndarray, trees: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.where(trees[1:] == trees[:-1], equal, 0)])
 
 
-def _walk(batches: Iterator[pd.DataFrame], across: bool) -> Iterator[pd.DataFrame]:
+def _walk(batches: Iterator[pd.DataFrame], least: float | None) -> Iterator[pd.DataFrame]:
     """Candidate pairs of a sorted order, its dense rows, and the first and last rows of the task.
 
-    With ``across`` each row is paired with the rows before it that are in another component.
+    Without ``least``: all pairs of the regions of at most ``REGION`` rows; rows of larger ones
+    are handed on as dense. With it: each row and the nearest before it, if at least that share
+    of their whole signatures is equal (and their components differ, where rows know theirs).
     Only ``REGION`` rows are kept from one batch to the next.
     """
     back, last, first = REGION - 1, None, True
@@ -103,58 +105,55 @@ def _walk(batches: Iterator[pd.DataFrame], across: bool) -> Iterator[pd.DataFram
         rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
         known = 0 if last is None else len(last)
         if len(rows) > 1:
-            yield from _found(rows, known, across)
+            yield from _found(rows, known, least)
         last = rows.tail(back)
     if last is not None and len(last):
         yield _rows(last, "edge")
 
 
+_FOUND = "kind string, tree int, key binary, a binary, b binary, digits binary, root binary"
+_COLUMNS = ["kind", "tree", "key", "a", "b", "digits", "root"]
+
+
 def _rows(rows: pd.DataFrame, kind: str) -> pd.DataFrame:
-    out = rows[["tree", "key", "class", "root"]].rename(columns={"class": "a"})
-    return out.assign(kind=kind, b=None)[["kind", "tree", "key", "a", "b", "root"]]
+    return rows.rename(columns={"class": "a"}).assign(kind=kind, b=None)[_COLUMNS]
 
 
-def _found(rows: pd.DataFrame, known: int, across: bool) -> Iterator[pd.DataFrame]:
-    keys = np.frombuffer(b"".join(rows["key"]), ">u2").reshape(len(rows), DEPTH)
+def _found(rows: pd.DataFrame, known: int, least: float | None) -> Iterator[pd.DataFrame]:
+    n, at = len(rows), np.arange(len(rows))
+    keys = np.frombuffer(b"".join(rows["key"]), ">u2").reshape(n, DEPTH)
     common = _common(keys, rows["tree"].to_numpy())
-    n = len(rows)
-    sizes = np.empty((DEPTH + 1, n), np.int64)
-    for depth in range(LEAST_DEPTH, DEPTH + 1):
-        region = np.cumsum(common < depth)
-        sizes[depth] = np.bincount(region)[region]
+    region = np.cumsum(common < LEAST_DEPTH)
+    small = np.bincount(region)[region] <= REGION
     own, roots = rows["class"].to_numpy(), rows["root"].to_numpy()
-    at = np.arange(n)
+    whole_signatures = None if least is None else np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
     left, right = [], []
     for lag in range(1, min(REGION, n)):
         i = at[lag:]
-        reach = np.minimum.reduce([common[i - k] for k in range(lag)])
-        near = (i >= known) & (reach >= LEAST_DEPTH)
-        if across:
-            near &= roots[i] != roots[i - lag]
-        elif lag > 1:
-            near &= sizes[np.maximum(reach, LEAST_DEPTH), i] <= REGION
-        left.append(own[i[near] - lag])
-        right.append(own[i[near]])
+        i = i[(i >= known) & (np.minimum.reduce([common[i - k] for k in range(lag)]) >= LEAST_DEPTH)]
+        if least is None:
+            i = i[small[i]]
+        else:
+            i = i[np.array([x is None or x != y for x, y in zip(roots[i], roots[i - lag], strict=True)], bool)] if len(i) else i
+            i = i[(whole_signatures[i] == whole_signatures[i - lag]).mean(axis=1) >= least]
+        left.append(own[i - lag])
+        right.append(own[i])
     a, b = np.concatenate(left), np.concatenate(right)
-    swap = np.array([x > y for x, y in zip(a, b, strict=True)], bool) if len(a) else np.zeros(0, bool)
+    swap = np.array([x > y for x, y in zip(a, b, strict=True)], bool)
     pairs = pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)}, dtype=object).drop_duplicates()
-    yield pairs.assign(kind="pair", tree=0, key=None, root=None)[["kind", "tree", "key", "a", "b", "root"]]
-    if not across:
-        dense = (sizes[LEAST_DEPTH] > REGION) & (at >= known)
-        yield _rows(rows[dense], "dense")
-
-
-_FOUND = "kind string, tree int, key binary, a binary, b binary, root binary"
+    yield pairs.assign(kind="pair", tree=0, key=None, digits=None, root=None)[_COLUMNS]
+    if least is None:
+        yield _rows(rows[~small], "dense")
 
 
-def _neighbours(ordered: DataFrame, across: bool, name: str) -> DataFrame:
+def _neighbours(ordered: DataFrame, least: float | None, name: str) -> DataFrame:
     """Pairs (and dense rows) of the sorted orders. Ranges of an order meet at their edges in a
     table of at most 2 x 8 rows for each task, which is walked in turn."""
-    walk = lambda batches: _walk(batches, across)
+    walk = lambda batches: _walk(batches, least)
     sort = ["tree", "key", "class"]
     ranged = ordered.repartitionByRange(*sort).sortWithinPartitions(*sort)
     found = stage(ranged.mapInPandas(walk, _FOUND), name)
-    edges = found.where("kind = 'edge'").select("tree", "key", F.col("a").alias("class"), "root").distinct()
+    edges = found.where("kind = 'edge'").select("tree", "key", F.col("a").alias("class"), "digits", "root").distinct()
     meeting = edges.coalesce(1).sortWithinPartitions(*sort).mapInPandas(walk, _FOUND)
     return found.union(meeting).where("kind <> 'edge'")
 
@@ -191,11 +190,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     classes = signed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min("digits").alias("digits"))
     part = lambda digit, t: F.substring(F.col("digits"), (digit % HASHES) * 2 + 1, F.lit(2 * LEAST_DEPTH))
     t = F.col("tree")
+    none = F.lit(None).cast("binary")
     ordered = classes.select("class", "digits", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
-        "tree", F.concat(part(t * LEAST_DEPTH, t), part(t * LEAST_DEPTH + HASHES // 2, t)).alias("key"), "class", F.lit(None).cast("binary").alias("root"))
-    found = _neighbours(ordered, False, "forest")
-    counted = stage(found.where("kind = 'pair'").groupBy("a", "b").agg(F.count("*").alias("n")), "candidates")
-    dense = found.where("kind = 'dense'").select("tree", "key", F.col("a").alias("class"))
+        "tree", F.concat(part(t * LEAST_DEPTH, t), part(t * LEAST_DEPTH + HASHES // 2, t)).alias("key"), "class", none.alias("digits"), none.alias("root"))
+    found = _neighbours(ordered, None, "forest")
+    # in dense regions whole signatures tell which neighbours are worth confirming: 4.5 standard deviations below the limit
+    share = percent / 100
+    least = share - 4.5 * (share * (1 - share) / HASHES) ** 0.5
+    dense = found.where("kind = 'dense'").select("tree", "key", F.col("a").alias("class")).distinct().join(classes.select("class", "digits"), "class")
+    dense = stage(dense.select("tree", "key", "class", "digits"), "dense")
+    nearest = _neighbours(dense.withColumn("root", none), least, "nearest")
+    pairs = found.where("kind = 'pair'").select("a", "b").union(nearest.where("kind = 'pair'").select("a", "b"))
+    counted = stage(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "candidates")
 
     wanted = counted.select(F.col("a").alias("class")).union(counted.select(F.col("b").alias("class"))).distinct()
     first = classes.join(wanted, "class", "left_semi").select("class", id_key(F.col("first_id")).alias("doc_id"))
@@ -216,8 +222,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         links = new if links is None else links.union(new)
         roots = connected(links)
 
-    rooted = dense.join(roots, dense["class"] == roots["node"], "left").select("tree", "key", "class", F.coalesce("root", "class").alias("root"))
-    across = _neighbours(rooted, True, "across").where("kind = 'pair'").select("a", "b")
+    rooted = dense.join(roots, dense["class"] == roots["node"], "left").select("tree", "key", "class", "digits", F.coalesce("root", "class").alias("root"))
+    across = _neighbours(rooted, least, "across").where("kind = 'pair'").select("a", "b")
     late = _between(counted.select("a", "b").union(across).distinct(), roots).join(tried, ["a", "b"], "left_anti")
     roots = connected(links.union(stage(_confirm(late, sets, percent), "links")))
 
