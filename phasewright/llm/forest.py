@@ -30,6 +30,7 @@ LEAST_DEPTH = 4  # common digits that make two neighbours candidates
 DEPTH = 8  # digits of an order
 HASHES = TREES * LEAST_DEPTH
 REGION = 9  # classes that are all compared with each other
+WIDE = 256  # rows before and after one that are looked through for its nearest of other components
 STRONGEST = (2, 4)  # candidates of a class confirmed in the first rounds
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,8 +95,9 @@ def _walk(batches: Iterator[pd.DataFrame], least: float | None) -> Iterator[pd.D
 
     Without ``least``: all pairs of the regions of at most ``REGION`` rows; rows of larger ones
     are handed on as dense. With it: each row and the nearest before it, if at least that share
-    of their whole signatures is equal (and their components differ, where rows know theirs).
-    Only ``REGION`` rows are kept from one batch to the next.
+    of their whole signatures is equal; where rows know their components, each row and the most
+    alike of other components among ``WIDE`` rows on each side. At most ``WIDE`` rows are kept
+    from one batch to the next.
     """
     back, last, first = REGION - 1, None, True
     for batch in batches:
@@ -105,10 +107,11 @@ def _walk(batches: Iterator[pd.DataFrame], least: float | None) -> Iterator[pd.D
         rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
         known = 0 if last is None else len(last)
         if len(rows) > 1:
-            yield from _found(rows, known, least)
-        last = rows.tail(back)
+            rooted = least is not None and rows["root"].notna().all()
+            yield from _nearest_across(rows, known, least) if rooted else _found(rows, known, least)
+        last = rows.tail(WIDE if least is not None else back)
     if last is not None and len(last):
-        yield _rows(last, "edge")
+        yield _rows(last.tail(back), "edge")
 
 
 _FOUND = "kind string, tree int, key binary, a binary, b binary, digits binary, root binary"
@@ -125,7 +128,7 @@ def _found(rows: pd.DataFrame, known: int, least: float | None) -> Iterator[pd.D
     common = _common(keys, rows["tree"].to_numpy())
     region = np.cumsum(common < LEAST_DEPTH)
     small = np.bincount(region)[region] <= REGION
-    own, roots = rows["class"].to_numpy(), rows["root"].to_numpy()
+    own = rows["class"].to_numpy()
     whole_signatures = None if least is None else np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
     left, right = [], []
     for lag in range(1, min(REGION, n)):
@@ -134,18 +137,49 @@ def _found(rows: pd.DataFrame, known: int, least: float | None) -> Iterator[pd.D
         if least is None:
             i = i[small[i]]
         else:
-            i = i[np.array([x is None or x != y for x, y in zip(roots[i], roots[i - lag], strict=True)], bool)] if len(i) else i
             i = i[(whole_signatures[i] == whole_signatures[i - lag]).mean(axis=1) >= least]
         left.append(own[i - lag])
         right.append(own[i])
-    a, b = np.concatenate(left), np.concatenate(right)
-    swap = np.array([x > y for x, y in zip(a, b, strict=True)], bool)
-    pairs = pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)}, dtype=object).drop_duplicates()
-    yield pairs.assign(kind="pair", tree=0, key=None, digits=None, root=None)[_COLUMNS]
+    yield _pairs(np.concatenate(left), np.concatenate(right))
     if least is None:
         yield _rows(rows[~small], "dense")
 
 
+def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    swap = np.array([x > y for x, y in zip(a, b, strict=True)], bool)
+    pairs = pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)}, dtype=object).drop_duplicates()
+    return pairs.assign(kind="pair", tree=0, key=None, digits=None, root=None)[_COLUMNS]
+
+
+def _nearest_across(rows: pd.DataFrame, known: int, least: float) -> Iterator[pd.DataFrame]:
+    """Each row with the ``REGION`` - 1 most alike rows of other components near it in its region."""
+    n, at = len(rows), np.arange(len(rows))
+    common = _common(np.frombuffer(b"".join(rows["key"]), ">u2").reshape(n, DEPTH), rows["tree"].to_numpy())
+    signatures = np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
+    roots = pd.factorize(rows["root"])[0]
+    lags = min(WIDE, n - 1)
+    alike = np.full((2 * lags, n), -1, np.float32)  # with the row before by so many rows, then with the one after
+    reach = common.copy()
+    for lag in range(1, lags + 1):
+        if lag > 1:
+            reach[lag - 1 :] = np.minimum(reach[lag - 1 :], common[: n - lag + 1])
+        i = at[lag:]
+        i = i[(reach[lag:] >= LEAST_DEPTH)]
+        if not len(i):
+            break
+        i = i[(i >= known) & (roots[i] != roots[i - lag])]
+        share = (signatures[i] == signatures[i - lag]).mean(axis=1)
+        alike[lag - 1, i], alike[lags + lag - 1, i - lag] = share, share
+    most = min(REGION - 1, 2 * lags)
+    best = np.argpartition(-alike, most - 1, axis=0)[:most]
+    good = np.take_along_axis(alike, best, axis=0) >= least
+    row = np.broadcast_to(at, best.shape)[good]
+    lag = best[good]
+    other = np.where(lag < lags, row - lag - 1, row + lag - lags + 1)
+    own = rows["class"].to_numpy()
+    yield _pairs(own[row], own[other])
+
+
 def _neighbours(ordered: DataFrame, least: float | None, name: str) -> DataFrame:
     """Pairs (and dense rows) of the sorted orders. Ranges of an order meet at their edges in a
     table of at most 2 x 8 rows for each task, which is walked in turn."""
