@@ -69,8 +69,8 @@ def bad_comm_alerts(quality: DataFrame, corridors: DataFrame, as_of, *, least: f
     )
 
 
-def alert_streaks(sources: list[DataFrame], as_of, *, longest: int = LOOK_BACK_DAYS) -> DataFrame:
-    """All alerts of the last ninety days with their run of consecutive days.
+def alert_streaks(sources: list[DataFrame], as_of, *, look_back_days: int = LOOK_BACK_DAYS) -> DataFrame:
+    """All alerts of the last ``look_back_days`` days with their run of consecutive days.
 
     Rows are distinct by alert and day before the windows, so a partition has at most
     ninety days of one alert (times its few approach descriptions).
@@ -79,12 +79,12 @@ def alert_streaks(sources: list[DataFrame], as_of, *, longest: int = LOOK_BACK_D
     for c in ("CallPhase", "Detector", "ApproachDesc"):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
-    rows = rows.where(F.col("Corridor").isNotNull() & _since("Date", as_of, LOOK_BACK_DAYS)).select(
+    rows = rows.where(F.col("Corridor").isNotNull() & _since("Date", as_of, look_back_days)).select(
         *PLACE, "SignalID", F.coalesce(F.col("CallPhase").try_cast("int"), F.lit(0)).alias("CallPhase"),
         F.coalesce(F.col("Detector").try_cast("int"), F.lit(0)).alias("Detector"), "Date", "Name", "Alert", "ApproachDesc",
     ).distinct()
     key = ["Zone_Group", "Zone", "SignalID", "CallPhase", "Detector", "Alert"]
-    return day_streak(rows, key, "Date", "streak", longest)
+    return day_streak(rows, key, "Date", "streak")
 
 
 def filter_alerts(

@@ -121,7 +121,9 @@ def select_count_detectors(filtered: DataFrame, config: DataFrame) -> DataFrame:
     return filtered.join(dc.select(*on).distinct(), on, "left_semi")
 
 
-def adjust_counts(filtered: DataFrame, then: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def adjust_counts(
+    filtered: DataFrame, then: Callable[[DataFrame], DataFrame] | None = None, *, max_imputed: float = MAX_IMPUTED
+) -> DataFrame:
     """Impute missing volumes from sibling detectors, then from the month's median.
 
     Shares per detector are an aggregate the size of the detector list; the windows run
@@ -143,7 +145,7 @@ def adjust_counts(filtered: DataFrame, then: Callable[[DataFrame], DataFrame] |
     unbounded = F.bool_or((F.col("_share") == 0) & (F.col("vol") > 0)).over(phase_period)
     implied = F.avg(F.try_divide("vol", "_share")).over(phase_period)
     rows = rows.select("*", F.when(F.coalesce(unbounded, F.lit(False)), None).otherwise(implied).alias("_phase_vol"))
-    sibling = F.when(F.col("_phase_vol") <= MAX_IMPUTED, F.floor(F.col("_phase_vol") * F.col("_share")).cast("double"))
+    sibling = F.when(F.col("_phase_vol") <= max_imputed, F.floor(F.col("_phase_vol") * F.col("_share")).cast("double"))
     rows = rows.withColumn("vol", F.coalesce(F.col("vol"), sibling))
     usual = F.median("vol").over(Window.partitionBy("SignalID", "CallPhase", "Detector", "DOW", "Month_Hour"))
     out = rows.withColumn("_usual", usual).select(

@@ -18,14 +18,12 @@ def run_length(df: DataFrame, keys: list[str], order: str, value: str, name: str
     return island.withColumn(name, F.row_number().over(inside)).drop("_start", "_island")
 
 
-def day_streak(df: DataFrame, keys: list[str], day: str, name: str, longest: int | None = None) -> DataFrame:
+def day_streak(df: DataFrame, keys: list[str], day: str, name: str) -> DataFrame:
     """Position of each row within its run of consecutive days."""
     w = Window.partitionBy(*keys).orderBy(day)
     gap = F.datediff(F.col(day), F.lag(day).over(w))
     island = df.withColumn("_start", F.when(gap <= 1, 0).otherwise(1)).withColumn("_island", F.sum("_start").over(w))
     position: Column = F.row_number().over(Window.partitionBy(*keys, "_island").orderBy(day))
-    if longest is not None:
-        position = F.least(position, F.lit(longest))
     return island.withColumn(name, position).drop("_start", "_island")
 
 

@@ -125,7 +125,7 @@ def test_runs(spark):
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate([1, 1, 2, 2, 2, 1])], "k string, i int, v int")
     assert [r["run"] for r in R.run_length(df, ["k"], "i", "v", "run").orderBy("i").collect()] == [1, 2, 1, 2, 3, 1]
     days = spark.createDataFrame([("a", DAY + timedelta(days=i)) for i in (0, 1, 2, 4, 5)], "k string, d date")
-    assert [r["s"] for r in R.day_streak(days, ["k"], "d", "s", longest=2).orderBy("d").collect()] == [1, 2, 2, 1, 2]
+    assert [r["s"] for r in R.day_streak(days, ["k"], "d", "s").orderBy("d").collect()] == [1, 2, 3, 1, 2]
     zeros = spark.createDataFrame([("a", i, v) for i, v in enumerate([0, 3, 0, 0, 5, 0])], "k string, i int, v int")
     assert [r["z"] for r in R.zero_streak_id(zeros, ["k"], "i", "v", "z").orderBy("i").collect()] == [None, None, 2, 2, None, 5]
 
