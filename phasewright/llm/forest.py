@@ -30,6 +30,8 @@ LEAST_DEPTH = 4  # common digits that make two neighbours candidates
 DEPTH = 8  # digits of an order
 HASHES = TREES * LEAST_DEPTH
 REGION = 9  # classes that are all compared with each other
+NEAREST = 2  # rows before one in a dense region that are candidates at once
+ALIKE = 4  # candidates of a row from other components
 WIDE = 256  # rows before and after one that are looked through for its nearest of other components
 STRONGEST = (2, 4)  # candidates of a class confirmed in the first rounds
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -131,7 +133,7 @@ def _found(rows: pd.DataFrame, known: int, least: float | None) -> Iterator[pd.D
     own = rows["class"].to_numpy()
     whole_signatures = None if least is None else np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
     left, right = [], []
-    for lag in range(1, min(REGION, n)):
+    for lag in range(1, min(REGION if least is None else NEAREST + 1, n)):
         i = at[lag:]
         i = i[(i >= known) & (np.minimum.reduce([common[i - k] for k in range(lag)]) >= LEAST_DEPTH)]
         if least is None:
@@ -152,7 +154,7 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
 
 
 def _nearest_across(rows: pd.DataFrame, known: int, least: float) -> Iterator[pd.DataFrame]:
-    """Each row with the ``REGION`` - 1 most alike rows of other components near it in its region."""
+    """Each row with the ``ALIKE`` most alike rows of other components near it in its region."""
     n, at = len(rows), np.arange(len(rows))
     common = _common(np.frombuffer(b"".join(rows["key"]), ">u2").reshape(n, DEPTH), rows["tree"].to_numpy())
     signatures = np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
@@ -170,7 +172,7 @@ def _nearest_across(rows: pd.DataFrame, known: int, least: float) -> Iterator[pd
         i = i[(i >= known) & (roots[i] != roots[i - lag])]
         share = (signatures[i] == signatures[i - lag]).mean(axis=1)
         alike[lag - 1, i], alike[lags + lag - 1, i - lag] = share, share
-    most = min(REGION - 1, 2 * lags)
+    most = min(ALIKE, 2 * lags)
     best = np.argpartition(-alike, most - 1, axis=0)[:most]
     good = np.take_along_axis(alike, best, axis=0) >= least
     row = np.broadcast_to(at, best.shape)[good]
