@@ -5,8 +5,11 @@ signature; in each order a class is compared with its neighbours by longest comm
 deep a prefix must be depends on the region: where few classes share the first digits all of
 them are compared; in dense regions a class meets those next to it, which share the longest
 prefixes, if their whole signatures allow for a link. The few strongest candidates of each class
-are confirmed on full sets first; of the others only those between different components are,
-together with the nearest of other components that a second walk over the dense regions finds.
+are confirmed on full sets first; of the others only those between different components are.
+Then every two classes of a dense region that are still in different components are compared:
+regions are cut into blocks, and pairs of blocks that hold more than one component are tasks of
+their own. Where their signatures rule out nearly all pairs, the rest become candidates; where
+they do not (pages of one template just below the limit), the tasks count on full sets.
 """
 
 from __future__ import annotations
@@ -31,8 +34,9 @@ DEPTH = 8  # digits of an order
 HASHES = TREES * LEAST_DEPTH
 REGION = 9  # classes that are all compared with each other
 NEAREST = 2  # rows before one in a dense region that are candidates at once
-ALIKE = 4  # candidates of a row from other components
-WIDE = 256  # rows before and after one that are looked through for its nearest of other components
+BLOCK = 2_000_000  # shingles of a block of a dense region, each class with PER_CLASS more
+PER_CLASS = 1_000
+PER_ROW = 4  # candidates for each row of two blocks above which they are compared on full sets
 STRONGEST = (2, 4)  # candidates of a class confirmed in the first rounds
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,11 +101,10 @@ def _walk(batches: Iterator[pd.DataFrame], least: float | None) -> Iterator[pd.D
 
     Without ``least``: all pairs of the regions of at most ``REGION`` rows; rows of larger ones
     are handed on as dense. With it: each row and the nearest before it, if at least that share
-    of their whole signatures is equal; where rows know their components, each row and the most
-    alike of other components among ``WIDE`` rows on each side. At most ``WIDE`` rows are kept
-    from one batch to the next.
+    of their whole signatures is equal. ``REGION`` rows are kept from one batch to the next and
+    at the edges, so a region that is cut has enough rows there to be seen as dense.
     """
-    back, last, first = REGION - 1, None, True
+    back, last, first = REGION, None, True
     for batch in batches:
         if first and len(batch):
             yield _rows(batch.head(back), "edge")
@@ -109,15 +112,14 @@ def _walk(batches: Iterator[pd.DataFrame], least: float | None) -> Iterator[pd.D
         rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
         known = 0 if last is None else len(last)
         if len(rows) > 1:
-            rooted = least is not None and rows["root"].notna().all()
-            yield from _nearest_across(rows, known, least) if rooted else _found(rows, known, least)
-        last = rows.tail(WIDE if least is not None else back)
+            yield from _found(rows, known, least)
+        last = rows.tail(back)
     if last is not None and len(last):
         yield _rows(last.tail(back), "edge")
 
 
-_FOUND = "kind string, tree int, key binary, a binary, b binary, digits binary, root binary"
-_COLUMNS = ["kind", "tree", "key", "a", "b", "digits", "root"]
+_FOUND = "kind string, tree int, key binary, a binary, b binary, digits binary"
+_COLUMNS = ["kind", "tree", "key", "a", "b", "digits"]
 
 
 def _rows(rows: pd.DataFrame, kind: str) -> pd.DataFrame:
@@ -150,46 +152,131 @@ def _found(rows: pd.DataFrame, known: int, least: float | None) -> Iterator[pd.D
 def _pairs(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
     swap = np.array([x > y for x, y in zip(a, b, strict=True)], bool)
     pairs = pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b)}, dtype=object).drop_duplicates()
-    return pairs.assign(kind="pair", tree=0, key=None, digits=None, root=None)[_COLUMNS]
+    return pairs.assign(kind="pair", tree=0, key=None, digits=None)[_COLUMNS]
 
 
-def _nearest_across(rows: pd.DataFrame, known: int, least: float) -> Iterator[pd.DataFrame]:
-    """Each row with the ``ALIKE`` most alike rows of other components near it in its region."""
-    n, at = len(rows), np.arange(len(rows))
-    common = _common(np.frombuffer(b"".join(rows["key"]), ">u2").reshape(n, DEPTH), rows["tree"].to_numpy())
-    signatures = np.frombuffer(b"".join(rows["digits"]), ">u2").reshape(n, HASHES)
+_CELL = ["tree", "prefix", "i", "j"]
+
+
+def _placed(rooted: DataFrame) -> DataFrame:
+    """Rows of the dense regions that hold several components, with their blocks.
+
+    Small components share blocks; one larger than a block has several.
+    """
+    region = ["tree", "prefix"]
+    own = stage(rooted.groupBy(*region, "root").agg(F.sum(F.col("n_shingles") + PER_CLASS).alias("own")), "own")
+    sizes = own.groupBy(*region).agg(F.sum("own").alias("all"), F.count("*").alias("roots")).where("roots > 1")
+    group = F.pmod(F.xxhash64("root"), F.ceil(F.col("all") / BLOCK))
+    cuts = stage(own.join(sizes, region).select(*region, "root", group.alias("group"), F.ceil(F.col("own") / BLOCK).alias("parts")), "cuts")
+    block = F.shiftleft("group", 24) + F.pmod(F.xxhash64("class"), F.col("parts"))
+    return stage(rooted.join(cuts, [*region, "root"]).select(*region, block.alias("block"), "class", "root", "digits"), "placed")
+
+
+def _cells(placed: DataFrame) -> DataFrame:
+    """Pairs of blocks of one region that hold more than one component."""
+    blocks = stage(placed.groupBy("tree", "prefix", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "blocks")
+    other = blocks.select("tree", "prefix", F.col("block").alias("j"), F.col("lo").alias("lo_j"), F.col("hi").alias("hi_j"))
+    several = "block <= j AND (lo <> hi OR lo_j <> hi_j OR lo <> lo_j)"
+    return blocks.withColumnRenamed("block", "i").join(other, ["tree", "prefix"]).where(several.replace("block", "i")).select(*_CELL)
+
+
+def _in_cells(placed: DataFrame, cells: DataFrame) -> DataFrame:
+    sides = cells.withColumn("block", F.col("i")).union(cells.where("i <> j").withColumn("block", F.col("j")))
+    return placed.join(sides, ["tree", "prefix", "block"])
+
+
+def _alike(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Pairs of two blocks whose signatures allow for a link, or the blocks themselves if these are too many.
+
+    A pair counts in the first order in which its classes share a region.
+    """
+    tree, prefix, i, j = rows.loc[0, _CELL]
+    left, right = (rows[rows["block"] == block] for block in (i, j))
+    x, y = (np.frombuffer(b"".join(side["digits"]), ">u2").astype(np.uint16).reshape(-1, HASHES) for side in (left, right))
     roots = pd.factorize(rows["root"])[0]
-    lags = min(WIDE, n - 1)
-    alike = np.full((2 * lags, n), -1, np.float32)  # with the row before by so many rows, then with the one after
-    reach = common.copy()
-    for lag in range(1, lags + 1):
-        if lag > 1:
-            reach[lag - 1 :] = np.minimum(reach[lag - 1 :], common[: n - lag + 1])
-        i = at[lag:]
-        i = i[(reach[lag:] >= LEAST_DEPTH)]
-        if not len(i):
-            break
-        i = i[(i >= known) & (roots[i] != roots[i - lag])]
-        share = (signatures[i] == signatures[i - lag]).mean(axis=1)
-        alike[lag - 1, i], alike[lags + lag - 1, i - lag] = share, share
-    most = min(ALIKE, 2 * lags)
-    best = np.argpartition(-alike, most - 1, axis=0)[:most]
-    good = np.take_along_axis(alike, best, axis=0) >= least
-    row = np.broadcast_to(at, best.shape)[good]
-    lag = best[good]
-    other = np.where(lag < lags, row - lag - 1, row + lag - lags + 1)
-    own = rows["class"].to_numpy()
-    yield _pairs(own[row], own[other])
+    rx, ry = (roots[rows["block"] == block] for block in (i, j))
+    step, found, n = max(1, (1 << 24) // (len(y) * HASHES)), [], 0
+    for at in range(0, len(x), step):
+        equal = x[at : at + step, None, :] == y[None, :, :]
+        good = (equal.sum(axis=2) >= least * HASHES) & (rx[at : at + step, None] != ry[None, :])
+        a, b = np.nonzero(good)
+        before = equal[a, b].reshape(len(a), TREES, LEAST_DEPTH)[:, :tree].all(axis=2).any(axis=1)
+        a, b = a[~before] + at, b[~before]
+        if i == j:
+            a, b = a[a < b], b[a < b]
+        found.append((a, b))
+        n += len(a)
+        if n > PER_ROW * len(rows):
+            return pd.DataFrame([("cell", tree, prefix, i, j, None, None)], columns=["kind", *_CELL, "a", "b"])
+    a, b = (np.concatenate(ends) for ends in zip(*found, strict=True))
+    pairs = _pairs(left["class"].to_numpy()[a], right["class"].to_numpy()[b])[["a", "b"]]
+    return pairs.assign(kind="pair", tree=0, prefix=None, i=0, j=0)[["kind", *_CELL, "a", "b"]]
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Size of the intersection of every set of ``left`` with every one of ``right``."""
+    flat = [np.concatenate(sets) for sets in (left, right)]
+    common = np.intersect1d(*flat)
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not len(common):
+        return out
+    held = []
+    for sets, values in zip((left, right), flat, strict=True):
+        at = np.minimum(np.searchsorted(common, values), len(common) - 1)
+        hit = common[at] == values
+        row, at = np.repeat(np.arange(len(sets)), [len(own) for own in sets])[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        held.append((row[order], at[order]))
+    for begin in range(0, len(common), columns):
+        sides = []
+        for n, (row, at) in zip(out.shape, held, strict=True):
+            part = slice(*np.searchsorted(at, [begin, begin + columns]))
+            side = np.zeros((n, min(columns, len(common) - begin)), np.float32)
+            side[row[part], at[part] - begin] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _linked(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links between components of two blocks, as many as join what any link joins."""
+    i, j = rows.loc[0, ["i", "j"]]
+    at = [np.flatnonzero(rows["block"] == block) for block in (i, j)]
+    sets = rows["hashes"].tolist()
+    x, y = ([sets[k] for k in side] for side in at)
+    n = _shared(x, y).astype(np.int64)
+    both = np.array([len(own) for own in x])[:, None] + np.array([len(own) for own in y])[None, :]
+    good = n * 100 >= (both - n) * percent
+    root, own, links = pd.factorize(rows["root"])[0], rows["class"].to_numpy(), []
+    for k, row in zip(at[0], good, strict=True):
+        others = at[1][row]
+        others = others[root[others] != root[k]]
+        for other in others[np.unique(root[others], return_index=True)[1]]:
+            links.append((own[k], own[other]))
+            root[root == root[other]] = root[k]
+    return pd.DataFrame(links, columns=["a", "b"], dtype=object)
+
+
+def _across(rooted: DataFrame, sets: DataFrame, least: float, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Candidates and links between different components of the dense regions."""
+    placed = _placed(rooted)
+    alike = lambda rows: _alike(rows, least)
+    linked = lambda rows: _linked(rows, percent)
+    schema = "kind string, tree int, prefix binary, i long, j long, a binary, b binary"
+    found = stage(_in_cells(placed, _cells(placed)).groupBy(*_CELL).applyInPandas(alike, schema), "across")
+    full = _in_cells(placed.drop("digits"), found.where("kind = 'cell'").select(*_CELL)).join(sets, "class")
+    links = full.groupBy(*_CELL).applyInPandas(linked, "a binary, b binary").distinct()
+    return found.where("kind = 'pair'").select("a", "b"), stage(links, "links")
 
 
 def _neighbours(ordered: DataFrame, least: float | None, name: str) -> DataFrame:
     """Pairs (and dense rows) of the sorted orders. Ranges of an order meet at their edges in a
-    table of at most 2 x 8 rows for each task, which is walked in turn."""
+    table of at most 2 x 9 rows for each task, which is walked in turn."""
     walk = lambda batches: _walk(batches, least)
     sort = ["tree", "key", "class"]
     ranged = ordered.repartitionByRange(*sort).sortWithinPartitions(*sort)
     found = stage(ranged.mapInPandas(walk, _FOUND), name)
-    edges = found.where("kind = 'edge'").select("tree", "key", F.col("a").alias("class"), "digits", "root").distinct()
+    edges = found.where("kind = 'edge'").select("tree", "key", F.col("a").alias("class"), "digits").distinct()
     meeting = edges.coalesce(1).sortWithinPartitions(*sort).mapInPandas(walk, _FOUND)
     return found.union(meeting).where("kind <> 'edge'")
 
@@ -218,28 +305,29 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     A text without words (null, empty, white space) has no shingles and is linked with nothing.
     Rows with equal ids are one document with several texts. A null id is never the smallest; a
     component of null ids has a null one and its rows are kept.
-    Two texts at exactly 85 % miss each other's region in all 32 orders with probability 5e-11.
+    Two texts at exactly 85 % miss each other's region in all 32 orders with probability 5e-11;
+    in dense regions their signatures are 6 standard deviations too different with 1e-8.
     """
     rows = docs.select(id_key(F.col(id_col)).alias("doc_id"), whole(F.col(text_col)).alias("text"))
     signed = rows.mapInPandas(_signed, "doc_id long, n_shingles long, class binary, digits binary")
     signed = stage(signed.withColumn("doc_id", id_of(F.col("doc_id"))), "signed")
-    classes = signed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min("digits").alias("digits"))
+    classes = signed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.min("digits").alias("digits"), F.min("n_shingles").alias("n_shingles"))
     part = lambda digit, t: F.substring(F.col("digits"), (digit % HASHES) * 2 + 1, F.lit(2 * LEAST_DEPTH))
     t = F.col("tree")
     none = F.lit(None).cast("binary")
     ordered = classes.select("class", "digits", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")).select(
-        "tree", F.concat(part(t * LEAST_DEPTH, t), part(t * LEAST_DEPTH + HASHES // 2, t)).alias("key"), "class", none.alias("digits"), none.alias("root"))
+        "tree", F.concat(part(t * LEAST_DEPTH, t), part(t * LEAST_DEPTH + HASHES // 2, t)).alias("key"), "class", none.alias("digits"))
     found = _neighbours(ordered, None, "forest")
-    # in dense regions whole signatures tell which neighbours are worth confirming: 4.5 standard deviations below the limit
+    # in dense regions whole signatures tell which neighbours are worth confirming at once: 4.5 standard deviations below the limit
     share = percent / 100
-    least = share - 4.5 * (share * (1 - share) / HASHES) ** 0.5
-    dense = found.where("kind = 'dense'").select("tree", "key", F.col("a").alias("class")).distinct().join(classes.select("class", "digits"), "class")
-    dense = stage(dense.select("tree", "key", "class", "digits"), "dense")
-    nearest = _neighbours(dense.withColumn("root", none), least, "nearest")
+    deviation = (share * (1 - share) / HASHES) ** 0.5
+    dense = found.where("kind = 'dense'").select("tree", "key", F.col("a").alias("class")).distinct().join(classes.select("class", "digits", "n_shingles"), "class")
+    dense = stage(dense.select("tree", "key", "class", "digits", "n_shingles"), "dense")
+    nearest = _neighbours(dense.drop("n_shingles"), share - 4.5 * deviation, "nearest")
     pairs = found.where("kind = 'pair'").select("a", "b").union(nearest.where("kind = 'pair'").select("a", "b"))
     counted = stage(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "candidates")
 
-    wanted = counted.select(F.col("a").alias("class")).union(counted.select(F.col("b").alias("class"))).distinct()
+    wanted = counted.select(F.col("a").alias("class")).union(counted.select(F.col("b").alias("class"))).union(dense.select("class")).distinct()
     first = classes.join(wanted, "class", "left_semi").select("class", id_key(F.col("first_id")).alias("doc_id"))
     texts = rows.join(first, "doc_id").select("text", "class")
     sets = texts.mapInPandas(_sets, "class binary, hashes array<bigint>").groupBy("class").agg(F.first("hashes").alias("hashes"))
@@ -258,10 +346,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         links = new if links is None else links.union(new)
         roots = connected(links)
 
-    rooted = dense.join(roots, dense["class"] == roots["node"], "left").select("tree", "key", "class", "digits", F.coalesce("root", "class").alias("root"))
-    across = _neighbours(rooted, least, "across").where("kind = 'pair'").select("a", "b")
+    prefix = F.substring("key", 1, 2 * LEAST_DEPTH)
+    rooted = dense.join(roots, dense["class"] == roots["node"], "left")
+    rooted = stage(rooted.select("tree", prefix.alias("prefix"), "class", "digits", "n_shingles", F.coalesce("root", "class").alias("root")), "rooted")
+    across, joined = _across(rooted, sets, share - 6 * deviation, percent)
     late = _between(counted.select("a", "b").union(across).distinct(), roots).join(tried, ["a", "b"], "left_anti")
-    roots = connected(links.union(stage(_confirm(late, sets, percent), "links")))
+    roots = connected(links.union(joined).union(stage(_confirm(late, sets, percent), "links")))
 
     placed = classes.select("class", "first_id").join(roots, classes["class"] == roots["node"], "left").select("class", "first_id", F.coalesce("root", "class").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))

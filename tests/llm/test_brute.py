@@ -159,3 +159,25 @@ def test_templates_of_a_host_are_removed(spark):
 
 def test_words_are_the_same_everywhere():
     assert brute.words("a\x0bb\x1cc d") == re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d")
+
+
+def test_links_inside_a_template_just_below_the_limit(spark):
+    draw = random.Random(5)
+    base = [f"base{i}" for i in range(400)]
+
+    def page(i, own):
+        words = list(base)
+        for k in range(own):  # each change takes 5 shingles
+            words[20 + 50 * k] = f"own{i}-{k}"
+        return words
+
+    rows = [(i, " ".join(page(i, 8))) for i in range(400)]
+    for i in range(20):  # two of the changes are those of another page
+        words, other = page(5000 + i, 8), page(draw.randrange(400), 8)
+        for k in draw.sample(range(8), 2):
+            words[20 + 50 * k] = other[20 + 50 * k]
+        rows.append((5000 + i, " ".join(words)))
+    got = sorted(tuple(r) for r in forest.near_duplicates(spark.createDataFrame(rows, DOC).repartition(4)).collect())
+    want = sorted(brute.near_duplicates(rows))
+    assert sum(not kept for *_, kept in want) == 20
+    assert got == want
