@@ -1,10 +1,11 @@
 """Main text of web pages by removing the templates of their sites.
 
 Each page is parsed once into text blocks. Every element around a block has a hash of its whole
-subtree; Spark counts the pages of each host that hold a hash, and blocks inside subtrees that
-recur on many pages of the host go. What a page itself marks as furniture (navigation, forms,
-scripts, adverts, comments) goes without counting, and where a page marks its article only that
-is read; prose blocks of an article stay even if other pages repeat them.
+subtree; Spark counts the different pages of each host that hold a hash, and blocks inside
+subtrees that recur on many of them go, in and outside articles. What a page itself marks as
+furniture (navigation, forms, scripts, adverts, comments) goes without counting. The mark of an
+article decides two doubtful cases: an article that would lose most of its text is a near copy
+of others and stays whole, and what is left beside an article goes if it is less than the article.
 """
 
 from __future__ import annotations
@@ -147,8 +148,8 @@ def parse(html: str | None) -> list[tuple[str, bool, list[int]]]:
     out = []
     for text, around in blocks:
         article = next((i for i, e in enumerate(around) if e.article), None)
-        # in an article prose stays, and only containers inside it can be template
-        counted = [e for i, e in enumerate(around) if e.tag not in ("", "html", "body") and not e.article and (article is None or (i > article and e.tag not in PROSE and e.tag in BLOCK))]
+        # in an article blocks are counted, not the words in them that have elements of their own
+        counted = [e for i, e in enumerate(around) if e.tag not in ("", "html", "body") and (article is None or i < article or e.tag in BLOCK)]
         out.append((text, article is not None, [e.hash for e in counted]))
     return out
 
@@ -158,10 +159,10 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for row, html in zip(batch["_row"], batch["html"], strict=True):
             blocks = parse(html)
-            if any(inside for _, inside, _ in blocks):
-                blocks = [b for b in blocks if b[1]]
-            rows.append((row, [{"text": text, "around": around} for text, _, around in blocks]))
-        yield pd.DataFrame(rows, columns=["_row", "blocks"])
+            content = "\n".join([text for text, inside, _ in blocks if inside] or [text for text, *_ in blocks])
+            vote = xxhash.xxh3_64_intdigest(content.encode("utf-8", "surrogatepass")) - (1 << 63)
+            rows.append((row, vote, [{"text": text, "inside": inside, "around": around} for text, inside, around in blocks]))
+        yield pd.DataFrame(rows, columns=["_row", "vote", "blocks"])
 
 
 def main_text(
@@ -169,27 +170,36 @@ def main_text(
 ) -> DataFrame:
     """One row for each row of ``pages``: ``page_id``, ``url``, ``text`` (blocks joined by newlines), ``n_chars``.
 
-    A subtree is template if at least ``min_pages`` pages of its host and ``min_share`` of them
-    hold it. The host is what stands between ``//`` and the next ``/``, ``?`` or ``#``, lower-cased;
+    A subtree is template if at least ``min_pages`` different pages of its host and ``min_share``
+    of them hold it. Pages with the same article, or without one the same text outside furniture,
+    count once. If less than half of an article would be left, it stays whole; text beside an
+    article stays if it is more than the article. The host is what stands between ``//`` and the next ``/``, ``?`` or ``#``, lower-cased;
     urls without one share a host of their own. Null and empty pages have an empty text. Markup
-    that ends early or never closes counts as closed at the end. Repeated rows count as pages.
+    that ends early or never closes counts as closed at the end.
     """
     host = F.lower(F.regexp_extract(whole(F.col(url_col)), "//([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("_host"), whole(F.col(html_col)).alias("html"))
     # the id, url and host travel with the page as one JSON string; nulls stay nulls
     rows = rows.select(F.to_json(F.struct("page_id", "url", "_host")).alias("_row"), "html")
-    parsed = rows.mapInPandas(_parsed, "_row string, blocks array<struct<text: string, around: array<bigint>>>")
+    parsed = rows.mapInPandas(_parsed, "_row string, vote long, blocks array<struct<text: string, inside: boolean, around: array<bigint>>>")
     kind = pages.schema[id_col].dataType.simpleString()
-    parsed = parsed.withColumn("_own", F.from_json("_row", f"page_id {kind}, url string, _host string")).select("_own.*", "blocks", F.monotonically_increasing_id().alias("_page"))
+    parsed = parsed.withColumn("_own", F.from_json("_row", f"page_id {kind}, url string, _host string")).select("_own.*", "vote", "blocks", F.monotonically_increasing_id().alias("_page"))
     parsed = stage(parsed, "blocks")
     inside = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    seen = parsed.select("_page", "_host", F.explode(inside).alias("hash"))
-    sizes = parsed.groupBy("_host").agg(F.count("*").alias("_pages"))
+    seen = parsed.select("_page", "_host", "vote", F.explode(inside).alias("hash"))
+    sizes = parsed.groupBy("_host").agg(F.count_distinct("vote").alias("_pages"))
     template = (
-        seen.groupBy("_host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+        seen.groupBy("_host", "hash").agg(F.count_distinct("vote").alias("n")).where(F.col("n") >= min_pages)
         .join(sizes, "_host").where(F.col("n") >= F.col("_pages") * min_share).select("_host", "hash"))
     lost = seen.join(template, ["_host", "hash"], "left_semi").groupBy("_page").agg(F.collect_list("hash").alias("_template"))
     out = parsed.join(lost, "_page", "left")
-    kept = let(F.coalesce("_template", F.array().cast("array<bigint>")), lambda gone: F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], gone)))
+    marked = let(F.coalesce("_template", F.array().cast("array<bigint>")), lambda gone: F.transform("blocks", lambda b: F.struct(
+        b["text"].alias("text"), b["inside"].alias("inside"), F.arrays_overlap(b["around"], gone).alias("gone"))))
+    length = lambda wanted: F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + F.when(wanted(b), F.length(b["text"])).otherwise(0))
+    out = out.select("page_id", "url", marked.alias("blocks"))
+    out = out.withColumns({"_article": length(lambda b: b["inside"]), "_left": length(lambda b: b["inside"] & ~b["gone"]), "_beside": length(lambda b: ~b["inside"] & ~b["gone"])})
+    copy = F.col("_left") * 2 < F.col("_article")
+    only = (F.col("_article") > 0) & (F.when(copy, F.col("_article")).otherwise(F.col("_left")) >= F.col("_beside"))
+    kept = F.filter("blocks", lambda b: F.when(b["inside"], copy | ~b["gone"]).otherwise(~only & ~b["gone"]))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -157,6 +157,28 @@ def test_templates_of_a_host_are_removed(spark):
     assert got[5] == "Body 5 <b>" and got[99] == "Site tagline\nBody 99 <b>\nImprint" and got[100] == ""
 
 
+def _main_texts(spark, rows):
+    out = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    return {r["page_id"]: r["text"] for r in out.collect()}
+
+
+@pytest.mark.parametrize("page", ["<div><p>One text</p></div>", "<article><div><p>One text</p></div></article>"])
+def test_copies_of_a_page_are_no_template(spark, page):
+    got = _main_texts(spark, [(i, f"http://a.example/{i}", page) for i in range(50)])
+    assert got == {i: "One text" for i in range(50)}
+
+
+def test_counts_decide_in_and_beside_articles(spark):
+    body = lambda i: f"<p>Text {i} of this page</p>"
+    rows = [(i, f"http://a.example/{i}", f"<article><h1>Title {i}</h1>{body(i)}<p>Read more</p></article>") for i in range(30)]
+    rows += [(100 + i, f"http://b.example/{i}", f"<article><p>Teaser</p></article><div>{body(i)}</div>") for i in range(30)]
+    rows += [(200 + i, f"http://c.example/{i}", f"<article><p>{'Same text ' * 9}</p><p>{i}</p></article>") for i in range(30)]
+    got = _main_texts(spark, rows)
+    assert got[4] == "Title 4\nText 4 of this page"
+    assert got[104].endswith("Text 4 of this page")
+    assert got[204] == ("Same text " * 9).strip() + "\n4"
+
+
 def test_words_are_the_same_everywhere():
     assert brute.words("a\x0bb\x1cc d") == re.findall(r"[^\x20\x09-\x0D]+", "a\x0bb\x1cc d")
 
