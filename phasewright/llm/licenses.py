@@ -24,18 +24,41 @@ from phasewright.llm.text import id_key, id_of, whole
 WORDS = 5
 BANDS = 48
 
-# Notices by the short name of their license.
+# Sentences of notices and full texts by the short name of their license. Each is cut so that another
+# license or version holds less than four fifths of it; "GPL" and "BSD" are what the versions of a family share.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("GPL", "terms of the GNU General Public License as published by the Free Software Foundation"),
+    *(
+        (f"{short}-{version}", text)
+        for short, start, name, version, said in (
+            ("GPL", "under the", "General", "2.0", "2"), ("GPL", "under the", "General", "3.0", "3"), ("AGPL", "the", "Affero General", "3.0", "3"),
+            ("LGPL", "the", "Library General", "2.0", "2"), ("LGPL", "the", "Lesser General", "2.1", "2.1"), ("LGPL", "the", "Lesser General", "3.0", "3"))
+        for text in (
+            f"{start} GNU {name} Public License, version {said}",
+            f"terms of the GNU {name} Public License as published by the Free Software Foundation, either version {said} of the License, or")
+    ),
+    ("LGPL-3.0", "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", "materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT"),
+    ("BSD-3-Clause", "contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("MPL-2.0", "subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("EPL-1.0", "Eclipse Public License v1.0 which accompanies this distribution"),
+    ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC0-1.0", "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights"),
+    ("CC0-1.0", "has waived all copyright and related or neighboring rights to"),
+    *(
+        (f"CC-{short}-4.0", text)
+        for short, name in (
+            ("BY", ""), ("BY-SA", "-ShareAlike"), ("BY-ND", "-NoDerivatives"), ("BY-NC", "-NonCommercial"), ("BY-NC-SA", "-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "-NonCommercial-NoDerivatives"))
+        for text in (f"This work is licensed under a Creative Commons Attribution{name} 4.0 International License.", f"Licensed under CC {short} 4.0.")
+    ),
 )
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 

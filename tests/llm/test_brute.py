@@ -140,6 +140,40 @@ def test_license_scan_finds_what_containment_says(spark):
     assert got == want
 
 
+GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice. 2. Redistributions in binary form must reproduce the above copyright notice in the documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+CLAUSE = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+NOTICES = [
+    ({"GPL", "GPL-2.0"}, GNU.format("General", "2")), ({"GPL", "GPL-3.0"}, GNU.format("General", "3")), ({"AGPL-3.0"}, GNU.format("Affero General", "3")),
+    ({"LGPL-2.1"}, GNU.format("Lesser General", "2.1")), ({"LGPL-3.0"}, GNU.format("Lesser General", "3")),
+    ({"GPL-2.0"}, "This work is licensed under the GNU General Public License, version 2."), ({"GPL-3.0"}, "This work is licensed under the GNU General Public License, version 3."),
+    ({"LGPL-3.0"}, "This work is licensed under the GNU Lesser General Public License, version 3."), ({"AGPL-3.0"}, "This work is licensed under the GNU Affero General Public License, version 3."),
+    ({"BSD", "BSD-2-Clause"}, BSD.format("")), ({"BSD", "BSD-3-Clause"}, BSD.format(CLAUSE)),
+    ({"MPL-2.0"}, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one"),
+    ({"CC-BY-ND-4.0"}, "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ({"ISC"}, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that"),
+    ({"Unlicense"}, "This is free and unencumbered software released into the public domain."),
+]
+
+
+@pytest.mark.parametrize("want,text", NOTICES)
+def test_notices_tell_versions_apart(want, text):
+    found = licenses.Templates(licenses.TEMPLATES).matches("before it some words " + text + " and some after it", 0.8)
+    assert {name for name, *_ in found} == want
+
+
+FULL = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(FULL), reason="license texts are absent")
+@pytest.mark.parametrize("name,want", [("GPL-2", "GPL-2.0"), ("GPL-3", "GPL-3.0"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3", "LGPL-3.0"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"), ("CC0-1.0", "CC0-1.0")])
+def test_full_license_texts_are_found(name, want):
+    with open(f"{FULL}/{name}", encoding="utf-8") as file:
+        found = {license for license, *_ in licenses.Templates(licenses.TEMPLATES).matches(file.read(), 0.8)}
+    named = {"LGPL-2.1"} if name == "MPL-2.0" else {"GPL"}  # the text of MPL-2.0 lists this one as a secondary license
+    assert want in found and found <= {want} | named
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href="/a">Menu</a></li></ul></nav>
 <div class="cookie-notice">We use cookies</div><!-- ad --><div class="ad">Buy</div><article><h1>One &amp; two</h1><p><b>First
  &eacute;\t line<br><p>Second <i>in</i>line.<aside>Side</aside><div class="comments"><p>Reader</p></div><ul><li>x<li>y</ul></article><footer>Foot</footer>"""
