@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phasewright.llm import decontam, forest, html, licenses, line_quality, lines, mixing, rules, suffixes, toxicity
+from phasewright.llm import codes, decontam, exact, forest, html, licenses, line_quality, lines, mixing, negatives, rules, suffixes, toxicity
 from phasewright.llm import sql as S
 from phasewright.llm.text import whole
 
@@ -69,6 +69,19 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.main_text(_table(spark, folder, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, folder, "embeddings").withColumn("label", shifted))
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_duplicates(_documents(spark, folder))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_license_scan": op2_license_scan,
@@ -80,6 +93,12 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_main_text": op10_main_text,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
-ORACLES = {"op3_line_dedup": S.LINE_DEDUP, "op8_mixing": S.MIXING, "op9_quality_rules": S.QUALITY_RULES}
+ORACLES = {
+    "op3_line_dedup": S.LINE_DEDUP, "op8_mixing": S.MIXING, "op9_quality_rules": S.QUALITY_RULES,
+    "op11_hard_negatives": S.HARD_NEGATIVES, "op12_exact_dedup": S.EXACT_DEDUP, "op13_vector_codes": S.vector_codes(),
+}

@@ -90,3 +90,59 @@ r AS (SELECT w.doc_id, len(w.words) AS n_words, length(translate(text, {_WS}, ''
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_left >= 0.3::DOUBLE * n_words AS kept FROM r
 """
+
+
+EXACT_DEDUP = f"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(translate(coalesce(text, ''), {_WS}, '')) AS text_sha256 FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST) AS place,
+  count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
+SELECT r.doc_id, w.doc_id AS keep_id, r.group_size, r.place = 1 AS kept, r.text_sha256
+FROM r JOIN r AS w ON r.text_sha256 = w.text_sha256 AND w.place = 1
+"""
+
+_FINE = "embedding IS NOT NULL AND list_bool_and([coalesce(isfinite(x), false) FOR x IN embedding]) IS NOT false"
+
+HARD_NEGATIVES = f"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS comps
+  FROM embeddings WHERE label IS NOT NULL AND {_FINE}),
+flat AS (SELECT vec_id, label, i, comps[i] AS c FROM kept, unnest(range(1, len(comps) + 1)) AS u(i)),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, r.vec_id AS id, r.label, sum(a.c * r.c)::BIGINT AS score
+  FROM flat a JOIN flat r USING (i) WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id GROUP BY ALL),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scores WHERE label = anchor_label)
+  WHERE place <= 5),
+windows AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND n.label <> n.anchor_label
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 10
+"""
+
+
+def vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Every round of the codebooks written out: distances, nearest entries, means."""
+    def nearest(step: int) -> str:
+        return f"""
+d{step} AS (SELECT f.vec_id, f.part, b.entry, sum((f.c - b.c) * (f.c - b.c))::BIGINT AS error FROM flat f JOIN b{step} b USING (part, pos) GROUP BY ALL),
+n{step} AS (SELECT vec_id, part, arg_min(entry, error * {entries} + entry) AS entry, min(error) AS error FROM d{step} GROUP BY ALL)"""
+
+    moved = ",".join(f"""{nearest(r)},
+m{r} AS (SELECT part, entry, pos, sum(c)::BIGINT AS total, count(*) AS n FROM n{r} JOIN flat USING (vec_id, part) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce(CASE WHEN m.total < 0 THEN -((n - 1 - m.total) // n) ELSE m.total // n END, b.c) AS c
+  FROM b{r} b LEFT JOIN m{r} m USING (part, entry, pos))""" for r in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS comps, row_number() OVER (ORDER BY vec_id) - 1 AS place
+  FROM embeddings WHERE {_FINE}),
+flat AS MATERIALIZED (
+  SELECT vec_id, place, (i - 1) // (len(comps) // {parts}) AS part, (i - 1) % (len(comps) // {parts}) AS pos, comps[i] AS c
+  FROM kept, unnest(range(1, len(comps) + 1)) AS u(i)),
+b0 AS (SELECT part, place AS entry, pos, c FROM flat WHERE place < {entries}),{moved},{nearest(rounds)},
+books AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM n{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books
+"""
