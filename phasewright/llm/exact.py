@@ -29,7 +29,7 @@ def frequent(keys: DataFrame, counters: int = 3000, most: int = 1000, slices: in
     no task meets more than its share of the sketches.
     """
     sliced = keys.groupBy((F.spark_partition_id() % slices).alias("slice")).agg(F.expr(f"approx_top_k_accumulate(digest, {counters})").alias("state"))
-    merged = sliced.agg(F.expr(f"approx_top_k_combine(state, {counters})").alias("state"))
+    merged = sliced.groupBy(F.lit(True).alias("all")).agg(F.expr(f"approx_top_k_combine(state, {counters})").alias("state"))
     return merged.select(F.explode(F.expr(f"approx_top_k_estimate(state, {min(most, counters)})")).alias("top")).select(F.col("top.item").alias("digest"))
 
 
