@@ -17,6 +17,7 @@ import tempfile
 import numpy as np
 
 BULK_ALPHABET = 4096  # symbols up to which bucket steps are worth their fixed cost
+PREFIXES = 1 << 18  # neighbours compared at once
 MOST = 1 << 30  # common prefixes are told apart up to here
 
 
@@ -71,44 +72,42 @@ class DiskQueue:
         return tuple(self._in_order(found))
 
 
+def _small(n: int) -> type:
+    """The integers that positions and prefixes of ``n`` symbols need: half the memory for all but very large texts."""
+    return np.int32 if n < MOST else np.int64
+
+
 def _rising(text: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than the next one. The last is: it stands before all."""
     n = len(text)
     step = np.empty(n, np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int64) - text[:-1])
+    step[:-1] = (text[1:] > text[:-1]).astype(np.int8) - (text[1:] < text[:-1])
     step[-1] = 1
     # inside a run of equal symbols the step that ends the run decides
-    ends = np.flatnonzero(step)
-    return step[ends[np.searchsorted(ends, np.arange(n))]] > 0
+    ends = np.flatnonzero(step).astype(_small(n))
+    return np.repeat(step[ends] > 0, np.diff(ends, prepend=-1))
 
 
 def _runs(text: np.ndarray) -> np.ndarray:
     """Length of the run of equal symbols from each position on."""
-    ends = np.append(np.flatnonzero(text[1:] != text[:-1]), len(text) - 1)
-    return np.minimum(ends[np.searchsorted(ends, np.arange(len(text)))] - np.arange(len(text)) + 1, MOST)
+    kind = _small(len(text))
+    ends = np.append(np.flatnonzero(text[1:] != text[:-1]), len(text) - 1).astype(kind)
+    out = np.repeat(ends + 1, np.diff(ends, prepend=-1))
+    out -= np.arange(len(text), dtype=kind)
+    return np.minimum(out, MOST, out=out)
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Symbols that the suffixes at ``a`` and ``b`` share, at most ``most``; a separator (0) equals no other."""
     out, n = np.zeros(len(a), np.int64), len(text)
-    live = np.arange(len(a))
-    if len(text) and text.max() < 512:
-        packed, clear = np.zeros(n + 7, np.int64), np.ones(n + 7, bool)
-        clear[max(0, n - 6) :] = False
-        for i in range(min(7, n)):  # seven symbols in one number; none of them a separator or past the end
-            packed[: n - i] |= text[i:].astype(np.int64) << (9 * (6 - i))
-            clear[: n - i] &= text[i:] != 0
+    for start in range(0, len(a), PREFIXES):
+        live = np.arange(start, min(start + PREFIXES, len(a)))
         while len(live):
             x, y = a[live] + out[live], b[live] + out[live]
-            live = live[(packed[x] == packed[y]) & clear[x] & clear[y] & (out[live] < most)]
-            out[live] += 7
-        live = np.arange(len(a))
-    while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        inside = (x < n) & (y < n) & (out[live] < most)
-        live, x, y = live[inside], x[inside], y[inside]
-        live = live[(text[x] == text[y]) & (text[x] != 0)]
-        out[live] += 1
+            inside = (x < n) & (y < n) & (out[live] < most)
+            live, x, y = live[inside], x[inside], y[inside]
+            live = live[(text[x] == text[y]) & (text[x] != 0)]
+            out[live] += 1
     return np.minimum(out, most)
 
 
@@ -182,17 +181,17 @@ class _Sweep:
 
     def __init__(self, n: int):
         self.shared = np.zeros(n + 1, np.int32)
-        self.met = 0
+        self.met, self.kind = 0, _small(n + 1)
 
     def add(self, shared: np.ndarray) -> np.ndarray:
-        ranks = np.arange(self.met, self.met + len(shared))
+        ranks = np.arange(self.met, self.met + len(shared), dtype=self.kind)
         self.shared[ranks] = shared
         self.met += len(shared)
         return ranks
 
     def between(self, inducers: np.ndarray, before: int) -> np.ndarray:
         """One more than the least common prefix between one inducer and the next; ``before`` is the inducer of the suffix before, or -1."""
-        out = np.zeros(len(inducers), np.int64)
+        out = np.zeros(len(inducers), np.int32)
         if before >= 0:
             out[0] = 1 + self.shared[before + 1 : inducers[0] + 1].min()
         if len(inducers) > 1:
@@ -219,12 +218,13 @@ def suffix_order(
     n = len(text)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    kind = _small(n + 1)
     rising, run = _rising(text), _runs(text)
     starts = np.flatnonzero(rising[1:] & ~rising[:-1]) + 1
     if rising[0] and text[0] == 0:
         starts = np.append(0, starts)
-    order = starts[_sorted_starts(text, starts, True, folder, memory_rows)]
-    shared = np.zeros(len(order), np.int64)
+    order = starts[_sorted_starts(text, starts, True, folder, memory_rows)].astype(kind)
+    shared = np.zeros(len(order), np.int32)
     if len(order) > 1:
         shared[1:] = common_prefix(text, order[:-1], order[1:], most)
     first = text[order]
@@ -255,7 +255,7 @@ def suffix_order(
             prefixes.append(shared)
             inducers, at = induce(sweep, ranks, at, up, symbol)
         if not parts:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, kind), np.empty(0, np.int32)
         return np.concatenate(parts), np.concatenate(prefixes)
 
     bounds = np.searchsorted(first, [*symbols, symbols[-1] + 1])
@@ -271,11 +271,11 @@ def suffix_order(
 
     # downwards: rising suffixes, each bucket from its end, then its falling ones
     sweep, queue = _Sweep(n), DiskQueue(folder, memory_rows)
-    out, lcp = np.empty(n, np.int64), np.zeros(n, np.int64)
+    out, lcp = np.empty(n, kind), np.zeros(n, np.int32)
     end = n
     for symbol in symbols[::-1].tolist():
         if symbol == 0:
-            at, prefixes = np.flatnonzero(text == 0)[::-1], np.zeros(int((text == 0).sum()), np.int64)
+            at, prefixes = np.flatnonzero(text == 0)[::-1].astype(kind), np.zeros(int((text == 0).sum()), np.int32)
             sweep.add(prefixes)
         else:
             at, prefixes = bucket(sweep, symbol, False)
@@ -284,13 +284,13 @@ def suffix_order(
         if len(at) > 1:
             lcp[end - len(at) + 1 : end] = prefixes[1:][::-1]
         border = end - len(at)
-        down, own = falling[symbol]
+        down, own = falling.pop(symbol)
         if len(down):
             if len(at):
                 lcp[border] = min(run[down[-1]], run[at[-1]])
             out[border - len(down) : border] = down
             lcp[border - len(down) + 1 : border] = own[1:]
-            back = np.empty(len(down), np.int64)
+            back = np.empty(len(down), np.int32)
             back[0] = lcp[border] if len(at) else 0
             back[1:] = own[1:][::-1]
             induce(sweep, sweep.add(back), down[::-1], False, symbol)

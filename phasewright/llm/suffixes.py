@@ -24,8 +24,10 @@ from phasewright.llm.text import id_key, id_of, whole
 from phasewright.session import stage
 
 GRAM = 32  # bytes of an anchor
-BUFFER = 1 << 21  # bytes hashed at once
-SHARD = 1 << 22  # bytes sorted at once; an anchor is never split
+BUFFER = 1 << 20  # bytes hashed at once
+SHARD = 1 << 20  # bytes sorted at once; an anchor is never split
+QUEUE = 100_000  # tuples of a sort that wait in memory, a fraction of a shard's; the others wait on disk
+SINGLE = 50_000  # windows of hot anchors sent on at once
 HOT = 4096  # different segments of an anchor beyond which its windows are dealt singly
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 24) - 1)
@@ -185,16 +187,20 @@ def _sort_shards(batches: Iterator[pd.DataFrame], window: int, memory_rows: int)
 
 
 def _single_windows(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
-    """The windows of hot anchors one by one, hashed twice."""
+    """The windows of hot anchors one by one, hashed to 128 bits, some ``SINGLE`` at a time."""
+    names = ["anchor", "segment", "count", "i", "hash"]
+    rows = []
     for batch in batches:
-        rows = []
         for anchor, segment, count, raw, n in zip(batch["anchor"], batch["segment"], batch["count"], batch["bytes"], batch["n"], strict=True):
             for i in range(n):
                 rows.append((anchor, segment, count, i, hashlib.blake2b(raw[i : i + window], digest_size=16).digest()))
-        yield pd.DataFrame(rows, columns=["anchor", "segment", "count", "i", "hash"])
+                if len(rows) >= SINGLE:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+    yield pd.DataFrame(rows, columns=names)
 
 
-def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", text_col: str = "text", memory_rows: int = 4_000_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, window: int = 200, id_col: str = "doc_id", text_col: str = "text", memory_rows: int = QUEUE) -> DataFrame:
     """``docs`` as ``doc_id``, ``text``, ``text_key`` (null ids as the least number) with ``spans``: array of (a, b) byte ranges that any repeated window covers.
 
     Ranges may touch or overlap; ``removed`` puts them together. ``spans`` is null where nothing
