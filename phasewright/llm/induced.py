@@ -100,8 +100,21 @@ def _runs(text: np.ndarray) -> np.ndarray:
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Symbols that the suffixes at ``a`` and ``b`` share, at most ``most``; a separator (0) equals no other."""
     out, n = np.zeros(len(a), np.int64), len(text)
+    packed = None
+    if n and text.max() < 512:
+        packed, clear = np.zeros(n + 7, np.int64), np.ones(n + 7, bool)
+        clear[max(0, n - 6) :] = False
+        for i in range(min(7, n)):  # seven symbols in one number; none of them a separator or past the end
+            packed[: n - i] <<= 9
+            packed[: n - i] |= text[i:]
+            clear[: n - i] &= text[i:] != 0
     for start in range(0, len(a), PREFIXES):
-        live = np.arange(start, min(start + PREFIXES, len(a)))
+        live = every = np.arange(start, min(start + PREFIXES, len(a)))
+        while packed is not None and len(live):
+            x, y = a[live] + out[live], b[live] + out[live]
+            live = live[(packed[x] == packed[y]) & clear[x] & clear[y] & (out[live] < most)]
+            out[live] += 7
+        live = every
         while len(live):
             x, y = a[live] + out[live], b[live] + out[live]
             inside = (x < n) & (y < n) & (out[live] < most)
