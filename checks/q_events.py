@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.views_sql import hour, pairs, secs
+from checks.views_sql import hour, pairs, plus, secs
 from phasewright.functions.calendar import floor_hour
 from phasewright.operators import events as E
 from phasewright.operators import wide as W
@@ -186,6 +186,66 @@ def _(v):
     return _wide(v)
 
 
+_SIGNAL_STATES = {
+    "Ring": "EventCode = 31", "CoordPattern": "EventCode = 131", "CycleLength": "EventCode = 132", "CycleOffset": "EventCode = 133",
+    "ActualCycleLength": "EventCode = 316", "ActualNaturalCycleLength": "EventCode = 317", "ActualCycleOffset": "EventCode = 318",
+    "CoordState": "EventCode = 150", "FlashStatus": "EventCode = 173"}
+_ORDER = "ORDER BY Timestamp, EventCode, EventParam ROWS BETWEEN"
+
+
+def _lasting(name: str, key: str = "") -> str:
+    """The stamp carried down to the end of the next day; a carried -1 is the end of the state."""
+    held = f"last_value(CASE WHEN {name} IS NOT NULL THEN {{'v': {name}, 'd': Date}} END IGNORE NULLS) OVER (PARTITION BY SignalID{key} {_ORDER} UNBOUNDED PRECEDING AND CURRENT ROW)"
+    some = f"{key[2:]} IS NOT NULL AND " if key else ""
+    return f"CASE WHEN {some}({held}).d >= Date - 1 THEN ({held}).v END"
+
+
+def _coming(name: str, key: str) -> str:
+    """The next stamp of the day, or of an event of the day shifted past midnight."""
+    held = f"first_value(CASE WHEN {name} IS NOT NULL THEN {{'v': {name}, 'd': Date, 'o': own}} END IGNORE NULLS) OVER (PARTITION BY SignalID, {key} {_ORDER} CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"CASE WHEN {key} IS NOT NULL AND (({held}).d = Date OR (({held}).d = Date + 1 AND ({held}).o = Date)) THEN ({held}).v END"
+
+
+_DET = "EventCode BETWEEN 81 AND 88"
+_MONTH_ROWS = f"""SELECT e.SignalID, e.EventCode, e.EventParam, e.Date AS own,
+    CASE WHEN {_DET} THEN {plus('e.Timestamp', 'coalesce(k.TimeFromStopBar, 0)')} ELSE e.Timestamp END AS Timestamp,
+    CASE WHEN {_DET} THEN e.EventParam END AS Detector, CASE WHEN EventCode IN (89, 90) THEN e.EventParam END AS PedInput,
+    CASE WHEN EventCode IN (4, 5, 6) THEN EventCode END AS TermType,
+    CASE WHEN {_DET} THEN k.CallPhase WHEN EventCode BETWEEN 134 AND 149 THEN EventCode - 133 WHEN EventCode BETWEEN 300 AND 315 THEN EventCode - 299
+      WHEN EventCode BETWEEN 612 AND 651 THEN EventCode - 611 WHEN EventCode <= 24 OR EventCode BETWEEN 41 AND 49 OR EventCode = 151 THEN e.EventParam END AS Phase
+  FROM event_log_full e LEFT JOIN det_config k ON e.SignalID = k.SignalID AND e.EventParam = k.Detector AND e.Date <= date '2024-01-31'
+  WHERE EventCode NOT IN (43, 44)"""
+_MONTH_STAMPS = f"""SELECT *, {', '.join(f'max(CASE WHEN {when} THEN EventParam END) OVER t AS s_{name}' for name, when in _SIGNAL_STATES.items())},
+    max(CASE WHEN EventCode = 31 AND EventParam = 1 THEN Timestamp END) OVER t AS s_CycleStart,
+    CASE WHEN EventCode = 182 THEN -1 ELSE max(CASE WHEN EventCode IN (183, 184) THEN EventParam END) OVER t END AS s_PowerFailure,
+    max(CASE WHEN EventCode = 0 THEN Timestamp END) OVER t AS s_PhaseStart, max(CASE WHEN EventCode IN (1, 8, 10) THEN EventCode END) OVER p AS s_Interval,
+    max(CASE WHEN EventCode BETWEEN 134 AND 149 THEN EventParam END) OVER p AS s_ProgrammedSplit,
+    max(CASE WHEN EventCode BETWEEN 300 AND 315 THEN EventParam END) OVER p AS s_RecordedSplit,
+    max(CASE WHEN EventCode BETWEEN 612 AND 651 THEN EventParam END) OVER t AS s_PedWait,
+    CASE WHEN EventCode = 83 THEN -1 ELSE max(CASE WHEN EventCode BETWEEN 84 AND 88 THEN EventParam END) OVER t END AS s_DetectorFault,
+    CASE WHEN EventCode = 81 THEN Timestamp END AS s_DetectorOff, CASE WHEN EventCode = 89 THEN Timestamp END AS s_PedInputOff
+  FROM (SELECT *, cast(Timestamp as date) AS Date FROM ({_MONTH_ROWS}))
+  WINDOW t AS (PARTITION BY SignalID, Timestamp), p AS (PARTITION BY SignalID, Timestamp, Phase)"""
+_MONTH_FILLED = f"""SELECT Timestamp, SignalID, EventCode, EventParam, Date, Phase, TermType, Detector, PedInput,
+    {', '.join(f'{_lasting("s_" + name)} AS "{name}"' for name in [*_SIGNAL_STATES, "CycleStart"])}, nullif({_lasting('s_PowerFailure')}, -1) AS PowerFailure,
+    {', '.join(f'{_lasting("s_" + name, ", Phase")} AS "{name}"' for name in ("PhaseStart", "Interval", "ProgrammedSplit", "PedWait"))},
+    nullif({_lasting('s_DetectorFault', ', Detector')}, -1) AS DetectorFault, {_coming('s_RecordedSplit', 'Phase')} AS RecordedSplit,
+    CASE WHEN EventCode = 82 THEN {_coming('s_DetectorOff', 'Detector')} END AS DetectorOff,
+    CASE WHEN EventCode = 90 THEN {_coming('s_PedInputOff', 'PedInput')} END AS PedInputOff FROM ({_MONTH_STAMPS})"""
+
+
+@query(
+    "e11_widen_month",
+    "Timestamp, SignalID, EventCode:int, EventParam:int, Date, Ring:int, CycleStart, CoordPattern:int, CoordState:int, CycleLength:int, ActualCycleLength:int, "
+    "ActualNaturalCycleLength:int, CycleOffset:int, ActualCycleOffset:int, FlashStatus:int, PowerFailure:int, Phase:int, PhaseStart, Interval:int, TermType:int, "
+    "ProgrammedSplit:int, RecordedSplit:int, Detector:int, DetectorFault:int, DetectorOff, ~DetectorDuration, PedInput:int, PedWait:int, PedInputOff, ~PedInputDuration",
+    f"""SELECT *, {secs('Timestamp', 'DetectorOff')} AS DetectorDuration, {secs('Timestamp', 'PedInputOff')} AS PedInputDuration
+    FROM ({_MONTH_FILLED}) SEMI JOIN (SELECT DISTINCT SignalID, Date FROM event_log_full) USING (SignalID, Date) WHERE EventCode NOT IN (81, 89)""",
+)
+def _(v):
+    return W.widen(v.event_log_full(), v.dated_det_config())
+
+
 @query(
     "e12_channel_phase_mapping", "SignalID, Detector:int, CallPhase:int",
     """SELECT DISTINCT SignalID, Detector, CallPhase FROM (SELECT SignalID, Timestamp, min(EventParam) AS Detector FROM h WHERE EventCode = 82

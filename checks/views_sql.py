@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from phasewright.sources.views import MORE_CODES
+
 DAY0 = "1704067200000000"
 
 _CODE = """CASE event_type
@@ -164,6 +166,13 @@ VIEWS: dict[str, str] = {
     **_log("event_log", 25, "ts"),
     **_log("day_raw", 5, f"make_timestamp({DAY0} + (epoch_us(ts) - {DAY0}) // 30)"),
     "event_log_day": "SELECT DISTINCT * FROM day_raw",
+    "event_log_full": f"""SELECT DISTINCT * FROM (SELECT * FROM event_log UNION ALL
+      SELECT SignalID, Timestamp, EventCode, EventParam, cast(Timestamp as date) FROM (
+      SELECT cast(user_id % 25 as varchar) AS SignalID, ts AS Timestamp, {list(MORE_CODES)}[(event_id % {len(MORE_CODES)} + 1)::int] AS EventCode,
+        cast(regexp_extract(props, '([0-9]+)', 1) as int) % 8 + 1 AS EventParam FROM events
+      UNION ALL SELECT cast(user_id % 25 as varchar), CASE WHEN k >= CASE WHEN event_type = 'click' THEN 80 ELSE 50 END
+        THEN date_trunc('day', ts) + to_seconds(86399) ELSE ts END, CASE WHEN event_type = 'click' THEN 82 ELSE 81 END, k % 8 + 1
+        FROM (SELECT *, cast(regexp_extract(props, '([0-9]+)', 1) as int) AS k FROM events) WHERE event_type IN ('click', 'view')))""",
     "corridors": """SELECT cast(n_nationkey as varchar) AS SignalID, 'GROUP_' || (n_regionkey % 2) AS Zone_Group,
       'ZONE_' || (n_regionkey % 2) AS Zone, r_name AS Corridor, r_name || '-' || (n_nationkey // 5 % 2) AS Subcorridor,
       n_name || ' @ ' || r_name AS Name, n_nationkey || ': ' || n_name || ' @ ' || r_name AS Description,

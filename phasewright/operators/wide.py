@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasewright.functions.calendar import floor_minutes, plus_seconds, seconds_between
+from phasewright.functions.calendar import floor_minutes, micros, midnight, plus_seconds, seconds_between
 from phasewright.operators.carry import Mark, carry
 from phasewright.session import stage
 
@@ -21,6 +21,11 @@ PHASE_CODES = [*range(0, 25), *range(41, 50), 151]
 INTERVAL_CODES = {1: "Green", 8: "Yellow", 10: "Red"}
 PHASE_CALL_CODES = (43, 44)
 POWER_CODES, POWER_RESTORED = (183, 184), 182
+BARRIER, COORD_PATTERN, CYCLE_LENGTH, CYCLE_OFFSET = 31, 131, 132, 133
+ACTUAL_CYCLE_LENGTH, ACTUAL_NATURAL_CYCLE_LENGTH, ACTUAL_CYCLE_OFFSET = 316, 317, 318
+COORD_STATE, FLASH_STATUS = 150, 173
+PHASE_ON, TERMINATIONS = 0, (4, 5, 6)
+DETECTOR_OFF, DETECTOR_ON, PED_OFF, PED_ON = 81, 82, 89, 90
 
 
 def derive_on_codes(df: DataFrame, codes, source, name: str, fn=lambda c: c) -> DataFrame:
@@ -102,76 +107,171 @@ def copy_updown(
     return out.drop(f"_s_{name}")
 
 
-def _two_day_rows(events: DataFrame) -> DataFrame:
-    """Each event once for its own day and once as the day before of the next."""
-    days = F.array(F.col("Date"), F.date_add("Date", 1))
-    return events.withColumn("_days", days).select(
-        "SignalID", "Timestamp", "EventCode", "EventParam", F.col("Date").alias("EventDate"),
-        F.explode("_days").alias("Date"),
+@dataclass(frozen=True)
+class Carried:
+    """States that share a key beside the signal: carried down to later rows, and up to earlier ones of the same day."""
+
+    group: str | None
+    down: tuple[State, ...] = ()
+    up: tuple[State, ...] = ()
+
+
+def wide_states() -> list[Carried]:
+    """The states of a wide row by the key they belong to."""
+    at, code, param = F.col("Timestamp"), F.col("EventCode"), F.col("EventParam")
+    by_signal = (
+        State("Ring", (BARRIER,), param), State("CycleStart", (BARRIER,), at, when=param == 1),
+        State("CoordPattern", (COORD_PATTERN,), param), State("CycleLength", (CYCLE_LENGTH,), param),
+        State("CycleOffset", (CYCLE_OFFSET,), param), State("ActualCycleLength", (ACTUAL_CYCLE_LENGTH,), param),
+        State("ActualNaturalCycleLength", (ACTUAL_NATURAL_CYCLE_LENGTH,), param), State("ActualCycleOffset", (ACTUAL_CYCLE_OFFSET,), param),
+        State("CoordState", (COORD_STATE,), param), State("FlashStatus", (FLASH_STATUS,), param),
+        State("PowerFailure", POWER_CODES, param, off=POWER_RESTORED),
     )
+    by_phase = (
+        State("PhaseStart", (PHASE_ON,), at), State("Interval", tuple(INTERVAL_CODES), code, spread="group"),
+        State("ProgrammedSplit", tuple(PROGRAMMED_SPLIT), param, spread="group"), State("PedWait", tuple(PED_WAIT), param),
+    )
+    return [
+        Carried(None, by_signal),
+        Carried("Phase", by_phase, (State("RecordedSplit", tuple(RECORDED_SPLIT), param, spread="group"),)),
+        Carried("Detector", (State("DetectorFault", tuple(FAULT_CODES), param, off=FAULT_END),), (State("DetectorOff", (DETECTOR_OFF,), at, spread=None),)),
+        Carried("PedInput", (), (State("PedInputOff", (PED_OFF,), at, spread=None),)),
+    ]
 
 
-def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600) -> DataFrame:
-    """One wide row per event with the controller state in force.
+_PLACE = ["SignalID", "Date", "_bin"]
+
 
-    A day is read together with the day before it, so states set yesterday are known.
-    ``config`` is the detector list by date: SignalID, Detector, CallPhase,
-    TimeFromStopBar, Date. Days without events of their own are not produced.
+def _stamp(state: State, group: str | None) -> Column:
+    """What a state takes at its own events, as a struct so that its end is a value too; null elsewhere."""
+    hit = F.col("EventCode").isin(*state.codes)
+    if state.when is not None:
+        hit = hit & state.when
+    value = F.when(hit, state.value)
+    if state.spread is not None:
+        instant = [*_PLACE, "Timestamp", *([group] if group and state.spread == "group" else [])]
+        value = F.max(value).over(Window.partitionBy(*instant))
+    out = F.when(value.isNotNull(), F.struct(value.alias("v")))
+    if state.off is not None:
+        out = F.when(F.col("EventCode") == state.off, F.struct(F.when(F.lit(False), state.value).alias("v"))).otherwise(out)
+    return F.when(F.col(group).isNotNull(), out) if group else out
+
+
+def _fill_bins(rows: DataFrame, states: list[Carried]) -> DataFrame:
+    """Every state inside each bin of a signal. All windows partition by signal, day and bin or finer, so one exchange serves them."""
+    placed = rows.repartition(*_PLACE)
+    placed = placed.select("*", *[_stamp(s, c.group).alias(f"_s_{s.name}") for c in states for s in (*c.down, *c.up)])
+    order = ["Timestamp", "EventCode", "EventParam"]
+    for c in states:
+        part = Window.partitionBy(*_PLACE, *([c.group] if c.group else []))
+        for held, window in ((c.down, part.orderBy(*order)), (c.up, part.orderBy(*[F.desc(o) for o in order]))):
+            until = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            placed = placed.withColumns({f"_f_{s.name}": F.last(f"_s_{s.name}", ignorenulls=True).over(until) for s in held})
+    return placed.drop(*[f"_s_{s.name}" for c in states for s in (*c.down, *c.up)])
+
+
+def _carry_in(filled: DataFrame, c: Carried, days_before: int | None) -> DataFrame:
+    """Per signal, day, bin and key of ``c``: the states that reach the bin from others, each as a struct ``s`` or null.
+
+    One row for each bin in which the key has rows: what the bin begins and ends with, and
+    from there the nearest states before and after. A state lasts into later days until
+    ``days_before`` of them have begun (None: for ever). Going up, a marker is found on its own
+    day, or just after midnight if its detector's distance has shifted it there.
     """
-    own_days = events.select("SignalID", "Date").distinct()
-    rows = _two_day_rows(events).where(~F.col("EventCode").isin(*PHASE_CALL_CODES)).join(
-        own_days, ["SignalID", "Date"], "left_semi"
+    group = [c.group] if c.group else []
+    order = F.struct("Timestamp", "EventCode", "EventParam")
+    shifted = F.col("_own") < F.col("Date")
+    late = [s for s in c.up if s.spread is None]
+    ends = (filled.where(F.col(c.group).isNotNull()) if c.group else filled).groupBy(*_PLACE, *group).agg(
+        F.max(~shifted).alias("_own_day"),
+        *[F.max_by(f"_f_{s.name}", order).alias(f"_e_{s.name}") for s in c.down],
+        *[F.min_by(f"_f_{s.name}", order).alias(f"_e_{s.name}") for s in c.up],
+        *[F.min(F.when(F.col("EventCode").isin(*s.codes) & shifted, F.struct(s.value.alias("v")))).alias(f"_late_{s.name}") for s in late],
     )
+    key = Window.partitionBy("SignalID", *group)
+    bins = Window.unboundedPreceding, -1
+    earlier = key.orderBy("Date", "_bin").rowsBetween(*bins)
+    later = key.orderBy(F.desc("Date"), F.desc("_bin")).rowsBetween(*bins)
+
+    def nearest(name: str, window) -> Column:
+        value = F.col(name)
+        return F.last(F.when(value.isNotNull(), F.struct(value.alias("s"), F.col("Date").alias("day"))), ignorenulls=True).over(window)
+
+    found = ends.select(
+        *_PLACE, *group, F.max("_own_day").over(Window.partitionBy("SignalID", "Date")).alias("_own_day"),
+        *[nearest(f"_e_{s.name}", earlier).alias(f"_n_{s.name}") for s in c.down],
+        *[nearest(f"_e_{s.name}", later).alias(f"_n_{s.name}") for s in c.up],
+        *[nearest(f"_late_{s.name}", later).alias(f"_l_{s.name}") for s in late])
+
+    def on_days(name: str, first: Column, last: Column) -> Column:
+        return F.when(F.col(f"{name}.day").between(first, last), F.col(f"{name}.s"))
+
+    today = F.col("Date")
+    since = today if days_before is None else F.date_sub(today, days_before)
+    down = [(F.col(f"_n_{s.name}.s") if days_before is None else on_days(f"_n_{s.name}", since, today)).alias(s.name) for s in c.down]
+    up = []
+    for s in c.up:
+        own = on_days(f"_n_{s.name}", today, today)
+        tomorrow = F.date_add(today, 1)
+        up.append((F.coalesce(own, on_days(f"_l_{s.name}", tomorrow, tomorrow)) if s in late else own).alias(s.name))
+    return found.select(*_PLACE, *group, "_own_day", F.struct(*down, *up).alias("_in"))
+
+
+def _carried_states(filled: DataFrame, states: list[Carried], days_before: int | None) -> DataFrame:
+    """One row per signal, day and bin: ``_own_day``, the signal's states, and a map of states for each other key."""
+    out = None
+    for c in states:
+        part = _carry_in(filled, c, days_before)
+        if c.group is None:
+            part = part.withColumnRenamed("_in", "_in_signal")
+        else:
+            held = F.map_from_entries(F.collect_list(F.struct(c.group, "_in")))
+            part = part.groupBy(*_PLACE).agg(held.alias(f"_in_{c.group}"))
+        out = part if out is None else out.join(part, _PLACE, "left")
+    return out
+
+
+def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600, days_before: int | None = 1) -> DataFrame:
+    """One wide row per event with the controller state in force.
+
+    Each event is read once. States are filled inside bins of a signal's day, by windows that
+    share one exchange; what a bin starts with comes from a table of one small row for each bin,
+    in which the last states of earlier bins and days run on, ``days_before`` days at most
+    (None: without end). A bin's states of all phases, detectors and inputs sit in one row of
+    maps, so rows with and without such a key meet it in one join.
+
+    An event belongs to the day of its shifted time. ``config`` is the detector list by
+    date: SignalID, Detector, CallPhase, TimeFromStopBar, Date. A day on which a signal has
+    only events shifted over from the day before is not produced.
+    """
+    code, param = F.col("EventCode"), F.col("EventParam")
+    is_det = code.isin(*DETECTOR_CODES)
+    rows = events.where(~code.isin(*PHASE_CALL_CODES)).select(
+        "SignalID", "Timestamp", "EventCode", "EventParam", F.col("Date").alias("_own"), is_det.alias("_det"))
     dc = config.select(
         "SignalID", F.col("Detector").alias("EventParam"), F.col("CallPhase").alias("_phase"),
-        F.coalesce("TimeFromStopBar", F.lit(0.0)).alias("_shift"), F.col("Date").alias("EventDate"),
-        F.lit(True).alias("_det"),
+        F.coalesce("TimeFromStopBar", F.lit(0.0)).alias("_shift"), F.col("Date").alias("_own"), F.lit(True).alias("_det"),
     )
-    is_det = F.col("EventCode").isin(*DETECTOR_CODES)
-    rows = rows.withColumn("_det", is_det).join(dc, ["SignalID", "EventParam", "EventDate", "_det"], "left").drop("_det")
+    rows = rows.join(dc, ["SignalID", "EventParam", "_own", "_det"], "left").drop("_det")
     rows = rows.withColumn("Timestamp", plus_seconds("Timestamp", F.coalesce("_shift", F.lit(0.0)))).drop("_shift")
-    code, param = F.col("EventCode"), F.col("EventParam")
+    rows = rows.withColumn("Date", F.to_date("Timestamp"))
+    rows = rows.withColumn("_bin", F.floor((micros("Timestamp") - micros(midnight("Date"))) / (bin_seconds * 1_000_000)).cast("int"))
     rows = rows.withColumn("Detector", F.when(is_det, param)).withColumn("Phase", F.when(is_det, F.col("_phase"))).drop("_phase")
-    rows = derive_on_codes(rows, PROGRAMMED_SPLIT, code, "Phase", lambda c: c - 133)
-    rows = derive_on_codes(rows, RECORDED_SPLIT, code, "Phase", lambda c: c - 299)
-    rows = derive_on_codes(rows, PED_WAIT, code, "Phase", lambda c: c - 611)
+    rows = derive_on_codes(rows, PROGRAMMED_SPLIT, code, "Phase", lambda c: c - (PROGRAMMED_SPLIT[0] - 1))
+    rows = derive_on_codes(rows, RECORDED_SPLIT, code, "Phase", lambda c: c - (RECORDED_SPLIT[0] - 1))
+    rows = derive_on_codes(rows, PED_WAIT, code, "Phase", lambda c: c - (PED_WAIT[0] - 1))
     rows = derive_on_codes(rows, PHASE_CODES, param, "Phase")
-    rows = derive_on_codes(rows, (89, 90), param, "PedInput")
-    rows = derive_on_codes(rows, (4, 5, 6), code, "TermType")
-
-    at = F.col("Timestamp")
-    by_signal = [
-        State("Ring", (31,), param), State("CycleStart", (31,), at, when=param == 1),
-        State("CoordPattern", (131,), param), State("CycleLength", (132,), param),
-        State("CycleOffset", (133,), param), State("ActualCycleLength", (316,), param),
-        State("ActualNaturalCycleLength", (317,), param), State("ActualCycleOffset", (318,), param),
-        State("CoordState", (150,), param), State("FlashStatus", (173,), param),
-        State("PowerFailure", POWER_CODES, param, off=POWER_RESTORED),
-    ]
-    by_phase = [
-        State("PhaseStart", (0,), at), State("Interval", tuple(INTERVAL_CODES), code, spread="group"),
-        State("ProgrammedSplit", tuple(PROGRAMMED_SPLIT), param, spread="group"),
-        State("PedWait", tuple(PED_WAIT), param),
-    ]
-    by_phase_up = [State("RecordedSplit", tuple(RECORDED_SPLIT), param, spread="group")]
-    by_detector = [State("DetectorFault", tuple(FAULT_CODES), param, off=FAULT_END)]
-    by_detector_up = [State("DetectorOff", (81,), at, spread=None)]
-    by_input_up = [State("PedInputOff", (89,), at, spread=None)]
-    plan = [
-        ([], by_signal, False), (["Phase"], by_phase, False), (["Phase"], by_phase_up, True),
-        (["Detector"], by_detector, False), (["Detector"], by_detector_up, True), (["PedInput"], by_input_up, True),
-    ]
-    stamped = rows
-    for group, states, _ in plan:
-        stamped = stamp_states(stamped, ["SignalID", *group] if group else [], states)
-    stamped = stage(stamped)
-    wide = stamped
-    for group, states, up in plan:
-        wide = carry_states(
-            wide, group, [s.name for s in states], up=up, source=stamped, days_before=1, bin_seconds=bin_seconds
-        )
-    wide = wide.where((F.to_date("Timestamp") == F.col("Date")) & ~code.isin(*PHASE_CALL_CODES, 81, 89))
-    det_off, ped_off = F.when(code == 82, F.col("DetectorOff")), F.when(code == 90, F.col("PedInputOff"))
+    rows = derive_on_codes(rows, (PED_OFF, PED_ON), param, "PedInput")
+    rows = derive_on_codes(rows, TERMINATIONS, code, "TermType")
+
+    states = wide_states()
+    filled = stage(_fill_bins(rows, states), "filled-bins")
+    wide = filled.join(_carried_states(filled, states, days_before), _PLACE).where("_own_day")
+    for c in states:
+        carried = F.col("_in_signal") if c.group is None else F.try_element_at(f"_in_{c.group}", c.group)
+        wide = wide.withColumns({s.name: F.coalesce(F.col(f"_f_{s.name}"), carried.getField(s.name)).getField("v") for s in (*c.down, *c.up)})
+    wide = wide.where(~code.isin(DETECTOR_OFF, PED_OFF))
+    det_off, ped_off = F.when(code == DETECTOR_ON, F.col("DetectorOff")), F.when(code == PED_ON, F.col("PedInputOff"))
     return wide.select(
         "Timestamp", "SignalID", "EventCode", "EventParam", "Date",
         "Ring", "CycleStart", "CoordPattern", "CoordState", "CycleLength", "ActualCycleLength",

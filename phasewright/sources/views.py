@@ -37,6 +37,11 @@ EVENT_CODES = {
 }
 
 
+# Codes of the controller's log that the kinds above do not give; each event adds one of them.
+MORE_CODES = (10, 83, 84, 87, 131, 133, 134, 135, 136, 137, 138, 139, 140, 141, 182, 183, 184, 300, 301, 302, 303, 304, 305, 306, 307, 316, 317, 318,
+              612, 613, 614, 615, 616, 617, 618, 619)
+
+
 class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
@@ -78,6 +83,25 @@ class Views:
         """Events of a month at 25 signals."""
         return self._coded(25, F.col("ts"))
 
+    def event_log_full(self) -> DataFrame:
+        """The month at 25 signals with all codes that a wide row knows, a second before midnight in places; distinct rows."""
+        k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+        codes = F.array(*[F.lit(c) for c in MORE_CODES])
+        midnight = F.date_trunc("day", F.col("ts").cast("timestamp")) + F.expr("interval 86399 seconds")
+        late = F.when(k >= F.when(F.col("event_type") == "click", 80).otherwise(50), midnight.cast(NTZ)).otherwise(F.col("ts"))
+        more = self.table("events").select(
+            (F.col("user_id") % 25).cast("string").alias("SignalID"), F.col("ts").alias("Timestamp"),
+            F.get(codes, (F.col("event_id") % len(MORE_CODES)).cast("int")).alias("EventCode"), (k % 8 + 1).alias("EventParam"))
+        shifted = self.table("events").where("event_type IN ('click', 'view')").select(
+            (F.col("user_id") % 25).cast("string").alias("SignalID"), late.alias("Timestamp"),
+            F.when(F.col("event_type") == "click", 82).otherwise(81).alias("EventCode"), (k % 8 + 1).alias("EventParam"))
+        return self.event_log().unionByName(more.unionByName(shifted).withColumn("Date", F.to_date("Timestamp"))).distinct()
+
+    def dated_det_config(self) -> DataFrame:
+        """The detector list of each day of the month."""
+        days = F.sequence(F.lit(DAY_ZERO).cast("date"), F.date_add(F.lit(DAY_ZERO).cast("date"), 30))
+        return self.det_config().withColumn("Date", F.explode(days))
+
     def event_log_day(self) -> DataFrame:
         """The month pressed into one day at 5 signals, so events pair up; distinct rows."""
         us = F.unix_micros(F.col("ts").cast("timestamp"))
