@@ -23,7 +23,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from phasewright.llm import vectors
 from phasewright.session import stage
 
-CHUNK = 2048  # rows compared with a codebook at once: bounds the memory of a task
+CHUNK = 256  # parts compared with a codebook at once: bounds the memory of a task
+SPARSE = 2  # pairs are looked up one by one when fewer than one in so many is left
 
 
 def sequency_order(size: int) -> np.ndarray:
@@ -53,24 +54,37 @@ def walsh_hadamard(rows: np.ndarray) -> np.ndarray:
 def nearest(parts: np.ndarray, entries: np.ndarray, step: int = 4) -> tuple[np.ndarray, np.ndarray, int]:
     """Index of the nearest entry of each part, the squared distance, and how many coefficients were compared.
 
-    Both come transformed. Distances are exact; of equal ones the lowest index wins.
+    Both come transformed. Distances are exact; of equal ones the lowest index wins. While most
+    entries are still in, a step works on the whole table of parts and entries; then on the pairs left.
     """
     n, size = parts.shape
     index, scaled, compared = np.zeros(n, np.int64), np.zeros(n, np.int64), 0
+    reach = int(np.abs(parts).max(initial=0)) + int(np.abs(entries).max(initial=0))
+    kind = np.int32 if size * reach**2 < 2**31 else np.int64
+    columns = np.ascontiguousarray(entries.T.astype(kind))
     for start in range(0, n, CHUNK):
-        own = parts[start : start + CHUNK]
-        gathered = np.zeros((len(own), len(entries)), np.int64)
-        for k in range(min(step, size)):
-            gathered += (own[:, k, None] - entries[None, :, k]) ** 2
-        compared += gathered.size * min(step, size)
-        bound = ((own - entries[gathered.argmin(axis=1)]) ** 2).sum(axis=1)
-        row, entry = np.nonzero(gathered <= bound[:, None])
+        own = parts[start : start + CHUNK].astype(kind)
+        here = np.arange(len(own))
+        gathered, part = np.zeros((len(own), len(entries)), kind), np.empty((len(own), len(entries)), kind)
+        bound = np.full(len(own), np.iinfo(kind).max, kind)
+        done, alive = 0, None
+        while done < size and (alive is None or alive.sum() * SPARSE > alive.size):
+            for k in range(done, min(done + step, size)):
+                np.subtract(own[:, k, None], columns[k], out=part)
+                np.multiply(part, part, out=part)
+                gathered += part
+            compared += gathered.size * (min(done + step, size) - done)
+            done += step
+            guess = gathered.argmin(axis=1)
+            bound = np.minimum(bound, gathered[here, guess] + ((own[:, done:] - columns.T[guess, done:]) ** 2).sum(axis=1, dtype=kind))
+            alive = gathered <= bound[:, None]
+        row, entry = np.nonzero(alive)
         total = gathered[row, entry]
-        for k in range(step, size, step):
-            total += ((own[row, k : k + step] - entries[entry, k : k + step]) ** 2).sum(axis=1)
+        for k in range(done, size, step):
+            total += ((own[row, k : k + step] - columns.T[entry, k : k + step]) ** 2).sum(axis=1, dtype=kind)
             compared += len(row) * min(step, size - k)
-            alive = total <= bound[row]
-            row, entry, total = row[alive], entry[alive], total[alive]
+            left = total <= bound[row]
+            row, entry, total = row[left], entry[left], total[left]
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
         least = np.minimum.reduceat(total, first)
         at = np.flatnonzero(total == least[row])
