@@ -13,13 +13,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phasewright.llm.text import let, whole
+from phasewright.llm.text import whole
 from phasewright.session import stage
 
 # What HTML elements and class names mean.
@@ -39,130 +41,276 @@ NAMES = re.compile(
     r"nav(?:bar|igation)?|breadcrumbs?|footers?|masthead|comments?|disqus|replies|respond|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|"
     r"pagination|pager|toolbar|widgets?|skip|login|search)(?:$|[\s_-])", re.IGNORECASE)
 ROLES = ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form")
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_PLAIN = re.compile(r"[^>\"']*+")
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
 _SPACE = re.compile(r"\s+")
+# Words of class names that say where a container is, not what is in it.
+NEUTRAL = frozenset(
+    "area bar bottom box block body button close container content fixed footer group header inner item items left line link links list main message outer page panel "
+    "right row section site slot small text title top unit user wrap wrapper".split())
+
+
+class Tags:
+    """The tags of a page in order. Every character is looked at a bounded number of times, whatever is left open."""
+
+    def __init__(self, html: str):
+        self.html, self.unclosed = html, set()
+
+    def _end(self, at: int) -> tuple[int, int]:
+        """Where the tag that goes on at ``at`` ends, and where the text after it begins.
+
+        A quote that nothing closes, or that only the opening of another tag's value would close, is
+        a character like others, so the tag ends at its first ``>``.
+        """
+        html = self.html
+        while True:
+            at = _PLAIN.match(html, at).end()
+            if at == len(html):
+                return at, at
+            if html[at] == ">":
+                return at, at + 1
+            quote = html[at]
+            close = -1 if quote in self.unclosed else html.find(quote, at + 1)
+            if close < 0:
+                self.unclosed.add(quote)
+            inside = html.find(">", at, close) if close > 0 and html[close - 1] == "=" else -1
+            at = inside if inside > 0 else max(at, close) + 1
+
+    def __iter__(self) -> Iterator[tuple[str, str, str]]:
+        """Kind (``text``, ``open``, ``close``, ``alone``), then text, or name and attributes."""
+        html, at, length = self.html, 0, len(self.html)
+        while at < length:
+            start = html.find("<", at)
+            if start < 0:
+                yield "text", html[at:], ""
+                return
+            if start > at:
+                yield "text", html[at:start], ""
+            at = start
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                at = length if end < 0 else end + 3
+                continue
+            if html.startswith("<![CDATA[", at):
+                end = html.find("]]>", at)
+                yield "text", html[at + 9 : length if end < 0 else end], ""
+                at = length if end < 0 else end + 3
+                continue
+            if html.startswith(("<!", "<?"), at):
+                end = html.find(">", at)
+                at = length if end < 0 else end + 1
+                continue
+            tag = _TAG.match(html, at)
+            if tag is None:
+                yield "text", "<", ""
+                at += 1
+                continue
+            end, at = self._end(tag.end())
+            name, attributes = tag[2].lower(), html[tag.end() : end]
+            if tag[1]:
+                yield "close", name, ""
+            elif name in VOID or attributes.endswith("/") and name not in BLOCK:
+                yield "alone", name, attributes
+            else:
+                yield "open", name, attributes
+                if name in RAW:
+                    close = re.compile(rf"</{re.escape(name)}\s*+>", re.IGNORECASE).search(html, at)
+                    at = close.end() if close else length
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 class Element:
-    __slots__ = ("tag", "furniture", "article", "start", "parts", "hash", "inside")
+    __slots__ = ("tag", "furniture", "article", "counted", "parts")
 
-    def __init__(self, tag: str, furniture: bool, article: bool, inside: bool):
-        self.tag, self.furniture, self.article, self.inside = tag, furniture, article, inside
-        self.parts, self.hash = [tag], 0
+    def __init__(self, tag: str, furniture: bool, article: bool, counted: int):
+        self.tag, self.furniture, self.article, self.counted, self.parts = tag, furniture, article, counted, [tag]
 
-    def close(self) -> None:
-        self.hash = xxhash.xxh3_64_intdigest("\x00".join(self.parts)) - (1 << 63)
+
+def _named(names: str) -> bool:
+    """Whether a class list names furniture and nothing else: ``ad-box``, ``site-footer``, but not ``social-sciences``."""
+    for name in names.lower().split():
+        parts = [p for p in re.split(r"[_-]+", name) if p]
+        if any(NAMES.search(p) for p in parts) and all(p in NEUTRAL or NAMES.search(p) for p in parts):
+            return True
+    return False
 
 
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
     if attributes and tag not in ("html", "body", "article", "main"):
-        for name, a, b, c, hidden in _ATTRIBUTE.findall(attributes):
-            value = a or b or c
-            name = name.lower()
-            if hidden or (name in ("class", "id") and NAMES.search(value)) or (name == "role" and value.lower() in ROLES) or (name == "aria-hidden" and value == "true"):
+        for name, a, b, c in _ATTRIBUTE.findall(attributes):
+            value, name = a or b or c, name.lower()
+            if name == "hidden" or (name == "role" and value.lower() in ROLES) or (name == "aria-hidden" and value == "true"):
+                return True
+            if name in ("class", "id") and not (in_article and tag in PROSE) and (_named(value) if in_article else NAMES.search(value)):
                 return True
     return False
 
 
-def parse(html: str | None) -> list[tuple[str, bool, list[int]]]:
-    """Text blocks in page order: text, whether inside the marked article, hashes of the subtrees whose recurrence removes it."""
-    html = html or ""
-    stack: list[Element] = [Element("", False, False, False)]
-    blocks: list[tuple[list[str], list[Element]]] = []
-    pending: list[str] = []
-
-    def flush() -> None:
-        text = _SPACE.sub(" ", unescape("".join(pending))).strip()
-        pending.clear()
-        if text and not any(e.furniture for e in stack):
-            blocks.append((text, list(stack)))
-
-    def pop() -> None:
-        if stack[-1].tag in BLOCK:
-            flush()
-        done = stack.pop()
-        done.close()
-        stack[-1].parts.append(str(done.hash))
-
-    def text_of(raw: str) -> None:
-        pending.append(raw)
-        stack[-1].parts.append(_SPACE.sub(" ", raw))
-
-    at = 0
-    while at < len(html):
-        token = _TOKEN.search(html, at)
-        if token is None:
-            text_of(html[at:])
-            break
-        if token.start() > at:
-            text_of(html[at : token.start()])
-        at = token.end()
-        tag = (token[2] or "").lower()
-        if not tag:
-            if token[0].startswith("<![CDATA["):
-                text_of(token[0][9:].removesuffix("]]>"))
-            continue
-        if token[1]:
-            if any(e.tag == tag for e in stack[1:]):
-                while stack[-1].tag != tag:
-                    pop()
-                pop()
-            elif tag == "p":
-                flush()
-            continue
+class Page(NamedTuple):
+    """Blocks (text, whether inside the marked article, index of the innermost counted subtree or -1) and subtrees (hash, index of the one around it or -1)."""
+
+    blocks: list[tuple[str, bool, int]]
+    hashes: list[int]
+    parents: list[int]
+
+
+class _Reader:
+    """What is open at a place of a page. Depths and last positions are kept, so no step walks through the open elements."""
+
+    def __init__(self):
+        self.stack = [Element("", False, False, -1)]
+        self.places: dict[str, list[int]] = {}
+        self.furniture = self.articles = 0
+        self.pending: list[str] = []
+        self.blocks: list[tuple[str, bool, int]] = []
+        self.hashes: list[int] = []
+        self.parents: list[int] = []
+
+    def flush(self) -> None:
+        text = _SPACE.sub(" ", unescape("".join(self.pending))).strip()
+        self.pending.clear()
+        if text and not self.furniture:
+            self.blocks.append((text, self.articles > 0, self.stack[-1].counted))
+
+    def push(self, tag: str, furniture: bool, article: bool) -> None:
+        counted = self.stack[-1].counted
+        # in an article blocks are counted, not the words in them that have elements of their own
+        if tag not in ("html", "body") and (not self.articles or tag in BLOCK):
+            self.hashes.append(0)
+            self.parents.append(counted)
+            counted = len(self.hashes) - 1
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(Element(tag, furniture, article, counted))
+        self.furniture += furniture
+        self.articles += article
+
+    def pop(self) -> None:
+        if self.stack[-1].tag in BLOCK:
+            self.flush()
+        done = self.stack.pop()
+        self.places[done.tag].pop()
+        self.furniture -= done.furniture
+        self.articles -= done.article
+        hashed = _hash("\x00".join(done.parts))
+        self.stack[-1].parts.append(str(hashed))
+        if done.counted != self.stack[-1].counted:
+            self.hashes[done.counted] = hashed
+
+    def last(self, tag: str) -> int:
+        """Where the last open element of this name is; 0 if there is none."""
+        return (self.places.get(tag) or [0])[-1]
+
+    def pop_to(self, place: int) -> None:
+        while len(self.stack) > place:
+            self.pop()
+
+    def text(self, raw: str) -> None:
+        self.pending.append(raw)
+        self.stack[-1].parts.append(_SPACE.sub(" ", raw))
+
+    def open(self, tag: str, attributes: str) -> None:
         if tag in CLOSES_P:
-            if any(e.tag == "p" for e in stack[1:]):
-                while stack[-1].tag != "p":
-                    pop()
-                pop()
-            flush()
+            if self.last("p"):
+                self.pop_to(self.last("p"))
+            self.flush()
         for sibling in SIBLINGS.get(tag, ()):
-            for e in reversed(stack[1:]):
-                if e.tag in SCOPE[tag]:
-                    break
-                if e.tag == sibling:
-                    while stack[-1] is not e:
-                        pop()
-                    pop()
-                    break
+            if self.last(sibling) > max(self.last(around) for around in SCOPE[tag]):
+                self.pop_to(self.last(sibling))
         if tag in BLOCK:
-            flush()
-        if tag in VOID or token[3].endswith("/") and tag not in BLOCK:
-            pending.append(" ")
-            stack[-1].parts.append(tag)
-            continue
-        inside = any(e.article for e in stack)
-        main = tag in ("article", "main") and not any(e.furniture for e in stack)
-        element = Element(tag, _is_furniture(tag, token[3], inside) or (tag == "article" and inside and any(e.tag == "article" for e in stack)), main and not inside, inside)
-        stack.append(element)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
-            at = end.end() if end else len(html)
-            stack.pop()
-    flush()
-    while len(stack) > 1:
-        pop()
-    out = []
-    for text, around in blocks:
-        article = next((i for i, e in enumerate(around) if e.article), None)
-        # in an article blocks are counted, not the words in them that have elements of their own
-        counted = [e for i, e in enumerate(around) if e.tag not in ("", "html", "body") and (article is None or i < article or e.tag in BLOCK)]
-        out.append((text, article is not None, [e.hash for e in counted]))
-    return out
+            self.flush()
+
+    def element(self, tag: str, attributes: str) -> None:
+        inside = self.articles > 0
+        main = tag in ("article", "main") and not self.furniture
+        comment = tag == "article" and inside and self.last("article") > 0
+        self.push(tag, _is_furniture(tag, attributes, inside) or comment, main and not inside)
+
+
+def parse(html: str | None) -> Page:
+    """Text blocks in page order and the subtrees around them."""
+    page = _Reader()
+    for kind, what, attributes in Tags(html or ""):
+        if kind == "text":
+            page.text(what)
+        elif kind == "close":
+            if page.last(what):
+                page.pop_to(page.last(what))
+            elif what == "p":
+                page.flush()
+        else:
+            page.open(what, attributes)
+            if kind == "alone":
+                page.pending.append(" ")
+                page.stack[-1].parts.append(what)
+            elif what not in RAW:
+                page.element(what, attributes)
+    page.flush()
+    page.pop_to(1)
+    # only subtrees that hold a block are counted
+    place: dict[int, int] = {}
+    for _, _, at in page.blocks:
+        while at >= 0 and at not in place:
+            place[at] = -1
+            at = page.parents[at]
+    for new, old in enumerate(sorted(place)):
+        place[old] = new
+    place[-1] = -1
+    held = sorted(place)[1:]
+    return Page([(text, inside, place[at]) for text, inside, at in page.blocks], [page.hashes[i] for i in held], [place[page.parents[i]] for i in held])
+
+
+def kept_text(page: Page, templates: set[int]) -> str:
+    """The page's text without what lies in a subtree of ``templates``.
+
+    If less than half of an article would be left, it is a copy of others and stays whole; text
+    beside an article stays if it is more than what is kept of the article.
+    """
+    gone: list[bool] = []
+    for hashed, parent in zip(page.hashes, page.parents, strict=True):
+        gone.append(hashed in templates or (parent >= 0 and gone[parent]))
+    lost = [at >= 0 and gone[at] for _, _, at in page.blocks]
+    length = lambda inside, all_of_it=False: sum(len(t) for (t, own, _), g in zip(page.blocks, lost, strict=True) if own == inside and (all_of_it or not g))
+    article, left, beside = length(True, True), length(True), length(False)
+    copy = left * 2 < article
+    only = article > 0 and (article if copy else left) >= beside
+    return "\n".join(t for (t, own, _), g in zip(page.blocks, lost, strict=True) if ((copy or not g) if own else not (only or g)))
+
+
+def _pack(page: Page) -> bytes:
+    """A page's blocks compressed, so that texts cross disks and networks once at a fraction of their size."""
+    content = "\x00".join([",".join(map(str, page.hashes)), ",".join(map(str, page.parents)), ",".join(f"{int(own)}:{at}" for _, own, at in page.blocks)])
+    texts = "\n".join(text for text, _, _ in page.blocks)  # a block's own white space is single spaces
+    return zstandard.ZstdCompressor(level=6).compress(f"{content}\x00{texts}".encode("utf-8", "surrogatepass"))
+
+
+def _unpack(packed: bytes) -> Page:
+    hashes, parents, marks, texts = zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass").split("\x00", 3)
+    numbers = lambda s: [int(x) for x in s.split(",")] if s else []
+    places = [mark.split(":") for mark in marks.split(",")] if marks else []
+    blocks = [(text, own == "1", int(at)) for text, (own, at) in zip(texts.split("\n"), places)]
+    return Page(blocks, numbers(hashes), numbers(parents))
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for row, html in zip(batch["_row"], batch["html"], strict=True):
-            blocks = parse(html)
-            content = "\n".join([text for text, inside, _ in blocks if inside] or [text for text, *_ in blocks])
-            vote = xxhash.xxh3_64_intdigest(content.encode("utf-8", "surrogatepass")) - (1 << 63)
-            rows.append((row, vote, [{"text": text, "inside": inside, "around": around} for text, inside, around in blocks]))
-        yield pd.DataFrame(rows, columns=["_row", "vote", "blocks"])
+        for row, host, html in zip(batch["_row"], batch["_host"], batch["html"], strict=True):
+            page = parse(html)
+            content = "\n".join([text for text, inside, _ in page.blocks if inside] or [text for text, *_ in page.blocks])
+            rows.append((row, host, _hash(content), sorted(set(page.hashes)), _pack(page)))
+        yield pd.DataFrame(rows, columns=["_row", "_host", "vote", "hashes", "packed"])
+
+
+def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        texts = [kept_text(_unpack(packed), set(() if lost is None else lost)) for packed, lost in zip(batch["packed"], batch["_template"], strict=True)]
+        yield pd.DataFrame({"_row": batch["_row"], "text": texts})
 
 
 def main_text(
@@ -178,28 +326,20 @@ def main_text(
     that ends early or never closes counts as closed at the end.
     """
     host = F.lower(F.regexp_extract(whole(F.col(url_col)), "//([^/?#]*)", 1))
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("_host"), whole(F.col(html_col)).alias("html"))
-    # the id, url and host travel with the page as one JSON string; nulls stay nulls
-    rows = rows.select(F.to_json(F.struct("page_id", "url", "_host")).alias("_row"), "html")
-    parsed = rows.mapInPandas(_parsed, "_row string, vote long, blocks array<struct<text: string, inside: boolean, around: array<bigint>>>")
     kind = pages.schema[id_col].dataType.simpleString()
-    parsed = parsed.withColumn("_own", F.from_json("_row", f"page_id {kind}, url string, _host string")).select("_own.*", "vote", "blocks", F.monotonically_increasing_id().alias("_page"))
-    parsed = stage(parsed, "blocks")
-    inside = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["around"])))
-    seen = parsed.select("_page", "_host", "vote", F.explode(inside).alias("hash"))
+    # the id and url travel with the page as one JSON string; nulls stay nulls
+    own = F.to_json(F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
+    rows = pages.select(own.alias("_row"), host.alias("_host"), whole(F.col(html_col)).alias("html"))
+    parsed = rows.mapInPandas(_parsed, "_row string, _host string, vote long, hashes array<bigint>, packed binary")
+    parsed = stage(parsed.withColumn("_page", F.monotonically_increasing_id()), "blocks")
+    seen = parsed.select("_page", "_host", "vote", F.explode("hashes").alias("hash"))
     sizes = parsed.groupBy("_host").agg(F.count_distinct("vote").alias("_pages"))
     template = (
         seen.groupBy("_host", "hash").agg(F.count_distinct("vote").alias("n")).where(F.col("n") >= min_pages)
         .join(sizes, "_host").where(F.col("n") >= F.col("_pages") * min_share).select("_host", "hash"))
     lost = seen.join(template, ["_host", "hash"], "left_semi").groupBy("_page").agg(F.collect_list("hash").alias("_template"))
-    out = parsed.join(lost, "_page", "left")
-    marked = let(F.coalesce("_template", F.array().cast("array<bigint>")), lambda gone: F.transform("blocks", lambda b: F.struct(
-        b["text"].alias("text"), b["inside"].alias("inside"), F.arrays_overlap(b["around"], gone).alias("gone"))))
-    length = lambda wanted: F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + F.when(wanted(b), F.length(b["text"])).otherwise(0))
-    out = out.select("page_id", "url", marked.alias("blocks"))
-    out = out.withColumns({"_article": length(lambda b: b["inside"]), "_left": length(lambda b: b["inside"] & ~b["gone"]), "_beside": length(lambda b: ~b["inside"] & ~b["gone"])})
-    copy = F.col("_left") * 2 < F.col("_article")
-    only = (F.col("_article") > 0) & (F.when(copy, F.col("_article")).otherwise(F.col("_left")) >= F.col("_beside"))
-    kept = F.filter("blocks", lambda b: F.when(b["inside"], copy | ~b["gone"]).otherwise(~only & ~b["gone"]))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    # stored, so that its size is known when the texts' join is planned: while it is small, no text moves
+    lost = stage(lost, "lost-subtrees")
+    out = parsed.select("_page", "_row", "packed").join(lost, "_page", "left").select("_row", "packed", "_template")
+    out = out.mapInPandas(_decided, "_row string, text string").withColumn("_own", F.from_json("_row", f"page_id {kind}, url string"))
+    return out.select("_own.page_id", "_own.url", "text").withColumn("n_chars", F.length("text").cast("long"))
