@@ -9,12 +9,15 @@ from checks.q_rollups import MO_COR, VPH, _hours, monthly_avg, monthly_corridors
 from checks.registry import query
 from checks.views_sql import delta, dow, plus, rollup
 from phasewright.functions.calendar import month_of
+from phasewright.functions.stats import with_delta
 from phasewright.operators import counts as C
 from phasewright.operators import rollups as A
 from phasewright.operators import serving as Q
-from phasewright.schemas import Metric
+from phasewright.plans.packages import Bundle
+from phasewright.schemas import Metric, Target
 from phasewright.session import new_path, stage
 from phasewright.sources import tables as S
+from phasewright.sources.publishing import publication, publish_bundle, write_aggregations
 
 METRIC = Metric("Value", "value", "m", weight="weight", hourly_table="mh")
 WK_COR = rollup("(" + weekly_avg("daily_measure") + ")", "Date", "value", "weight")
@@ -415,7 +418,7 @@ def _(v):
 @query("s12_split_by_period_date", "SignalID, Hour, Date, vph:bigint", f"SELECT SignalID, Hour, cast(Hour as date) AS Date, vph FROM {VPH}")
 def _(v):
     path = _path(v, "vph")
-    S.write_days(S.with_day(vph(v)), path)
+    S.write_days(S.with_day(vph(v), "Hour"), path)
     return S.read_table(v.spark, path)
 
 
@@ -473,11 +476,36 @@ def _(v):
 def _(v):
     prefix = _database(v) + "."
     mo = monthly_corridors(v)
-    S.publish_bundle(v.spark, {"cor_mo_m": mo}, prefix=prefix)
-    S.publish_bundle(v.spark, {"cor_mo_m": mo.withColumn("value", F.col("value") * 2)}, prefix=prefix, start="1999-01-01")
+    target = {"cor_mo_m": Target("Month", variable="value")}
+    publish_bundle(v.spark, Bundle({"cor_mo_m": lambda: mo}, target), prefix=prefix)
+    publish_bundle(v.spark, Bundle({"cor_mo_m": lambda: mo.withColumn("value", F.col("value") * 2)}, target), prefix=prefix, start="1999-01-01")
     return v.spark.table(f"{prefix}cor_mo_m")
 
 
+@query(
+    "s26_merge_then_publish", "Zone_Group, Corridor, Month, ~value, ~delta, version:int",
+    f"""SELECT Zone_Group, Corridor, Month, value, {delta('value', 'Zone_Group, Corridor', 'Month')} AS delta,
+    CASE WHEN Month >= date '2000-03-01' AND Month <= date '2000-09-01' THEN 2 ELSE 1 END AS version
+    FROM (SELECT Zone_Group, Corridor, Month, CASE WHEN Month BETWEEN date '2000-03-01' AND date '2000-08-01' THEN value * 2 ELSE value END AS value
+    FROM ({MO_COR})) WHERE Month >= date '1996-01-01' AND Month < date '2001-01-01'""",
+)
+def _(v):
+    # Two rounds over the stored aggregate: the second recomputes from 2000 on, and only some months come out different.
+    prefix = _database(v) + "."
+    stored = stage(monthly_corridors(v).select("Zone_Group", "Corridor", "Month", "value", "delta"))
+    target = {"cor_mo_m": Target("Month", variable="value")}
+    window = {"report_start": "1996-01-01", "report_end": "2000-12-01", "prefix": prefix}
+    first = stored.where("Month >= date'1996-01-01'")
+    first = with_delta(first.drop("delta"), "value", ["Zone_Group", "Corridor"], "Month")
+    write_aggregations(v.spark, Bundle({"cor_mo_m": lambda: first}, target), calc_start="1996-01-01", **window)
+    other = F.when(F.col("Month").between("2000-03-01", "2000-08-01"), F.col("value") * 2).otherwise(F.col("value"))
+    again = stored.where("Month >= date'2000-01-01'").withColumn("value", other)
+    write_aggregations(v.spark, Bundle({"cor_mo_m": lambda: again}, target), calc_start="2000-01-01", **window)
+    versions = publication(v.spark, f"{prefix}cor_mo_m").parts
+    of = F.create_map(*[F.lit(x) for pair in versions.items() for x in pair])
+    return v.spark.table(f"{prefix}cor_mo_m").withColumn("version", of[F.date_format("Month", "yyyy-MM")])
+
+
 @query(
     "s24_load_once", MO_COLS, f"SELECT * FROM ({MO_COR}) WHERE Month BETWEEN date '1996-01-01' AND date '1998-12-01'",
 )

@@ -28,16 +28,16 @@ def count_tables(events: DataFrame, config: DataFrame, ped_config: DataFrame) ->
     paph = A.volume_per_period(ped_hour, phases=None).withColumnRenamed("vph", "paph")
     return {
         "comm_uptime": M.comm_uptime(events),
-        "counts_1hr": S.with_day(hour),
+        "counts_1hr": S.with_day(hour, "Timeperiod"),
         "filtered_counts_1hr": filtered,
         "bad_detectors": M.bad_detectors(filtered),
         "detector_uptime_pd": A.daily_detector_uptime(filtered),
-        "counts_ped_1hr": S.with_day(ped_hour),
+        "counts_ped_1hr": S.with_day(ped_hour, "Timeperiod"),
         "ped_actuations_pd": papd,
-        "ped_actuations_ph": S.with_day(paph),
-        "counts_15min": S.with_day(quarter),
+        "ped_actuations_ph": S.with_day(paph, "Hour"),
+        "counts_15min": S.with_day(quarter, "Timeperiod"),
         "filtered_counts_15min": C.filter_counts(quarter, config, C.QUARTER_HOURLY),
-        "counts_ped_15min": S.with_day(ped_quarter),
+        "counts_ped_15min": S.with_day(ped_quarter, "Timeperiod"),
     }
 
 
@@ -54,14 +54,14 @@ def month_tables(
         "bad_detectors": M.bad_detectors(filtered_1hr),
         "detector_uptime_pd": A.daily_detector_uptime(filtered_1hr),
         "vehicles_pd": M.volume_per_day(adjusted),
-        "vehicles_ph": S.with_day(A.volume_per_period(adjusted)),
+        "vehicles_ph": S.with_day(A.volume_per_period(adjusted), "Hour"),
         "adjusted_counts_15min": adjusted_15,
         "throughput": M.throughput(adjusted_15),
-        "vehicles_15min": S.with_day(A.volume_per_period(adjusted_15, minutes=15)),
+        "vehicles_15min": S.with_day(A.volume_per_period(adjusted_15, minutes=15), "Timeperiod"),
         "ped_actuations_pd": M.volume_per_day(ped_1hr, phases=None).withColumnRenamed("vpd", "papd"),
-        "ped_actuations_ph": S.with_day(A.volume_per_period(ped_1hr, phases=None).withColumnRenamed("vph", "paph")),
+        "ped_actuations_ph": S.with_day(A.volume_per_period(ped_1hr, phases=None).withColumnRenamed("vph", "paph"), "Hour"),
         "ped_actuations_15min": S.with_day(
-            A.volume_per_period(ped_15min, minutes=15, phases=None).withColumnRenamed("vph", "pa15")
+            A.volume_per_period(ped_15min, minutes=15, phases=None).withColumnRenamed("vph", "pa15"), "Timeperiod"
         ),
     }
 
@@ -87,8 +87,8 @@ def event_measures(
         "queue_spillback": M.queue_spillback(detections, spill),
         "qs_15min": M.queue_spillback(detections, spill, minutes=15),
         "ped_delay": M.ped_delay(events),
-        "approach_delay_1hr": S.with_day(delay),
-        "approach_delay_15min": S.with_day(M.approach_delay(detections, cycles, events, minutes=15)),
+        "approach_delay_1hr": S.with_day(delay, "Hour"),
+        "approach_delay_15min": S.with_day(M.approach_delay(detections, cycles, events, minutes=15), "Hour"),
         "phase_termination": M.terminations(cycles),
         "time_in_transition": M.time_in_transition(events),
     }

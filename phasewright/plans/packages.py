@@ -19,17 +19,20 @@ from phasewright.operators import pedestrian as PB
 from phasewright.operators import rollups as A
 from phasewright.operators import travel as V
 from phasewright.operators.detectors import subcorridor_view
-from phasewright.schemas import METRICS
+from phasewright.schemas import METRICS, Metric, Target
 from phasewright.session import stage
 
 Plan = Callable[[], DataFrame]
 
 
 class Bundle(Mapping):
-    """Tables by name, each planned on first use."""
+    """Tables by name, each planned on first use, and how each is published."""
 
-    def __init__(self, plans: Mapping[str, Plan]):
+    def __init__(self, plans: Mapping[str, Plan], targets: Mapping[str, Target]):
+        if missing := plans.keys() - targets.keys():
+            raise ValueError(f"tables without a target: {sorted(missing)}")
         self.plans = {name: cache(plan) for name, plan in plans.items()}
+        self.targets = {name: targets[name] for name in plans}
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.plans[name]()
@@ -40,8 +43,8 @@ class Bundle(Mapping):
     def __len__(self) -> int:
         return len(self.plans)
 
-    def __or__(self, other: Mapping[str, Plan]) -> Bundle:
-        return Bundle({**self.plans, **(other.plans if isinstance(other, Bundle) else other)})
+    def __or__(self, other: Bundle) -> Bundle:
+        return Bundle({**self.plans, **other.plans}, {**self.targets, **other.targets})
 
 
 def _roll(frame: Plan, hierarchy: DataFrame, var: str, wt: str | None, period: str) -> DataFrame:
@@ -54,13 +57,15 @@ def _roll(frame: Plan, hierarchy: DataFrame, var: str, wt: str | None, period: s
 def _levels(frames: dict[str, tuple[Plan, str]], corridors: DataFrame, var: str, wt: str | None, table: str) -> Bundle:
     """Signal, corridor and subcorridor tables for each period's signal frame."""
     plans: dict[str, Plan] = {}
+    targets: dict[str, Target] = {}
     for per, (plan, period) in frames.items():
         frame = cache(plan)
         cor = cache(partial(_roll, frame, corridors, var, wt, period))
         plans[f"cor_{per}_{table}"] = cor
         plans[f"sub_{per}_{table}"] = partial(_roll, frame, subcorridor_view(corridors), var, wt, period)
         plans[f"sig_{per}_{table}"] = lambda f=frame, c=cor: A.signal_rows(f(), c(), corridors)
-    return Bundle(plans)
+        targets |= {f"{level}_{per}_{table}": Target(period, per == "wk", var) for level in ("cor", "sub", "sig")}
+    return Bundle(plans, targets)
 
 
 def _day_week_month(
@@ -95,6 +100,13 @@ def _by_hour(df: DataFrame, corridors: DataFrame, var: str, wt: str, table: str)
     return _levels({"mo": (lambda: A.monthly_by_hour(A.avg_by_hour(df, var, wt), var, wt), "Hour")}, corridors, var, wt, table)
 
 
+def _described(metric: Metric, daily: DataFrame, corridors: DataFrame) -> Bundle:
+    """The tables of a measure's descriptor by day, week, month and quarter."""
+    targets = {"dy": Target("Date", False, metric.variable), "wk": Target("Date", True, metric.variable), "mo": Target("Month", False, metric.variable), "qu": Target(None)}
+    named = {f"{level}_{per}_{metric.table}": target for level in ("sig", "sub", "cor") for per, target in targets.items()}
+    return Bundle(A.aggregate_plans(metric, daily, corridors, subcorridor_view(corridors)), named)
+
+
 def detector_uptime(ddu: DataFrame, corridors: DataFrame) -> Bundle:
     """P01; the daily averages feed six tables and are staged."""
     avg = cache(lambda: stage(A.avg_daily_detector_uptime(ddu)))
@@ -105,7 +117,7 @@ def detector_uptime(ddu: DataFrame, corridors: DataFrame) -> Bundle:
         plans[f"{level}_mo_du"] = lambda h=h: A.corridor_monthly_detector_uptime(avg(), h)
     plans["sig_dy_du"] = lambda: A.signal_rows(avg(), plans["cor_dy_du"](), corridors)
     plans["sig_mo_du"] = lambda: A.signal_rows(A.monthly_avg(ddu, "uptime", "all"), plans["cor_mo_du"](), corridors)
-    return weekly | plans
+    return weekly | Bundle(plans, {name: Target("Date" if "_dy_" in name else "Month", False, "uptime") for name in plans})
 
 
 def ped_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_start, report_start, report_end, config=None) -> Bundle:
@@ -117,10 +129,11 @@ def ped_uptime(papd: DataFrame, paph: DataFrame, corridors: DataFrame, calc_star
         "wk": (partial(A.weekly_avg, by_input, "uptime", peak_only=False), "Date"),
         "mo": (partial(A.monthly_avg, by_input, "uptime", "all"), "Month"),
     }
-    return _levels(frames, corridors, "uptime", None, "pau") | {
+    more = {
         "bad_ped_detectors": lambda: M.bad_ped_inputs(pau),
         "papd_repaired": lambda: M.ped_count_repair(pau, M.bad_ped_inputs(pau)),
     }
+    return _levels(frames, corridors, "uptime", None, "pau") | Bundle(more, {name: Target("Date") for name in more})
 
 
 def ped_activations(papd: DataFrame, paph: DataFrame, corridors: DataFrame) -> Bundle:
@@ -163,11 +176,13 @@ def volumes(vpd: DataFrame, vph: DataFrame, corridors: DataFrame) -> Bundle:
         return A.signal_rows(peaks, cor(per, period, part), corridors)
 
     plans: dict[str, Plan] = {}
+    targets: dict[str, Target] = {}
     for per, frame, period in (("wk", weekly, "Date"), ("mo", monthly, "Month")):
         for part, table in (("am", "vphpa"), ("pm", "vphpp")):
             plans[f"cor_{per}_{table}"] = partial(cor, per, period, part)
             plans[f"sig_{per}_{table}"] = partial(sig, per, frame, period, part)
-    return _day_week_month_sums(vpd, corridors, "vpd", "vpd") | hours | plans
+            targets |= {f"{level}_{per}_{table}": Target(period, per == "wk", "vph") for level in ("cor", "sig")}
+    return _day_week_month_sums(vpd, corridors, "vpd", "vpd") | hours | Bundle(plans, targets)
 
 
 def throughput(daily: DataFrame, corridors: DataFrame) -> Bundle:
@@ -207,23 +222,23 @@ def detection_levels(levels: DataFrame, corridors: DataFrame) -> Bundle:
 def terminations(daily: DataFrame, corridors: DataFrame) -> Bundle:
     """Gap-outs, max-outs and force-offs."""
     df = daily.withColumn("Week", week("Date"))
-    out = Bundle({})
+    out = Bundle({}, {})
     for table in ("go", "mo", "fo"):
-        out |= A.aggregate_plans(METRICS[table], df, corridors, subcorridor_view(corridors))
+        out |= _described(METRICS[table], df, corridors)
     return out
 
 
 def time_in_transition(daily: DataFrame, corridors: DataFrame) -> Bundle:
     """P14."""
     df = daily.withColumn("CallPhase", F.lit(0)).withColumn("Week", week("Date"))
-    return Bundle(A.aggregate_plans(METRICS["tint"], df, corridors, subcorridor_view(corridors)))
+    return _described(METRICS["tint"], df, corridors)
 
 
 def approach_delay(hourly: DataFrame, corridors: DataFrame) -> Bundle:
     """P15; ``hourly`` is the hourly delay table."""
     daily = A.daily_avg(hourly.withColumn("Date", F.to_date("Hour")), "delay", "vol")
     df = daily.withColumn("CallPhase", F.lit(0)).withColumn("Week", week("Date"))
-    return Bundle(A.aggregate_plans(METRICS["ad"], df, corridors, subcorridor_view(corridors)))
+    return _described(METRICS["ad"], df, corridors)
 
 
 def complete_span(df: DataFrame, period: str, minutes: int, start, end, fill: dict[str, float] | None = None, by: tuple[str, ...] = ("SignalID",)) -> DataFrame:
@@ -253,7 +268,7 @@ def period_package(df: DataFrame, corridors: DataFrame, var: str, wt: str | None
     plans[f"sig_{table}"] = lambda: A.signal_rows(signal(), plans[f"cor_{table}"](), corridors).select(
         "Zone_Group", "Corridor", period, var, "delta"
     )
-    return Bundle(plans)
+    return Bundle(plans, {name: Target(period, False, var) for name in plans})
 
 
 def hourly_package(
@@ -299,7 +314,7 @@ def with_quarters(bundle: Bundle, table: str, var: str, wt: str | None = None, o
         f"{level}_qu_{table}": lambda level=level: A.quarterly(bundle[f"{level}_mo_{table}"], var, wt, operation)
         for level in ("sig", "sub", "cor") if f"{level}_mo_{table}" in bundle
     }
-    return bundle | quarters
+    return bundle | Bundle(quarters, {name: Target(None) for name in quarters})
 
 
 def travel_times(readings: DataFrame, cor_vph: DataFrame, corridors: DataFrame, grouping: list[str], period: str = "monthly") -> Bundle:
@@ -307,10 +322,12 @@ def travel_times(readings: DataFrame, cor_vph: DataFrame, corridors: DataFrame,
     ti = V.travel_time_package(readings, grouping, period)
     per, by = ("mo", V.index_by_month) if period == "monthly" else ("wk", V.index_by_week)
     plans: dict[str, Plan] = {}
+    targets: dict[str, Target] = {}
     for var in ("tti", "pti", "tt", "spd"):
         plans[f"cor_{per}_{var}h"] = partial(V.index_by_hour, ti, var, cor_vph, corridors)
         plans[f"cor_{per}_{var}"] = partial(by, ti, var, cor_vph, corridors)
-    return Bundle(plans)
+        targets |= {f"cor_{per}_{var}h": Target("Hour", per == "wk", var), f"cor_{per}_{var}": Target("Month" if per == "mo" else "Date", per == "wk", var)}
+    return Bundle(plans, targets)
 
 
 def thin_bindings() -> dict[str, dict]:

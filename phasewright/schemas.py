@@ -35,6 +35,15 @@ DETECTIONS = _struct(
 )
 
 
+@dataclass(frozen=True)
+class Target:
+    """How a table is published: the column of its periods (None: replaced whole), whether its windows begin on Tuesdays, its measure."""
+
+    period: str | None
+    weekly: bool = False
+    variable: str | None = None
+
+
 @dataclass(frozen=True)
 class Metric:
     """What the rollups and readers need to know about a measure."""

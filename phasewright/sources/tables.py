@@ -136,9 +136,8 @@ def write_days(df: DataFrame, base: str, *, day: str = "Date", per_day_files: in
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(base)
 
 
-def with_day(df: DataFrame) -> DataFrame:
-    """Date taken from the row's own period."""
-    period = next(c for c in ("Timeperiod", "Hour", "Date_Hour") if c in df.columns)
+def with_day(df: DataFrame, period: str) -> DataFrame:
+    """Date taken from the row's own period, the column ``period``."""
     return df.withColumn("Date", F.to_date(period))
 
 
@@ -208,36 +207,6 @@ def table_name(path: str) -> str:
     return path.removesuffix(".parquet").strip("/").replace("/", "_")
 
 
-def publish(spark: SparkSession, df: DataFrame, table: str, period: str | None, **window) -> None:
-    """Publish through the window rule.
-
-    The result is written beside the table first, so the table is never read and
-    overwritten in one job and a lost executor only repeats a task.
-    """
-    if period is None or not spark.catalog.tableExists(table):
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-        return
-    stage = f"{table}__next"
-    merged = publish_window(spark.table(table), df, period, weekly="_wk_" in table, **window)
-    merged.write.mode("overwrite").format("parquet").saveAsTable(stage)
-    spark.table(stage).write.mode("overwrite").format("parquet").saveAsTable(table)
-    spark.sql(f"DROP TABLE {stage}")
-
-
-PERIODS = ("Quarter", "Timeperiod", "Hour", "Month", "Date")
-
-
-def publish_bundle(spark: SparkSession, bundle: dict[str, DataFrame], *, prefix: str = "", **window) -> None:
-    """Publish every table of a bundle (S25, S26); a table's period is the first of ``PERIODS`` among its columns.
-
-    Tables by quarter and tables without a period are replaced whole. The loop is over table
-    names; each write is its own distributed job.
-    """
-    for name, df in bundle.items():
-        period = next((p for p in PERIODS if p in df.columns), None)
-        publish(spark, df, prefix + name, None if period == "Quarter" else period, **window)
-
-
 def key_value(key: str, df: DataFrame) -> DataFrame:
     """A configuration table as one row with a JSON array."""
     row = F.struct(*[F.col(c) for c in df.columns])

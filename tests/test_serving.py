@@ -11,8 +11,9 @@ from phasewright.operators import alerts as W
 from phasewright.operators import detectors as K
 from phasewright.operators import serving as Q
 from phasewright.plans import daily as P
-from phasewright.schemas import CORRIDORS_RAW, METRICS, PED_CONFIG, Metric
+from phasewright.schemas import CORRIDORS_RAW, METRICS, PED_CONFIG, Metric, Target
 from phasewright.sources import tables as S
+from phasewright.sources.publishing import publish
 from tests.conftest import DAY, at, rows
 
 MONTHS = "Zone_Group string, Corridor string, Month date, v double, delta double"
@@ -135,8 +136,9 @@ def test_time_slices_cover_the_days_without_overlap():
 
 def test_publish_replaces_the_window(spark):
     name = "cor_mo_publish"
-    S.publish(spark, _months(spark, (1, 1.0), (2, 2.0), (3, 3.0)), name, "Month")
-    S.publish(spark, _months(spark, (2, 9.0), (3, 30.0), (4, 40.0), (6, 60.0)), name, "Month", start="2024-03-01", report_start="2024-02-01", report_end="2024-04-01")
+    target = Target("Month")
+    publish(spark, _months(spark, (1, 1.0), (2, 2.0), (3, 3.0)), name, target)
+    publish(spark, _months(spark, (2, 9.0), (3, 30.0), (4, 40.0), (6, 60.0)), name, target, start="2024-03-01", report_start="2024-02-01", report_end="2024-04-01")
     assert rows(spark.table(name), "Month", "v") == [(date(2024, 2, 1), 2.0), (date(2024, 3, 1), 30.0), (date(2024, 4, 1), 40.0)]
 
 
