@@ -207,9 +207,16 @@ def table_name(path: str) -> str:
     return path.removesuffix(".parquet").strip("/").replace("/", "_")
 
 
-def key_value(key: str, df: DataFrame) -> DataFrame:
-    """A configuration table as one row with a JSON array."""
+def key_value(key: str, df: DataFrame, id: str | None = None) -> DataFrame:
+    """A table as rows of a key and JSON.
+
+    Without ``id`` the whole table is one row with an array, as the report stores its few
+    configuration tables; all its rows meet in one task. With ``id``, a column that tells rows
+    apart, every row is stored under ``key:id`` as an object of its own, whatever the table's size.
+    """
     row = F.struct(*[F.col(c) for c in df.columns])
+    if id is not None:
+        return df.select(F.concat_ws(":", F.lit(key), F.col(id).cast("string")).alias("key"), F.to_json(row).alias("data"))
     return df.agg(F.to_json(F.array_sort(F.collect_list(row))).alias("data")).select(F.lit(key).alias("key"), "data")
 
 
@@ -237,8 +244,18 @@ def signal_details(raw: DataFrame, filtered: DataFrame, adjusted: DataFrame) ->
     return rows.groupBy("SignalID", F.to_date("Timeperiod").alias("Date")).agg(F.array_sort(F.collect_list(item)).alias("data"))
 
 
+def store_signal_details(details: DataFrame, table: str, *, buckets: int = 64) -> None:
+    """Details in buckets of signals, by signal and day inside each file.
+
+    A read of one signal opens the files of its bucket, one for each day range written, and skips
+    the row groups of other signals and days there.
+    """
+    writer = details.repartition(buckets, "SignalID").write.mode("overwrite").format("parquet")
+    writer.bucketBy(buckets, "SignalID").sortBy("SignalID", "Date").saveAsTable(table)
+
+
 def read_signal_details(details: DataFrame, signal: str | None = None, start=None, end=None) -> DataFrame:
-    """Nested details back to rows."""
+    """Nested details back to rows (S29); the signal and days are filtered where the rows are still nested, so they reach the scan."""
     df = details if signal is None else details.where(F.col("SignalID") == signal)
     if start is not None:
         df = df.where(F.col("Date") >= F.lit(start).cast("date"))

@@ -189,6 +189,29 @@ def test_metrics_have_one_descriptor_per_table():
     assert all(name == m.table for name, m in METRICS.items()) and METRICS["aogd"].weight == "vol"
 
 
+def test_details_of_a_signal_are_read_from_its_bucket(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE details_test LOCATION '{tmp_path}'")
+    counts = spark.createDataFrame([(str(s), at("8:00", DAY + timedelta(days=d)), k, 2, s + k) for s in range(40) for d in range(3) for k in (1, 2)],
+                                   "SignalID string, Timeperiod timestamp_ntz, Detector int, CallPhase int, vol int")
+    filtered, adjusted = counts.withColumn("Good_Day", F.col("Detector") - 1), counts
+    S.store_signal_details(S.signal_details(counts, filtered, adjusted), "details_test.d", buckets=16)
+    one = S.read_signal_details(spark.table("details_test.d"), "7", DAY, DAY + timedelta(days=1))
+    assert rows(one, "Timeperiod", "Detector", "vol_rc", "vol_ac", "bad_day") == [
+        (at("8:00", DAY + timedelta(days=d)), k, 7 + k, 8 if k == 1 else None, k == 1) for d in (0, 1) for k in (1, 2)]
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # the plan then names the buckets
+    try:
+        plan = S.read_signal_details(spark.table("details_test.d"), "7", DAY)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 16" in plan and "EqualTo(SignalID,7)" in plan and "GreaterThanOrEqual(Date" in plan
+    spark.sql("DROP DATABASE details_test CASCADE")
+
+
+def test_key_value_by_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, n string")
+    assert rows(S.key_value("k", df, id="id")) == [("k:1", '{"id":1,"n":"a"}'), ("k:2", '{"id":2}')]
+
+
 def test_key_value_is_one_row(spark):
     df = spark.range(100).withColumn("n", F.col("id") * 2)
     stored = S.key_value("k", df)
