@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.q_measures import _PED, _PED_UP, TINT_SQL, _papd, _paph
 from checks.q_rollups import (
-    AVG_DDU, DDU, HOURS, _three, avg_by_hour, ddu, monthly_avg, monthly_by_hour, monthly_volume, period_avg, period_sum, quarterly,
+    _AGG_MO, _AGG_WK, _DAILY_P, AVG_DDU, DDU, HOURS, METRIC, _three, avg_by_hour, ddu, monthly_avg, monthly_by_hour, monthly_volume, period_avg, period_sum, quarterly,
     signal_rows, weekly_avg, weekly_by_hour, weekly_sum,
 )
 from checks.q_travel import GROUP, corridor_volumes, index_sql, with_shares
@@ -12,6 +12,7 @@ from checks.registry import query
 from checks.views_sql import delta, dow, peak, rollup, week
 from phasewright.functions import calendar as X
 from phasewright.operators import counts as C
+from phasewright.operators import detectors as K
 from phasewright.operators import measures as M
 from phasewright.operators import rollups as A
 from phasewright.plans import packages as P
@@ -248,7 +249,7 @@ def _(v):
 # Hour and quarter-hour packages ---------------------------------------------------------------
 
 
-def _package(v, period: str):
+def _package(v, period: str, make=P.hourly_package):
     minutes = 15 if period == "Timeperiod" else 60
     counted = C.counts(v.event_log(), v.ped_config(), minutes=minutes, code=90)
     pa = counted.select("SignalID", F.col("Timeperiod").alias(period), "Detector", F.col("vol").alias("paph"))
@@ -261,7 +262,7 @@ def _package(v, period: str):
     sf = base.select("SignalID", F.lit(0).alias("CallPhase"), "Date_Hour", F.col("x").alias("sf_freq"), F.col("n").alias("cycles"))
     qs = base.select("SignalID", "CallPhase", "Date_Hour", F.col("x").alias("qs_freq"), F.col("n").alias("cycles"))
     delay = base.select("SignalID", F.col("Date_Hour").alias(period), F.col("x").alias("delay"), F.col("n").alias("vol"))
-    return P.hourly_package(pa, bad, vol, aog, sf, qs, delay, v.corridors(), start="2024-01-01", end="2024-02-01", period=period)
+    return make(pa, bad, vol, aog, sf, qs, delay, v.corridors(), start="2024-01-01", end="2024-02-01", period=period)
 
 
 def _base(counts: str) -> str:
@@ -320,6 +321,73 @@ def _period_queries() -> None:
 _period_queries()
 
 
+# All levels at once ----------------------------------------------------------------------------
+
+LEVEL_COLS = "level, per, table, Zone_Group, Corridor, at, ~value, ~delta"
+
+
+def _level_sql(signals: str, per: str, col: str, wt: str | None, table: str, *, label: str | None = None, delta_of: str | None = None, named: bool = False) -> str:
+    """A table's rows of corridors, subcorridors and signals, in long form."""
+    parts = []
+    for level in ("cor", "sub", "sig"):
+        hierarchy = "subcorridors" if level == "sub" else "corridors"
+        sql = rollup(signals, per, col, wt, level=hierarchy) if wt else rollup(signals, per, col, level=hierarchy)
+        if level == "sig":
+            sql = signal_rows(delta_of or signals[1:-1], sql, per, col)
+            sql = f"SELECT * FROM ({sql}) WHERE Zone_Group IS NOT NULL" if named else sql
+        parts.append(f"""SELECT '{level}' AS level, '{label or per}' AS per, '{table}' AS "table", Zone_Group, Corridor, cast({per} as timestamp) AS at, {col} AS value, delta FROM ({sql})""")
+    return " UNION ALL ".join(parts)
+
+
+def _hour_levels(per: str, word: str) -> str:
+    counts, ped, minutes = ("counts_1h", _PA, 60) if per == "Hour" else ("counts_15", _PA_15, 15)
+    volumes = f"(SELECT SignalID, Timeperiod AS {per}, vol AS vph FROM {counts} WHERE CallPhase IN (2, 6))"
+    whole = per == "Timeperiod"
+    x2 = _span(per, "pr").replace("x AS pr", "x * 2 AS pr")
+    tables = {
+        "pa": (period_sum(ped, per, "paph"), "paph"), "vol": (period_sum(volumes, per, "vph"), "vph"),
+        "aog": (period_avg(_span(per, "aog"), per, "aog", "vol"), "aog"), "pr": (period_avg(x2, per, "pr", "vol"), "pr"),
+        "sf": (period_avg(_zeros(per, "sf_freq", "0", whole=whole), per, "sf_freq", "ones"), "sf_freq"),
+        "qs": (period_avg(_zeros(per, "qs_freq", "CallPhase"), per, "qs_freq", "ones"), "qs_freq"),
+        "ad": (period_avg(_source(per, "delay", "CallPhase"), per, "delay", "vol"), "delay"),
+    }
+    return " UNION ALL ".join(_level_sql(f"(SELECT SignalID, {per}, {col}, delta FROM ({sql}))", per, col, None, f"{word}_{table}") for table, (sql, col) in tables.items())
+
+
+_PA_15 = _PA.replace("counts_ped_1h", "counts_ped_15").replace("Timeperiod AS Hour", "Timeperiod")
+
+
+@query("p16_all_levels", LEVEL_COLS, _hour_levels("Hour", "hourly"))
+def _(v):
+    return _package(v, "Hour", P.hourly_levels)
+
+
+@query("p17_all_levels", LEVEL_COLS, _hour_levels("Timeperiod", "15min"))
+def _(v):
+    return _package(v, "Timeperiod", P.hourly_levels)
+
+
+_A28 = {"dy": (f"SELECT * FROM {_DAILY_P}", "Date"), "wk": (_AGG_WK, "Date"), "mo": (_AGG_MO, "Month")}
+
+
+def _daily_value(v):
+    daily = A.daily_avg(v.daily_measure(), "value", "weight").withColumn("CallPhase", F.lit(0)).withColumn("Week", X.week("Date"))
+    return stage(daily)
+
+
+@query("a28_all_levels", LEVEL_COLS, " UNION ALL ".join(
+    _level_sql(f"({sql})", at, "value", "weight", "m", label=per, named=True) for per, (sql, at) in _A28.items()))
+def _(v):
+    return P.measure_levels(METRIC, _daily_value(v), v.corridors())[0]
+
+
+@query("a28_all_quarters", "level, table, Zone_Group, Corridor, Quarter, ~value, ~delta",
+       f"""SELECT *, {delta('value', 'level, "table", Corridor, Zone_Group', 'Quarter')} AS delta FROM (SELECT level, "table", Zone_Group, Corridor,
+       extract(year from "at") || '.' || extract(quarter from "at") AS Quarter, avg(value) AS value FROM ({_level_sql(f"({_AGG_MO})", "Month", "value", "weight", "m", label="mo", named=True)}) GROUP BY ALL)""")
+def _(v):
+    return P.measure_levels(METRIC, _daily_value(v), v.corridors())[1]
+
+
 @query("p18_quarters_of_bundle", "Corridor, Zone_Group, Quarter, ~vph, ~delta", quarterly(
     rollup(sub(monthly_avg(_TP, "vph", None)), "Month", "vph"), "vph", "arg_max(vph, Month)"))
 def _(v):
@@ -331,3 +399,42 @@ def _(v):
 def _(v):
     return P.travel_times(v.segment_readings(), corridor_volumes(v), v.corridors(), GROUP)["cor_mo_spdh"]
 
+
+
+_SUB_GROUP = "Zone_Group, Zone, Corridor, Subcorridor"
+
+
+def _sub_sql(sql: str) -> str:
+    """The SQL of a corridor table moved down one level: readings by subcorridor under the hierarchy's view, volumes of the same level."""
+    moved = "(SELECT Zone AS Zone_Group, Corridor AS Zone, Subcorridor AS Corridor, * EXCLUDE (Zone_Group, Zone, Corridor, Subcorridor) FROM {})"
+    return sql.replace("segment_readings", "sub_readings").replace("corridors", "subcorridors").replace("sub_readings", moved.format("segment_readings"))
+
+
+def _sub_volumes(v):
+    h = v.hourly_measure().join(K.subcorridor_view(v.corridors()).select("SignalID", *GROUP), "SignalID")
+    return h.groupBy(*GROUP, F.col("Date_Hour").alias("Hour")).agg(F.coalesce(F.sum("value"), F.lit(0)).alias("vph"))
+
+
+@query("p18_travel_subcorridor_hour", "Zone_Group, Corridor, Hour, ~spd, ~delta", _sub_sql(index_sql(with_shares(False), "Hour", "spd", keep=True)))
+def _(v):
+    return P.travel_package(v.segment_readings(), corridor_volumes(v), _sub_volumes(v), v.corridors())["sub_mo_spdh"]
+
+
+@query("p18_travel_subcorridor_week", "Zone_Group, Corridor, Date, ~pti, ~delta", _sub_sql(index_sql(f"SELECT *, cast(Hour as date) AS Date FROM ({with_shares(True)})", "Date", "pti")))
+def _(v):
+    return P.travel_package(v.segment_readings(), corridor_volumes(v), _sub_volumes(v), v.corridors())["sub_wk_pti"]
+
+
+_CAM = "(SELECT 'CAM' || (cast(SignalID as int) % 4) AS CameraID, Corridor, min(Name) AS Location FROM corridors GROUP BY ALL)"
+_CAM_DAYS = "(SELECT 'CAM' || (cast(SignalID as int) % 4) AS CameraID, Corridor, Date, avg(value) AS up FROM daily_measure JOIN corridors USING (SignalID) GROUP BY ALL)"
+_CAM_COR = f"(SELECT Corridor, Date, avg(up) AS up FROM {_CAM_DAYS} GROUP BY ALL)"
+
+
+@query("a27_camera_rows", "Zone_Group, Corridor, Name, Description, Date, ~up",
+       f"""SELECT d.Corridor AS Zone_Group, d.CameraID AS Corridor, c.Location AS Name, d.CameraID AS Description, Date, up FROM {_CAM_DAYS} d LEFT JOIN {_CAM} c
+       ON d.Corridor = c.Corridor AND d.CameraID = c.CameraID UNION ALL SELECT Corridor, Corridor, NULL, Corridor, Date, up FROM {_CAM_COR}""")
+def _(v):
+    camera = F.concat(F.lit("CAM"), F.col("SignalID").cast("int") % 4).alias("CameraID")
+    cameras = v.corridors().groupBy(camera, "Corridor").agg(F.min("Name").alias("Location"))
+    days = v.daily_measure().join(v.corridors(), "SignalID").groupBy(camera, "Corridor", "Date").agg(F.avg("value").alias("up"))
+    return A.signal_rows(days, days.groupBy("Corridor", "Date").agg(F.avg("up").alias("up")), cameras, "CameraID")

@@ -222,6 +222,9 @@ VIEWS: dict[str, str] = {
     "counts_ped_1h": f"""SELECT n.SignalID, Timeperiod, n.Detector, CallPhase, vol FROM (SELECT SignalID, {hour('Timestamp')} AS Timeperiod,
       EventParam AS Detector, cast(count(*) as int) AS vol FROM event_log WHERE EventCode = 90 GROUP BY ALL) n
       LEFT JOIN ped_config k ON n.SignalID = k.SignalID AND n.Detector = k.Detector""",
+    "counts_ped_15": f"""SELECT n.SignalID, Timeperiod, n.Detector, CallPhase, vol FROM (SELECT SignalID, {quarter_hour('Timestamp')} AS Timeperiod,
+      EventParam AS Detector, cast(count(*) as int) AS vol FROM event_log WHERE EventCode = 90 GROUP BY ALL) n
+      LEFT JOIN ped_config k ON n.SignalID = k.SignalID AND n.Detector = k.Detector""",
     "filtered_1h": filtered("counts_1h", "det_config", 60, (1, 2, 1, 2, 12, 5)),
     "filtered_15": filtered("counts_15", "det_config", 15, (1, 2, 1, 2, 50, 20)),
     "adjusted_1h": adjusted("filtered_1h"),

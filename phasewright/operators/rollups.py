@@ -277,15 +277,24 @@ def quarterly(monthly: DataFrame, var: str, wt: str | None = None, operation: st
 
 
 def signal_rows(df: DataFrame, cor: DataFrame, corridors: DataFrame, identifier: str = "SignalID") -> DataFrame:
-    """Signals shown as the corridors of their corridor, with the corridor rows themselves."""
-    named = corridors.groupBy(identifier, "Corridor").agg(F.min("Description").alias("Description"), F.min("Name").alias("Name"))
-    drop = [c for c in ("Corridor", "Zone_Group", "Zone", "Subcorridor") if c in df.columns and c != identifier]
-    rows = df.drop(*drop).join(named, identifier, "left").select(
+    """Signals shown as the corridors of their corridor, with the corridor rows themselves.
+
+    Cameras (``identifier="CameraID"``) are named by corridor and id, as an id may stand at several
+    corridors; their rows then bring their corridor, and their name is the ``Location``.
+    """
+    camera = identifier != "SignalID"
+    on = ["Corridor", identifier] if camera else [identifier]
+    names = (F.min("Location"), F.min("Location")) if camera else (F.min("Description"), F.min("Name"))
+    named = corridors.groupBy(identifier, "Corridor").agg(names[0].alias("Description"), names[1].alias("Name"))
+    if camera:
+        named = named.withColumn("Description", F.lit(None).cast("string"))
+    drop = [c for c in ("Corridor", "Zone_Group", "Zone", "Subcorridor") if c in df.columns and c not in on]
+    rows = df.drop(*drop).join(named, on, "left").select(
         F.col("Corridor").alias("Zone_Group"), F.col(identifier).alias("Corridor"),
         F.coalesce("Description", F.col(identifier)).alias("Description"), "Name",
-        *[c for c in df.columns if c not in (identifier, *drop)],
+        *[c for c in df.columns if c not in (*on, *drop)],
     )
-    shown = df.select(identifier).distinct().join(named, identifier).select("Corridor").distinct()
+    shown = df.select(*on).distinct().join(named, on).select("Corridor").distinct()
     totals = cor.join(shown, "Corridor", "left_semi").drop("Zone_Group", "Subcorridor", "Zone").withColumn(
         "Zone_Group", F.col("Corridor")
     ).withColumn("Description", F.col("Corridor"))

@@ -8,12 +8,13 @@ stored daily measure.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
-from functools import cache, partial
+from functools import cache, partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phasewright.functions.calendar import is_midweek, is_peak, week
+from phasewright.operators import levels as L
 from phasewright.operators import measures as M
 from phasewright.operators import pedestrian as PB
 from phasewright.operators import rollups as A
@@ -271,11 +272,10 @@ def period_package(df: DataFrame, corridors: DataFrame, var: str, wt: str | None
     return Bundle(plans, {name: Target(period, False, var) for name in plans})
 
 
-def hourly_package(
-    paph: DataFrame, bad_ped: DataFrame, vph: DataFrame, aog: DataFrame, sf: DataFrame, qs: DataFrame, delay: DataFrame,
-    corridors: DataFrame, *, start, end, period: str = "Hour",
-) -> Bundle:
-    """The seven measures by hour (P16) or by quarter-hour (P17, ``period="Timeperiod"``) of the report from ``start`` to before ``end``.
+def _hourly_measures(
+    paph: DataFrame, bad_ped: DataFrame, vph: DataFrame, aog: DataFrame, sf: DataFrame, qs: DataFrame, delay: DataFrame, *, start, end, period: str = "Hour",
+) -> dict[str, tuple[DataFrame, str, str | None, bool]]:
+    """The seven measures by hour or quarter-hour: frame, column, weight and whether it is summed.
 
     Presses of bad input-days are left out. Arrivals and progression have a null row for each
     signal's period without vehicles, so a change after a gap is null. Failures and spillback are
@@ -297,15 +297,54 @@ def hourly_package(
         failures = complete_days(failures, period, minutes, {"sf_freq": 0.0})
     spillback = complete_days(spillback, period, minutes, {"qs_freq": 0.0})
     suffix = "15min" if quarter else "hourly"
-    return (
-        period_package(pa, corridors, "paph", None, f"{suffix}_pa", sums=True, period=period)
-        | period_package(vph, corridors, "vph", None, f"{suffix}_vol", sums=True, period=period)
-        | period_package(arrivals, corridors, "aog", "vol", f"{suffix}_aog", period=period)
-        | period_package(arrivals, corridors, "pr", "vol", f"{suffix}_pr", period=period)
-        | period_package(failures, corridors, "sf_freq", None, f"{suffix}_sf", period=period)
-        | period_package(spillback, corridors, "qs_freq", None, f"{suffix}_qs", period=period)
-        | period_package(delay, corridors, "delay", "vol", f"{suffix}_ad", period=period)
-    )
+    return {
+        f"{suffix}_pa": (pa, "paph", None, True), f"{suffix}_vol": (vph, "vph", None, True), f"{suffix}_aog": (arrivals, "aog", "vol", False),
+        f"{suffix}_pr": (arrivals, "pr", "vol", False), f"{suffix}_sf": (failures, "sf_freq", None, False),
+        f"{suffix}_qs": (spillback, "qs_freq", None, False), f"{suffix}_ad": (delay, "delay", "vol", False),
+    }
+
+
+def hourly_package(*frames: DataFrame, start, end, period: str = "Hour") -> Bundle:
+    """The seven measures by hour (P16) or by quarter-hour (P17, ``period="Timeperiod"``) of the report from ``start`` to before ``end``.
+
+    The frames are presses, bad inputs, volumes, arrivals, failures, spillback, delay and the hierarchy.
+    """
+    *measures, corridors = frames
+    out = Bundle({}, {})
+    for table, (df, var, wt, sums) in _hourly_measures(*measures, start=start, end=end, period=period).items():
+        out |= period_package(df, corridors, var, wt, table, period=period, sums=sums)
+    return out
+
+
+def hourly_levels(*frames: DataFrame, start, end, period: str = "Hour") -> DataFrame:
+    """All tables of ``hourly_package`` as one frame (``levels.LONG``), from one dealing of the signals' rows."""
+    *measures, corridors = frames
+    rows = [
+        df.select(
+            F.lit(period).alias("per"), F.lit(table).alias("table"), "SignalID", F.col(period).alias("at"), F.col(var).cast("double").alias("value"),
+            (F.lit(1.0) if wt is None else F.col(wt).cast("double")).alias("weight"), F.lit(sums).alias("summed"))
+        for table, (df, var, wt, sums) in _hourly_measures(*measures, start=start, end=end, period=period).items()
+    ]
+    signals = stage(L.signal_periods(reduce(DataFrame.unionByName, rows)).withColumn("weight", F.lit(1.0)), "signal-periods")
+    return L.level_rows(signals, corridors).select(*L.LONG)
+
+
+def measure_levels(metric: Metric, daily: DataFrame, corridors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A measure's days, weeks and months on all levels (``levels.LONG``), and its quarters; as the tables of its descriptor.
+
+    ``daily`` should be a stored table.
+    """
+    var, wt, peak = metric.variable, metric.weight, metric.peak_only
+    weekly, monthly = A.weekly_avg(daily, var, wt, peak_only=peak), A.monthly_avg(daily, var, wt or A.ONES, peak_only=peak)
+    rows = [
+        df.select(
+            F.lit(per).alias("per"), F.lit(metric.table).alias("table"), "SignalID", F.col(at).cast("timestamp_ntz").alias("at"), F.col(var).cast("double").alias("value"),
+            (F.lit(1.0) if wt is None else F.col(wt).cast("double")).alias("weight"), (F.col("delta") if "delta" in df.columns else F.lit(None).cast("double")).alias("delta"))
+        for per, df, at in (("dy", daily, "Date"), ("wk", weekly, "Date"), ("mo", monthly, "Month"))
+    ]
+    signals = stage(reduce(DataFrame.unionByName, rows), "signal-periods")
+    levels = stage(L.level_rows(signals, corridors, named_only=True), "level-rows")
+    return levels.select(*L.LONG), L.quarter_rows(levels, wt is None)
 
 
 def with_quarters(bundle: Bundle, table: str, var: str, wt: str | None = None, operation: str = "avg") -> Bundle:
@@ -317,19 +356,30 @@ def with_quarters(bundle: Bundle, table: str, var: str, wt: str | None = None, o
     return bundle | Bundle(quarters, {name: Target(None) for name in quarters})
 
 
-def travel_times(readings: DataFrame, cor_vph: DataFrame, corridors: DataFrame, grouping: list[str], period: str = "monthly") -> Bundle:
-    """V04 with V05-V07: the four indexes by hour and by month or week."""
+def travel_times(readings: DataFrame, cor_vph: DataFrame, corridors: DataFrame, grouping: list[str], period: str = "monthly", level: str = "cor") -> Bundle:
+    """V04 with V05-V07: the four indexes by hour and by month or week; ``readings`` are the segments' with the hierarchy columns."""
     ti = V.travel_time_package(readings, grouping, period)
+    if level == "sub":
+        ti = subcorridor_view(ti)
     per, by = ("mo", V.index_by_month) if period == "monthly" else ("wk", V.index_by_week)
     plans: dict[str, Plan] = {}
     targets: dict[str, Target] = {}
     for var in ("tti", "pti", "tt", "spd"):
-        plans[f"cor_{per}_{var}h"] = partial(V.index_by_hour, ti, var, cor_vph, corridors)
-        plans[f"cor_{per}_{var}"] = partial(by, ti, var, cor_vph, corridors)
-        targets |= {f"cor_{per}_{var}h": Target("Hour", per == "wk", var), f"cor_{per}_{var}": Target("Month" if per == "mo" else "Date", per == "wk", var)}
+        plans[f"{level}_{per}_{var}h"] = partial(V.index_by_hour, ti, var, cor_vph, corridors)
+        plans[f"{level}_{per}_{var}"] = partial(by, ti, var, cor_vph, corridors)
+        targets |= {f"{level}_{per}_{var}h": Target("Hour", per == "wk", var), f"{level}_{per}_{var}": Target("Month" if per == "mo" else "Date", per == "wk", var)}
     return Bundle(plans, targets)
 
 
+def travel_package(readings: DataFrame, cor_vph: DataFrame, sub_vph: DataFrame, corridors: DataFrame) -> Bundle:
+    """The travel tables of corridors and subcorridors by month and week (P18): 32 tables. Volumes are those of the level."""
+    out = Bundle({}, {})
+    for period in ("monthly", "weekly"):
+        out |= travel_times(readings, cor_vph, corridors, [*A.CORRIDOR], period)
+        out |= travel_times(readings, sub_vph, subcorridor_view(corridors), [*A.CORRIDOR, "Subcorridor"], period, "sub")
+    return out
+
+
 def thin_bindings() -> dict[str, dict]:
     """Weekly, monthly and hourly rollups of each measure as data: operator, column, weight and day filter."""
     volume = {"vpd": ("vpd", True), "papd": ("papd", True), "tp": ("vph", False)}
