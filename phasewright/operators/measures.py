@@ -9,6 +9,7 @@ from phasewright.functions.calendar import (
     floor_minutes,
     is_midweek,
     is_peak,
+    micros,
     midnight,
     month_of,
     plus_seconds,
@@ -17,7 +18,6 @@ from phasewright.functions.calendar import (
 )
 from phasewright.functions.stats import sum0, wmean
 from phasewright.operators.carry import LAST, Mark, asof, carry
-from phasewright.operators.overlap import overlap_join, overlap_seconds
 from phasewright.operators.runs import complete_dates
 
 
@@ -182,26 +182,64 @@ def daily_progression(aog: DataFrame) -> DataFrame:
 # Split failures -----------------------------------------------------------------------------
 
 
-def occupancy(detections: DataFrame, intervals: DataFrame, *, bin_seconds: int = 60) -> DataFrame:
-    """Greatest detector occupancy of each interval's cycle, 0 where nothing was detected.
+def occupancy(
+    detections: DataFrame, intervals: DataFrame, *, by: tuple[str, ...] = ("CycleStart",), merge_spans: bool = False, bin_seconds: int = 3600
+) -> DataFrame:
+    """Greatest detector occupancy of each interval's cycle, 0 where nothing was detected (M10): covered time by the longest interval that the detector meets.
 
     ``detections`` has SignalID, Phase, Date, Detector, DetOn, DetOff; ``intervals`` has
-    SignalID, Phase, Date, CycleStart, IntervalStart, IntervalEnd.
+    SignalID, Phase, Date, IntervalStart, IntervalEnd and the columns ``by``, which tell cycles apart.
+
+    A sweep over on and off edges: the time covered before an instant t is the sum of n * (t - edge)
+    over the edges up to t, n being 1 for on and -1 for off. Each interval asks for it at its two ends,
+    so rows are as many as edges and interval ends, however long a detector stays on. Running sums work
+    inside bins of the day, and what earlier bins add up to comes from one row for each bin. Spans of
+    a detector that overlap count twice, unless ``merge_spans`` joins them first.
     """
     keys = ["SignalID", "Phase", "Date"]
-    met = overlap_join(
-        detections.select(*keys, "Detector", "DetOn", "DetOff"), intervals, keys,
-        ("DetOn", "DetOff"), ("IntervalStart", "IntervalEnd"), bin_seconds=bin_seconds,
-    )
-    per_detector = met.groupBy(*keys, "CycleStart", "Detector").agg(
-        F.try_divide(
-            F.sum(overlap_seconds(("DetOn", "DetOff"), ("IntervalStart", "IntervalEnd"))),
-            F.max(seconds_between("IntervalStart", "IntervalEnd")),
-        ).alias("occ")
-    )
-    per_cycle = per_detector.groupBy(*keys, "CycleStart").agg(F.max("occ").alias("occ"))
-    every = intervals.select(*keys, "CycleStart").distinct()
-    return every.join(per_cycle, [*keys, "CycleStart"], "left").withColumn("occ", F.coalesce("occ", F.lit(0.0)))
+    at = lambda c: micros(c) - micros(midnight("Date"))
+    named = F.col("Detector").cast("string").alias("_det")
+    spans = detections.where("DetOn <= DetOff").select(*keys, named, at("DetOn").alias("_on"), at("DetOff").alias("_off"))
+    if merge_spans:
+        spans = _merged_spans(spans, [*keys, "_det"])
+    edge = lambda c, n: F.struct(F.col(c).alias("_t"), F.lit(n).alias("_n"))
+    edges = spans.select(*keys, "_det", F.explode(F.array(edge("_on", 1), edge("_off", -1))).alias("_e")).select(*keys, "_det", "_e.*")
+    end = lambda c, sign: F.struct(at(c).alias("_t"), F.lit(sign).alias("_sign"))
+    valid = F.col("IntervalStart") <= F.col("IntervalEnd")
+    asked = intervals.join(spans.select(*keys, "_det").distinct(), keys, "left").select(
+        *keys, F.coalesce("_det", F.lit("")).alias("_det"), *by, F.when(valid, seconds_between("IntervalStart", "IntervalEnd")).alias("_span"),
+        at("IntervalStart").alias("_start"), F.explode(F.array(end("IntervalStart", -1), end("IntervalEnd", 1))).alias("_e"), valid.alias("_valid"))
+    asked = asked.select(*keys, "_det", *by, "_span", "_start", "_valid", "_e.*")
+    rows = edges.unionByName(asked, allowMissingColumns=True).withColumns({
+        "_bin": F.floor(F.col("_t") / (bin_seconds * 1_000_000)), "_n": F.coalesce("_n", F.lit(0)), "_nt": F.coalesce(F.col("_n") * F.col("_t"), F.lit(0)),
+        "_on": F.coalesce(F.col("_n") == 1, F.lit(False)).cast("int"), "_off": F.coalesce(F.col("_n") == -1, F.lit(False)).cast("int")})
+    place = [*keys, "_det", "_bin"]
+    order = Window.partitionBy(*place).orderBy("_t")
+    until, before = (order.rangeBetween(Window.unboundedPreceding, last) for last in (Window.currentRow, -1))
+    # ons up to an interval's end less offs before its start are the spans that meet it
+    seen = F.when(F.col("_sign") == 1, F.sum("_on").over(until)).otherwise(-F.sum("_off").over(before))
+    local = rows.withColumns({"_count": F.sum("_n").over(until), "_total": F.sum("_nt").over(until), "_seen": F.coalesce(seen, F.lit(0))})
+    local = local.where("_sign IS NOT NULL").drop("_n", "_nt", "_on", "_off")
+    earlier = Window.partitionBy(*keys, "_det").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    added = ("_n", "_nt", "_on", "_off")
+    bins = rows.groupBy(*place).agg(*[F.sum(c).alias(c) for c in added])
+    bins = bins.select(*place, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in added])
+    met = local.join(bins, place)
+    covered = F.col("_t") * (F.col("_count") + F.col("_n0")) - (F.col("_total") + F.col("_nt0"))
+    spans_met = F.col("_seen") + F.when(F.col("_sign") == 1, F.col("_on0")).otherwise(-F.col("_off0"))
+    per_interval = met.groupBy(*keys, *by, "_det", "_span", "_start").agg(
+        F.sum(F.when(F.col("_valid"), F.col("_sign") * covered)).alias("_covered"), F.when(F.sum(spans_met) > 0, F.col("_span")).alias("_met"))
+    per_detector = per_interval.groupBy(*keys, *by, "_det").agg(F.try_divide(F.sum("_covered") / F.lit(1e6), F.max("_met")).alias("occ"))
+    return per_detector.groupBy(*keys, *by).agg(F.coalesce(F.max("occ"), F.lit(0.0)).alias("occ"))
+
+
+def _merged_spans(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """Spans ``_on``, ``_off`` of each key with those that touch or overlap made one."""
+    order = Window.partitionBy(*keys).orderBy("_on", "_off")
+    before = F.max("_off").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum(F.col("_new").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    marked = spans.withColumn("_new", F.coalesce(F.col("_on") > before, F.lit(True))).withColumn("_island", island)
+    return marked.groupBy(*keys, "_island").agg(F.min("_on").alias("_on"), F.max("_off").alias("_off")).drop("_island")
 
 
 def split_failures(
@@ -213,28 +251,25 @@ def split_failures(
     first_seconds_of_red: float = 5,
     phases: tuple[int, ...] = (3, 4, 7, 8),
     threshold: float = 0.80,
-    bin_seconds: int = 60,
+    bin_seconds: int = 3600,
 ) -> DataFrame:
     """Cycles whose stop bar stays occupied in green and at the start of red.
 
-    Phase 0 fails where any phase of the cycle does.
+    Greens and starts of red are asked for in one sweep. Phase 0 fails where any phase of the cycle does.
     """
     presence = config.select("SignalID", F.col("CallPhase").alias("Phase"), "Detector").distinct()
     de = detections.where(F.col("Phase").isin(*phases)).join(presence, ["SignalID", "Phase", "Detector"], "left_semi").select(
         "SignalID", "Phase", "Date", "Detector", F.col("DetTimeStamp").alias("DetOn"),
         plus_seconds("DetTimeStamp", F.col("DetDuration")).alias("DetOff"),
     )
-    base = cycles.where(F.col("Phase").isin(*phases)).select(
-        "SignalID", "Phase", "Date", "CycleStart", "EventCode", F.col("PhaseStart").alias("IntervalStart"), "PhaseEnd"
-    )
-    green = base.where("EventCode = 1").withColumn("IntervalEnd", F.col("PhaseEnd"))
-    red = base.where("EventCode = 9").withColumn("IntervalEnd", plus_seconds("IntervalStart", F.lit(first_seconds_of_red)))
-    drop = ["EventCode", "PhaseEnd"]
+    green = F.col("EventCode") == 1
+    spans = cycles.where(F.col("Phase").isin(*phases) & F.col("EventCode").isin(1, 9)).select(
+        "SignalID", "Phase", "Date", "CycleStart", green.alias("_green"), F.col("PhaseStart").alias("IntervalStart"),
+        F.when(green, F.col("PhaseEnd")).otherwise(plus_seconds("PhaseStart", F.lit(first_seconds_of_red))).alias("IntervalEnd"))
+    occupied = occupancy(de, spans, by=("CycleStart", "_green"), bin_seconds=bin_seconds)
+    full = lambda kind: F.coalesce(F.max(F.when(kind, F.col("occ"))), F.lit(0.0)) > threshold
     keys = ["SignalID", "Phase", "Date", "CycleStart"]
-    gr = occupancy(de, green.drop(*drop), bin_seconds=bin_seconds).withColumnRenamed("occ", "gr_occ")
-    sr = occupancy(de, red.drop(*drop), bin_seconds=bin_seconds).withColumnRenamed("occ", "sr_occ")
-    failed = (F.coalesce("gr_occ", F.lit(0.0)) > threshold) & (F.coalesce("sr_occ", F.lit(0.0)) > threshold)
-    sf = gr.join(sr, keys, "full_outer").select(*keys, failed.cast("int").alias("sf"))
+    sf = occupied.groupBy(*keys).agg((full(F.col("_green")) & full(~F.col("_green"))).cast("int").alias("sf"))
     any_phase = sf.groupBy("SignalID", "Date", "CycleStart").agg(F.max("sf").alias("sf")).withColumn("Phase", F.lit(0))
     return failure_rates(sf.unionByName(any_phase), minutes)
 

@@ -175,3 +175,50 @@ def test_peaks_are_a_column(spark):
     sf = spark.createDataFrame([("1", at("7:00"), 0.5, 10), ("1", at("8:00"), 0.1, 30), ("1", at("12:00"), 0.9, 5)], "SignalID string, Date_Hour timestamp_ntz, sf_freq double, cycles int")
     out = M.split_failures_by_peak(sf).select("Peak", F.round("sf_freq", 6).alias("f"), "cycles")
     assert rows(out) == [("Off_Peak", 0.9, 5), ("Peak", 0.2, 40)]
+
+
+@pytest.mark.parametrize("merge", [False, True])
+@pytest.mark.parametrize("bin_seconds", [30, 3600, 86_400])
+def test_the_sweep_equals_summing_overlaps(spark, merge, bin_seconds):
+    draw = np.random.default_rng(5)
+    seconds = lambda n: at("0:00") + timedelta(seconds=int(n))
+    spans, dets = [], []
+    for cycle in range(60):
+        lo = int(draw.integers(0, 4000))
+        spans += [("1", int(p), DAY, seconds(cycle), seconds(lo + 50 * k), seconds(lo + 50 * k + int(draw.integers(0, 40)))) for k in range(2) for p in (2, 4)]
+    spans.append(("1", 9, DAY, seconds(1), seconds(10), seconds(20)))
+    for _ in range(150):
+        on = int(draw.integers(0, 4200))
+        dets.append(("1", int(draw.choice([2, 4])), DAY, int(draw.integers(1, 4)), seconds(on), seconds(on + int(draw.choice([0, 3, 20, 4000])))))
+    dets.append(("1", 2, DAY, 3, seconds(50), seconds(10)))
+    want = []
+    for phase, cycle in sorted({(s[1], s[3]) for s in spans}):
+        mine, best = [s for s in spans if (s[1], s[3]) == (phase, cycle)], 0.0
+        for det in (1, 2, 3):
+            held = sorted((d[4], d[5]) for d in dets if d[1] == phase and d[3] == det and d[4] <= d[5])
+            if merge:
+                joined = []
+                for on, off in held:
+                    if joined and on <= joined[-1][1]:
+                        joined[-1] = (joined[-1][0], max(off, joined[-1][1]))
+                    else:
+                        joined.append((on, off))
+                held = joined
+            total = sum(max(0.0, (min(off, s[5]) - max(on, s[4])).total_seconds()) for on, off in held for s in mine)
+            longest = max([(s[5] - s[4]).total_seconds() for s in mine if any(on <= s[5] and off >= s[4] for on, off in held)], default=0)
+            best = max(best, total / longest if longest else 0.0)
+        want.append((phase, cycle, round(best, 6)))
+    kinds = "SignalID string, Phase int, Date date, "
+    intervals = spark.createDataFrame(spans, kinds + "CycleStart timestamp_ntz, IntervalStart timestamp_ntz, IntervalEnd timestamp_ntz")
+    detections = spark.createDataFrame(dets, kinds + "Detector int, DetOn timestamp_ntz, DetOff timestamp_ntz")
+    out = M.occupancy(detections, intervals, merge_spans=merge, bin_seconds=bin_seconds)
+    assert [(p, c, round(o, 6)) for p, c, o in rows(out, "Phase", "CycleStart", "occ")] == want
+
+
+def test_a_detector_that_stays_on_is_two_edges(spark):
+    intervals = spark.createDataFrame([("1", 4, DAY, at("8:00"), at("8:00"), at("8:00:20"))], "SignalID string, Phase int, Date date, CycleStart timestamp_ntz, IntervalStart timestamp_ntz, IntervalEnd timestamp_ntz")
+    stuck = spark.createDataFrame([("1", 4, DAY, 7, at("0:00"), at("23:59:59"))], "SignalID string, Phase int, Date date, Detector int, DetOn timestamp_ntz, DetOff timestamp_ntz")
+    out = M.occupancy(stuck, intervals, bin_seconds=60)
+    assert rows(out, "occ") == [(1.0,)]
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in text
