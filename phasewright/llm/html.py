@@ -124,10 +124,10 @@ def _hash(text: str) -> int:
 
 
 class Element:
-    __slots__ = ("tag", "furniture", "article", "counted", "parts")
+    __slots__ = ("tag", "furniture", "article", "counted", "inner", "parts")
 
-    def __init__(self, tag: str, furniture: bool, article: bool, counted: int):
-        self.tag, self.furniture, self.article, self.counted, self.parts = tag, furniture, article, counted, [tag]
+    def __init__(self, tag: str, furniture: bool, article: bool, counted: int, inner: bool):
+        self.tag, self.furniture, self.article, self.counted, self.inner, self.parts = tag, furniture, article, counted, inner, [tag]
 
 
 def _named(names: str) -> bool:
@@ -153,24 +153,29 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
 
 
 class Page(NamedTuple):
-    """Blocks (text, whether inside the marked article, index of the innermost counted subtree or -1) and subtrees (hash, index of the one around it or -1)."""
+    """Blocks (text, whether inside the marked article, index of the innermost counted subtree or -1) and subtrees (hash, index of the one around it or -1, whether it lies in the article).
+
+    A subtree in an article has another hash than the same one elsewhere: the two are counted apart.
+    """
 
     blocks: list[tuple[str, bool, int]]
     hashes: list[int]
     parents: list[int]
+    inner: list[bool]
 
 
 class _Reader:
     """What is open at a place of a page. Depths and last positions are kept, so no step walks through the open elements."""
 
     def __init__(self):
-        self.stack = [Element("", False, False, -1)]
+        self.stack = [Element("", False, False, -1, False)]
         self.places: dict[str, list[int]] = {}
         self.furniture = self.articles = 0
         self.pending: list[str] = []
         self.blocks: list[tuple[str, bool, int]] = []
         self.hashes: list[int] = []
         self.parents: list[int] = []
+        self.inner: list[bool] = []
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", unescape("".join(self.pending))).strip()
@@ -181,12 +186,14 @@ class _Reader:
     def push(self, tag: str, furniture: bool, article: bool) -> None:
         counted = self.stack[-1].counted
         # in an article blocks are counted, not the words in them that have elements of their own
-        if tag not in ("html", "body") and (not self.articles or tag in BLOCK):
+        inner = self.articles > 0
+        if tag not in ("html", "body") and (not inner or tag in BLOCK):
             self.hashes.append(0)
             self.parents.append(counted)
+            self.inner.append(inner)
             counted = len(self.hashes) - 1
         self.places.setdefault(tag, []).append(len(self.stack))
-        self.stack.append(Element(tag, furniture, article, counted))
+        self.stack.append(Element(tag, furniture, article, counted, inner))
         self.furniture += furniture
         self.articles += article
 
@@ -200,7 +207,7 @@ class _Reader:
         hashed = _hash("\x00".join(done.parts))
         self.stack[-1].parts.append(str(hashed))
         if done.counted != self.stack[-1].counted:
-            self.hashes[done.counted] = hashed
+            self.hashes[done.counted] = _hash(f"article {hashed}") if done.inner else hashed
 
     def last(self, tag: str) -> int:
         """Where the last open element of this name is; 0 if there is none."""
@@ -262,7 +269,8 @@ def parse(html: str | None) -> Page:
         place[old] = new
     place[-1] = -1
     held = sorted(place)[1:]
-    return Page([(text, inside, place[at]) for text, inside, at in page.blocks], [page.hashes[i] for i in held], [place[page.parents[i]] for i in held])
+    blocks = [(text, inside, place[at]) for text, inside, at in page.blocks]
+    return Page(blocks, [page.hashes[i] for i in held], [place[page.parents[i]] for i in held], [page.inner[i] for i in held])
 
 
 def kept_text(page: Page, templates: set[int]) -> str:
@@ -284,17 +292,18 @@ def kept_text(page: Page, templates: set[int]) -> str:
 
 def _pack(page: Page) -> bytes:
     """A page's blocks compressed, so that texts cross disks and networks once at a fraction of their size."""
-    content = "\x00".join([",".join(map(str, page.hashes)), ",".join(map(str, page.parents)), ",".join(f"{int(own)}:{at}" for _, own, at in page.blocks)])
+    inner = "".join("01"[i] for i in page.inner)
+    content = "\x00".join([",".join(map(str, page.hashes)), ",".join(map(str, page.parents)), inner, ",".join(f"{int(own)}:{at}" for _, own, at in page.blocks)])
     texts = "\n".join(text for text, _, _ in page.blocks)  # a block's own white space is single spaces
     return zstandard.ZstdCompressor(level=6).compress(f"{content}\x00{texts}".encode("utf-8", "surrogatepass"))
 
 
 def _unpack(packed: bytes) -> Page:
-    hashes, parents, marks, texts = zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass").split("\x00", 3)
+    hashes, parents, inner, marks, texts = zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass").split("\x00", 4)
     numbers = lambda s: [int(x) for x in s.split(",")] if s else []
     places = [mark.split(":") for mark in marks.split(",")] if marks else []
     blocks = [(text, own == "1", int(at)) for text, (own, at) in zip(texts.split("\n"), places)]
-    return Page(blocks, numbers(hashes), numbers(parents))
+    return Page(blocks, numbers(hashes), numbers(parents), [i == "1" for i in inner])
 
 
 def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -303,8 +312,9 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, host, html in zip(batch["_row"], batch["_host"], batch["html"], strict=True):
             page = parse(html)
             content = "\n".join([text for text, inside, _ in page.blocks if inside] or [text for text, *_ in page.blocks])
-            rows.append((row, host, _hash(content), sorted(set(page.hashes)), _pack(page)))
-        yield pd.DataFrame(rows, columns=["_row", "_host", "vote", "hashes", "packed"])
+            counted = [{"hash": hashed, "inner": inner} for hashed, inner in sorted(set(zip(page.hashes, page.inner, strict=True)))]
+            rows.append((row, host, _hash(content), counted, _pack(page)))
+        yield pd.DataFrame(rows, columns=["_row", "_host", "vote", "counted", "packed"])
 
 
 def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,12 +324,13 @@ def _decided(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def main_text(
-    pages: DataFrame, min_pages: int = 10, min_share: float = 0.02, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, min_pages: int = 10, min_share: float = 0.02, article_share: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """One row for each row of ``pages``: ``page_id``, ``url``, ``text`` (blocks joined by newlines), ``n_chars``.
 
     A subtree is template if at least ``min_pages`` different pages of its host and ``min_share``
-    of them hold it. Pages with the same article, or without one the same text outside furniture,
+    of them hold it; inside a marked article ``article_share`` of them must, as what most pages of a site
+    say in their articles is the site's, and a passage that some of them share is text. Pages with the same article, or without one the same text outside furniture,
     count once. If less than half of an article would be left, it stays whole; text beside an
     article stays if it is more than the article. The host is what stands between ``//`` and the next ``/``, ``?`` or ``#``, lower-cased;
     urls without one share a host of their own. Null and empty pages have an empty text. Markup
@@ -330,13 +341,13 @@ def main_text(
     # the id and url travel with the page as one JSON string; nulls stay nulls
     own = F.to_json(F.struct(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
     rows = pages.select(own.alias("_row"), host.alias("_host"), whole(F.col(html_col)).alias("html"))
-    parsed = rows.mapInPandas(_parsed, "_row string, _host string, vote long, hashes array<bigint>, packed binary")
+    parsed = rows.mapInPandas(_parsed, "_row string, _host string, vote long, counted array<struct<hash: bigint, inner: boolean>>, packed binary")
     parsed = stage(parsed.withColumn("_page", F.monotonically_increasing_id()), "blocks")
-    seen = parsed.select("_page", "_host", "vote", F.explode("hashes").alias("hash"))
+    seen = parsed.select("_page", "_host", "vote", F.inline("counted"))
     sizes = parsed.groupBy("_host").agg(F.count_distinct("vote").alias("_pages"))
     template = (
-        seen.groupBy("_host", "hash").agg(F.count_distinct("vote").alias("n")).where(F.col("n") >= min_pages)
-        .join(sizes, "_host").where(F.col("n") >= F.col("_pages") * min_share).select("_host", "hash"))
+        seen.groupBy("_host", "hash", "inner").agg(F.count_distinct("vote").alias("n")).where(F.col("n") >= min_pages)
+        .join(sizes, "_host").where(F.col("n") >= F.col("_pages") * F.when(F.col("inner"), article_share).otherwise(min_share)).select("_host", "hash"))
     lost = seen.join(template, ["_host", "hash"], "left_semi").groupBy("_page").agg(F.collect_list("hash").alias("_template"))
     # stored, so that its size is known when the texts' join is planned: while it is small, no text moves
     lost = stage(lost, "lost-subtrees")

@@ -181,7 +181,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</scri
 
 def test_main_text_of_a_marked_page():
     assert [b[0] for b in html.parse(PAGE).blocks if b[1]] == ["One & two", "First é line", "Second inline.", "x", "y"]
-    assert html.parse(None) == html.parse("") == ([], [], []) and html.parse("plain <") == ([("plain <", False, -1)], [], [])
+    assert html.parse(None) == html.parse("") == ([], [], [], []) and html.parse("plain <") == ([("plain <", False, -1)], [], [], [])
 
 
 def test_templates_of_a_host_are_removed(spark):

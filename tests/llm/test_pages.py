@@ -64,6 +64,13 @@ def test_odd_characters_survive_packing():
     assert html._unpack(html._pack(page)) == page and len(page.blocks) == 2
 
 
+def test_a_passage_that_some_articles_share_is_text(spark):
+    page = lambda i: f"<article><h1>Title {i}</h1>{'<p>A passage that many quote</p>' if i % 5 == 0 else ''}<p>Text {i}</p><p>Read more</p></article>"
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(100)]
+    got = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[7] == "Title 7\nText 7" and got[10] == "Title 10\nA passage that many quote\nText 10"
+
+
 def test_templates_equal_a_count_by_hand(spark):
     draw = random.Random(9)
     rows = []
