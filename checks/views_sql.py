@@ -263,6 +263,9 @@ VIEWS: dict[str, str] = {
       DetTimeInPhase FROM attributed""",
 }
 
+VIEWS["filtered_sel_15"] = VIEWS["filtered_sel"].replace("filtered_1h", "filtered_15")
+VIEWS["adjusted_sel_15"] = adjusted("filtered_sel_15")
+
 
 def with_views(body: str) -> str:
     """A statement with the views it needs, in order of dependence."""

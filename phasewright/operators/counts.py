@@ -54,13 +54,14 @@ def counts(
     return joined.select("SignalID", "Timeperiod", "Detector", "CallPhase", "vol")
 
 
-def _detector_grid(counted: DataFrame, config: DataFrame, minutes: int) -> DataFrame:
-    """Every configured detector in every period of the days counted."""
+def _detector_grid(counted: DataFrame, config: DataFrame, minutes: int, days: DataFrame | None = None) -> DataFrame:
+    """Every configured detector in every period of the days, by default those counted."""
     dc = config.select(
         "SignalID", "Detector", "CallPhase", F.col("ApproachDesc").contains("Mainline").alias("Mainline"),
         *(["Date"] if "Date" in config.columns else []),
     ).distinct()
-    days = counted.select(F.to_date("Timeperiod").alias("Date")).distinct()
+    if days is None:
+        days = counted.select(F.to_date("Timeperiod").alias("Date")).distinct()
     if "Date" in config.columns:
         daily = dc.join(days, "Date", "left_semi")
     else:
@@ -73,15 +74,16 @@ def _detector_grid(counted: DataFrame, config: DataFrame, minutes: int) -> DataF
     return daily.withColumn("Timeperiod", F.explode(F.sequence(start, last, step))).drop("Date")
 
 
-def filter_counts(counted: DataFrame, config: DataFrame, limits: CountLimits = HOURLY) -> DataFrame:
+def filter_counts(counted: DataFrame, config: DataFrame, limits: CountLimits = HOURLY, *, days: DataFrame | None = None) -> DataFrame:
     """Null the volumes of detector-days that are flat, too high or too jumpy.
 
-    Window partitions are one detector-day, at most 96 rows.
+    Window partitions are one detector-day, at most 96 rows. ``days`` (distinct ``Date``) saves a
+    caller that knows them a second reading of the counts.
     """
     on = ["SignalID", "Timeperiod", "Detector", "CallPhase"]
     known = counted.where("CallPhase is not null")
     rows = (
-        _detector_grid(known, config, limits.minutes).join(known, on, "full_outer")
+        _detector_grid(known, config, limits.minutes, days).join(known, on, "full_outer")
         .withColumn("vol", F.coalesce(F.col("vol").cast("double"), F.lit(0.0)))
         .withColumn("Date", F.to_date("Timeperiod"))
     )
