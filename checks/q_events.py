@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.views_sql import hour, pairs, plus, secs
-from phasewright.functions.calendar import floor_hour
+from phasewright.functions.calendar import floor_hour, plus_seconds
 from phasewright.operators import events as E
 from phasewright.operators import wide as W
 from phasewright.plans.daily import event_tables
@@ -259,6 +259,24 @@ def _(v):
     return E.channel_phase_mapping(hours, 82, 90, lag_ms=0)
 
 
+_CALLS = f"""SELECT DISTINCT SignalID, Timestamp, EventCode, EventParam FROM (SELECT SignalID, Timestamp, EventCode, EventParam FROM event_log WHERE EventCode = 82
+  UNION ALL SELECT e.SignalID, {plus('e.Timestamp', '0.1')}, 43, k.CallPhase FROM event_log e JOIN det_config k ON e.SignalID = k.SignalID AND e.EventParam = k.Detector WHERE EventCode = 82)"""
+
+
+@query(
+    "e12_channel_phase_mapping_instants", "SignalID, Detector:int, CallPhase:int",
+    f"""SELECT DISTINCT SignalID, Detector, CallPhase FROM (SELECT SignalID, Timestamp, min(EventParam) AS Detector FROM ({_CALLS}) WHERE EventCode = 82
+      GROUP BY ALL HAVING count(*) = 1) JOIN (SELECT SignalID, {plus('Timestamp', '-0.1')} AS Timestamp, min(EventParam) AS CallPhase FROM ({_CALLS}) WHERE EventCode = 43
+      GROUP BY ALL HAVING count(*) = 1) USING (SignalID, Timestamp)""",
+)
+def _(v):
+    # Every actuation places its phase's call a tenth of a second later, as controllers log it.
+    on = v.event_log().where("EventCode = 82").select("SignalID", "Timestamp", "EventCode", "EventParam", "Date")
+    calls = on.join(v.det_config().select("SignalID", F.col("Detector").alias("EventParam"), "CallPhase"), ["SignalID", "EventParam"])
+    calls = calls.select("SignalID", plus_seconds("Timestamp", F.lit(0.1)).alias("Timestamp"), F.lit(43).alias("EventCode"), F.col("CallPhase").alias("EventParam"), "Date")
+    return E.channel_phase_mapping(on.unionByName(calls).distinct())
+
+
 @query(
     "e13_arrivals_by_interval", "SignalID, Timeperiod, Phase:int, Interval, Vehicles:bigint, ~Percent",
     f"""SELECT *, Vehicles / sum(Vehicles) OVER (PARTITION BY SignalID, Timeperiod, Phase) AS Percent FROM (

@@ -10,8 +10,10 @@ from checks.q_measures import SIGNAL_UP, SYSTEM_UP
 from checks.q_rollups import DDU
 from checks.q_serving import _DETAILS
 from checks.registry import query
+from phasewright.operators import counts as C
 from phasewright.plans import jobs as J
-from phasewright.session import new_path
+from phasewright.plans.imputation import adjust_changed, read_adjusted
+from phasewright.session import new_path, stage
 from phasewright.sources import tables as S
 
 COLS = "name, SignalID, Date, key, data"
@@ -137,3 +139,13 @@ def _(v):
     job = J.event_job(v.det_config(), split_failures=_SF_ARGS, queue_spillback={"threshold": 1800}, ped_delay={"max_free": 30000})
     J.run_job(v.spark, job, log, J.log_versions(log), base)
     return tables(v.spark, base, MEASURES)
+
+
+@query("c06_adjust_changed", "SignalID, CallPhase:int, Detector:int, Timeperiod, vol:int, Date", "SELECT * FROM adjusted_1h")
+def _(v):
+    # The month is imputed without its last days, then with them: the rows are those of one run over all.
+    base = new_path(v.spark, "adjusted")
+    filtered = stage(C.filter_counts(C.counts(v.event_log(), v.det_config()), v.det_config(), LOW_HOURLY))
+    adjust_changed(v.spark, filtered.where("Date < date'2024-01-25'"), base)
+    adjust_changed(v.spark, filtered, base)
+    return read_adjusted(v.spark, base)

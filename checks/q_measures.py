@@ -5,13 +5,15 @@ from pyspark.sql import functions as F
 from checks.q_counts import LOW_HOURLY
 from checks.registry import query
 from checks.views_sql import dow, hour, plus, quarter_hour, secs, week, wmean
-from phasewright.functions.calendar import floor_hour
+from phasewright.functions.calendar import floor_hour, month_of
+from phasewright.functions.sketches import rank_error, rank_errors
 from phasewright.functions.stats import wmean as weighted
 from phasewright.operators import counts as C
 from phasewright.operators import detectors as K
 from phasewright.operators import measures as M
 from phasewright.operators import pedestrian as PB
 from phasewright.plans.daily import event_measures
+from phasewright.session import stage
 
 
 def _filtered(v):
@@ -105,6 +107,18 @@ def _(v):
     return M.throughput(C.counts(v.event_log(), v.det_config(), minutes=15))
 
 
+@query(
+    "m07_monthly_throughput_from_sketches", "SignalID, Period, n:bigint, within",
+    "SELECT SignalID, cast(date_trunc('month', Timeperiod) as date) AS Period, count(DISTINCT Timeperiod) AS n, true AS within FROM counts_15 GROUP BY ALL",
+)
+def _(v):
+    counted = stage(C.counts(v.event_log(), v.det_config(), minutes=15))
+    monthly = stage(M.throughput_from_sketches(stage(M.throughput_sketches(counted)), month_of("Date")))
+    exact = counted.groupBy("SignalID", "Timeperiod").agg((F.sum("vol") * 4.0).alias("vph")).withColumn("Period", month_of("Timeperiod"))
+    errors = rank_errors(exact, monthly.drop("n"), ["SignalID", "Period"], "vph", "vph", 0.95)
+    return monthly.select("SignalID", "Period", "n").join(errors.drop("n"), ["SignalID", "Period"]).withColumn("within", F.col("error") <= rank_error(200))
+
+
 # Arrivals on green ----------------------------------------------------------------------------
 
 

@@ -6,13 +6,15 @@ from checks.q_counts import LOW_HOURLY
 from checks.q_rollups import tuesday
 from checks.registry import query
 from checks.views_sql import delta, week, wmean, zone_union
+from phasewright.functions import calendar as X
+from phasewright.functions.sketches import rank_error, rank_errors
 from phasewright.functions.stats import sum0
 from phasewright.operators import alerts as W
 from phasewright.operators import counts as C
 from phasewright.operators import measures as M
 from phasewright.operators import travel as V
 from phasewright.plans import packages as P
-from phasewright.session import new_path
+from phasewright.session import new_path, stage
 from phasewright.sources.tables import read_table, write_days
 
 CP = "Zone_Group, Zone, Corridor"
@@ -247,3 +249,18 @@ def _(v):
     return W.filter_alerts(streaks(v), "2024-01-05", "2024-01-30", "Count", zone_group="GROUP_0", pattern="n", active_days=0)[0]
 
 
+
+
+@query(
+    "v03_indexes_from_sketches", f"{CP}, Hour, ~tti, n:bigint, within",
+    f"""SELECT {CP}, Hour, avg(tt) / nullif(avg(ref), 0) AS tti, count(*) AS n, true AS within FROM (SELECT {CP},
+      date_trunc('month', Hour) + to_hours(extract(hour from Hour)) AS Hour, tt, ref FROM (SELECT {CP}, Hour, sum(travel_time_minutes) AS tt, sum(reference_minutes) AS ref
+      FROM segment_readings GROUP BY ALL)) GROUP BY ALL""",
+)
+def _(v):
+    # Daily sketches merged by month; the planning time's percentile is held against the exact hours.
+    sketches = stage(V.travel_time_sketches(v.segment_readings(), GROUP))
+    monthly = stage(V.indexes_from_sketches(sketches, GROUP))
+    hours = V._corridor_hours(v.segment_readings(), GROUP).withColumn("Hour", X.onto_month_start("Hour"))
+    errors = rank_errors(hours, monthly, [*GROUP, "Hour"], "travel_time_minutes", "p90", 0.9)
+    return monthly.join(errors.drop("n"), [*GROUP, "Hour"]).withColumn("within", F.col("error") <= rank_error(200))

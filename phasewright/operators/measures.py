@@ -16,6 +16,7 @@ from phasewright.functions.calendar import (
     seconds_between,
     week,
 )
+from phasewright.functions.sketches import merged, quantile, seen, sketch
 from phasewright.functions.stats import sum0, wmean
 from phasewright.operators.carry import LAST, Mark, asof, carry
 from phasewright.operators.runs import complete_dates
@@ -104,6 +105,25 @@ def throughput(counts_15min: DataFrame) -> DataFrame:
     return _calendar(day.withColumn("CallPhase", F.lit(0)))
 
 
+def throughput_sketches(counts_15min: DataFrame) -> DataFrame:
+    """A sketch of each signal's quarter-hour volumes by day (M07 for periods longer than a day)."""
+    per = counts_15min.groupBy("SignalID", "Timeperiod").agg(F.sum("vol").cast("double").alias("vol"))
+    return per.groupBy("SignalID", F.to_date("Timeperiod").alias("Date")).agg(sketch("vol").alias("sketch"))
+
+
+def throughput_from_sketches(sketches: DataFrame, period: Column) -> DataFrame:
+    """95th percentile of the quarter-hours of a period as vehicles per hour, of stored sketches: ``SignalID``, ``Period``, ``vph``, ``n``."""
+    out = sketches.groupBy("SignalID", period.alias("Period")).agg(merged("sketch").alias("sketch"))
+    return out.select("SignalID", "Period", (quantile("sketch", 0.95) * 4).alias("vph"), seen("sketch").alias("n"))
+
+
+def actuation_sketches(detections: DataFrame, config: DataFrame) -> DataFrame:
+    """A sketch of the actuations of each spillback detector by day (M14 for periods longer than a cycle)."""
+    dc = config.select("SignalID", F.col("CallPhase").alias("Phase"), "Detector", *(["Date"] if "Date" in config.columns else [])).distinct()
+    rows = detections.join(dc, [c for c in dc.columns], "left_semi")
+    return rows.groupBy("SignalID", "Phase", "Detector", "Date").agg(sketch("DetDuration").alias("sketch"))
+
+
 def ped_count_repair(papd: DataFrame, bad: DataFrame) -> DataFrame:
     """Counts of bad days replaced by the month's mean of the input's good days."""
     keys = ["SignalID", "Detector", "CallPhase"]

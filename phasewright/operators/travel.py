@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from phasewright.functions.calendar import month_of, onto_date, onto_month_start, tuesday_of_week, week
+from phasewright.functions.calendar import midnight, month_of, onto_date, onto_month_start, tuesday_of_week, week
+from phasewright.functions.sketches import merged, quantile, sketch
 from phasewright.operators.rollups import CORRIDOR, corridor_by_date, corridor_by_hour, corridor_by_month
 
 
@@ -36,6 +37,25 @@ def travel_time_metrics(df: DataFrame, grouping: list[str]) -> DataFrame:
     return out.withColumn("bi", F.col("pti") - F.col("tti"))
 
 
+def travel_time_sketches(df: DataFrame, grouping: list[str]) -> DataFrame:
+    """Travel times of a corridor by day and hour of day: a sketch, and what the means need (V03 for any set of days)."""
+    hours = _corridor_hours(df, grouping)
+    return hours.groupBy(*grouping, F.to_date("Hour").alias("Date"), F.hour("Hour").alias("hr")).agg(
+        sketch(F.col("travel_time_minutes").cast("double")).alias("sketch"), F.sum("travel_time_minutes").alias("minutes"),
+        F.sum("reference_minutes").alias("reference"), F.count(F.lit(1)).alias("n"))
+
+
+def indexes_from_sketches(sketches: DataFrame, grouping: list[str]) -> DataFrame:
+    """Travel time, planning time and buffer index by corridor and month-hour from stored sketches; ``p90`` is the sketch's."""
+    hour = midnight(month_of("Date")) + F.make_dt_interval(F.lit(0), F.col("hr"))
+    out = sketches.groupBy(*grouping, hour.alias("Hour")).agg(
+        merged("sketch").alias("sketch"), F.sum("minutes").alias("_tt"), F.sum("reference").alias("_ref"), F.sum("n").alias("n"))
+    out = out.withColumn("p90", quantile("sketch", 0.9))
+    return out.select(
+        *grouping, "Hour", F.try_divide("_tt", "_ref").alias("tti"), F.try_divide(F.col("p90") * F.col("n"), "_ref").alias("pti"), "p90", "n"
+    ).withColumn("bi", F.col("pti") - F.col("tti"))
+
+
 def travel_time_package(df: DataFrame, grouping: list[str], period: str = "monthly") -> DataFrame:
     """Indexes, travel time and speed by corridor on the hours of a month or of a week's Tuesday."""
     hours = _corridor_hours(df, grouping)
