@@ -128,28 +128,26 @@ def adjust_counts(
 ) -> DataFrame:
     """Impute missing volumes from sibling detectors, then from the month's median.
 
-    Shares per detector are an aggregate the size of the detector list; the windows run
-    within one phase and period, or one detector, weekday and hour of a month.
+    Rows are dealt by signal, phase and month once. Everything is a window inside such a month, the shares of
+    its detectors among them, so no other exchange follows; a month of one phase is what its detectors count.
     """
-    phase_period = Window.partitionBy("SignalID", "CallPhase", "Timeperiod")
-    month = F.trunc("Timeperiod", "month")
+    dealt = ["SignalID", "CallPhase", "_month"]
+    month, by_detector = Window.partitionBy(*dealt), Window.partitionBy(*dealt, "Detector")
+    phase_period = Window.partitionBy(*dealt, "Timeperiod")
     fc = filtered.select(
         "SignalID", "CallPhase", "Detector", "Timeperiod", "Month_Hour", F.col("vol").cast("double").alias("vol"),
-        F.dayofweek("Timeperiod").alias("DOW"), month.alias("_month"),
-        (F.count_if(F.col("vol").isNull()).over(phase_period) == 0).alias("_whole"),
-    )
-    per_detector = fc.where("_whole").groupBy("SignalID", "CallPhase", "_month", "Detector").agg(F.sum("vol").alias("_v"))
-    share = per_detector.select(
-        "SignalID", "CallPhase", "_month", "Detector",
-        F.try_divide("_v", F.sum("_v").over(Window.partitionBy("SignalID", "CallPhase", "_month"))).alias("_share"),
-    )
-    rows = fc.join(share, ["SignalID", "CallPhase", "_month", "Detector"], "left")
+        F.dayofweek("Timeperiod").alias("DOW"), F.trunc("Timeperiod", "month").alias("_month"),
+    ).repartition(*dealt)
+    # shares come from the periods in which no detector of the phase is missing
+    fc = fc.withColumn("_v", F.when(F.count_if(F.col("vol").isNull()).over(phase_period) == 0, F.col("vol")))
+    share = F.try_divide(F.sum("_v").over(by_detector), F.sum("_v").over(month))
+    rows = fc.withColumn("_share", share)
     unbounded = F.bool_or((F.col("_share") == 0) & (F.col("vol") > 0)).over(phase_period)
     implied = F.avg(F.try_divide("vol", "_share")).over(phase_period)
     rows = rows.select("*", F.when(F.coalesce(unbounded, F.lit(False)), None).otherwise(implied).alias("_phase_vol"))
     sibling = F.when(F.col("_phase_vol") <= max_imputed, F.floor(F.col("_phase_vol") * F.col("_share")).cast("double"))
     rows = rows.withColumn("vol", F.coalesce(F.col("vol"), sibling))
-    usual = F.median("vol").over(Window.partitionBy("SignalID", "CallPhase", "Detector", "DOW", "Month_Hour"))
+    usual = F.median("vol").over(Window.partitionBy(*dealt, "Detector", "DOW", "Month_Hour"))
     out = rows.withColumn("_usual", usual).select(
         "SignalID", "CallPhase", "Detector", "Timeperiod", F.floor(F.coalesce("vol", "_usual")).cast("int").alias("vol")
     ).where("vol is not null")

@@ -86,3 +86,14 @@ def test_fifteen_minute_periods(log, spark):
     assert rows(out, "Timeperiod", "Detector", "CallPhase", "vol") == [
         (at("8:00"), 1, 2, 1), (at("8:15"), 1, 2, 2), (at("8:15"), 8, None, 1),
     ]
+
+
+def test_imputation_deals_its_rows_once(spark):
+    data = [("1", 2, i % 2 + 1, at(f"{i // 2}:00"), float(i)) for i in range(40)]
+    periods = spark.createDataFrame(data, "SignalID string, CallPhase int, Detector int, Timeperiod timestamp_ntz, vol double")
+    filtered = periods.withColumn("Month_Hour", F.col("Timeperiod"))
+    out = C.adjust_counts(filtered.withColumn("vol", F.when(F.col("vol") % 7 > 0, F.col("vol"))))
+    assert out.count() == 40
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
