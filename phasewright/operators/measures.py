@@ -244,7 +244,8 @@ def occupancy(
     added = ("_n", "_nt", "_on", "_off")
     bins = rows.groupBy(*place).agg(*[F.sum(c).alias(c) for c in added])
     bins = bins.select(*place, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in added])
-    met = local.join(bins, place)
+    # by cycle once: intervals, detectors and cycles are aggregated where the rows then are
+    met = local.join(bins, place).repartition(*keys, *by)
     covered = F.col("_t") * (F.col("_count") + F.col("_n0")) - (F.col("_total") + F.col("_nt0"))
     spans_met = F.col("_seen") + F.when(F.col("_sign") == 1, F.col("_on0")).otherwise(-F.col("_off0"))
     per_interval = met.groupBy(*keys, *by, "_det", "_span", "_start").agg(
