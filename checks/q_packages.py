@@ -1,5 +1,7 @@
 """Packages: the rollups each measure gets."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.q_measures import _PED, _PED_UP, TINT_SQL, _papd, _paph
@@ -16,8 +18,9 @@ from phasewright.operators import detectors as K
 from phasewright.operators import measures as M
 from phasewright.operators import rollups as A
 from phasewright.plans import packages as P
-from phasewright.schemas import METRICS
-from phasewright.session import stage
+from phasewright.schemas import METRICS, Target
+from phasewright.session import new_path, stage
+from phasewright.sources.publishing import publish
 
 
 def sub(sql: str) -> str:
@@ -401,7 +404,35 @@ def _(v):
 
 
 
-_SUB_GROUP = "Zone_Group, Zone, Corridor, Subcorridor"
+def _published_twice(v, first, again, start: str, **window):
+    """A frame of all levels published, then its window again."""
+    name = f"levels_{uuid.uuid4().hex}"
+    v.spark.sql(f"CREATE DATABASE {name} LOCATION '{new_path(v.spark, 'levels')}'")
+    target = Target("at", variable="value")
+    publish(v.spark, first, f"{name}.levels", target)
+    publish(v.spark, again, f"{name}.levels", target, start=start, **window)
+    return v.spark.table(f"{name}.levels")
+
+
+def _from(start: str, sql: str, where: str = "true") -> str:
+    return f"""SELECT * REPLACE (CASE WHEN "at" >= timestamp '{start}' THEN value * 2 ELSE value END AS value) FROM ({sql}) WHERE {where}"""
+
+
+@query("s25_publish_hourly_levels", LEVEL_COLS, _from("2024-01-20", _hour_levels("Hour", "hourly")))
+def _(v):
+    # All 21 hourly tables as one published table; the window begins inside its month.
+    levels = stage(_package(v, "Hour", P.hourly_levels))
+    return _published_twice(v, levels, levels.withColumn("value", F.col("value") * 2), "2024-01-20")
+
+
+_ALL_A28 = " UNION ALL ".join(_level_sql(f"({sql})", at, "value", "weight", "m", label=per, named=True) for per, (sql, at) in _A28.items())
+
+
+@query("s25_publish_measure_levels", LEVEL_COLS, _from("1999-01-01", _ALL_A28, "\"at\" >= timestamp '1996-01-01' AND \"at\" < timestamp '2000-07-01'"))
+def _(v):
+    levels = stage(P.measure_levels(METRIC, _daily_value(v), v.corridors())[0])
+    again = levels.where("at >= timestamp_ntz'1999-01-01'").withColumn("value", F.col("value") * 2)
+    return _published_twice(v, levels, again, "1999-01-01", report_start="1996-01-01", report_end="2000-06-01")
 
 
 def _sub_sql(sql: str) -> str:
