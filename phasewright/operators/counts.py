@@ -77,17 +77,16 @@ def _detector_grid(counted: DataFrame, config: DataFrame, minutes: int, days: Da
 def filter_counts(counted: DataFrame, config: DataFrame, limits: CountLimits = HOURLY, *, days: DataFrame | None = None) -> DataFrame:
     """Null the volumes of detector-days that are flat, too high or too jumpy.
 
-    Window partitions are one detector-day, at most 96 rows. ``days`` (distinct ``Date``) saves a
+    Window partitions are one detector-day, at most 96 rows; a period counted twice for the same
+    detector and phase is one row with the greater volume. ``days`` (distinct ``Date``) saves a
     caller that knows them a second reading of the counts.
     """
-    on = ["SignalID", "Timeperiod", "Detector", "CallPhase"]
-    known = counted.where("CallPhase is not null")
-    rows = (
-        _detector_grid(known, config, limits.minutes, days).join(known, on, "full_outer")
-        .withColumn("vol", F.coalesce(F.col("vol").cast("double"), F.lit(0.0)))
-        .withColumn("Date", F.to_date("Timeperiod"))
-    )
     key = ["SignalID", "Date", "CallPhase", "Detector"]
+    known = counted.where("CallPhase is not null").select("SignalID", "Timeperiod", "Detector", "CallPhase", F.col("vol").cast("double").alias("vol"))
+    rows = _detector_grid(known, config, limits.minutes, days).unionByName(known, allowMissingColumns=True)
+    # dealt by detector-day once: the periods are put together and all windows run where the rows then are
+    rows = rows.withColumn("Date", F.to_date("Timeperiod")).repartition(*key).groupBy(*key, "Timeperiod").agg(
+        F.coalesce(F.max("vol"), F.lit(0.0)).alias("vol"), F.max("Mainline").alias("Mainline"))
     ordered, whole = Window.partitionBy(*key).orderBy("Timeperiod"), Window.partitionBy(*key)
     early = F.hour("Timeperiod") < 5
     rows = rows.withColumn("delta_vol", F.col("vol") - F.lag("vol").over(ordered))

@@ -97,3 +97,13 @@ def test_imputation_deals_its_rows_once(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
+def test_filtering_deals_its_rows_once(spark):
+    counted = spark.createDataFrame([("1", at(f"{h}:00"), 1, 2, h) for h in range(24)] + [("1", at("5:00"), 1, 2, 3)], "SignalID string, Timeperiod timestamp_ntz, Detector int, CallPhase int, vol int")
+    config = spark.createDataFrame([("1", 1, 2, "Mainline"), ("1", 2, 4, "Side")], "SignalID string, Detector int, CallPhase int, ApproachDesc string")
+    out = C.filter_counts(counted, config, days=spark.sql("SELECT date'2024-01-02' AS Date"))
+    assert {(r["Detector"], r["n"], r["v"]) for r in out.groupBy("Detector").agg(F.count("*").alias("n"), F.sum("delta_vol").alias("v")).collect()} == {(1, 24, 23.0), (2, 24, 0.0)}
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange hashpartitioning(SignalID") == 2  # the configuration's distinct rows and this
