@@ -36,7 +36,8 @@ class DiskQueue:
     def push(self, symbol: np.ndarray, rank: np.ndarray, position: np.ndarray) -> None:
         if len(symbol) == 0:
             return
-        order = np.argsort(symbol, kind="stable")
+        # small numbers are sorted by counting
+        order = np.argsort(symbol.astype(np.uint16) if symbol.max() < 1 << 16 else symbol, kind="stable")
         symbol, rows = symbol[order], np.stack([rank[order], position[order]])
         first = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
         for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(symbol)], strict=True):
@@ -166,18 +167,26 @@ def _names(text: np.ndarray, starts: np.ndarray, separators: bool) -> np.ndarray
 
 
 def _by_doubling(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names: sorted by 1, 2, 4, ... names until all differ."""
-    n, rank, width = len(names), names.astype(np.int64), 1
-    while True:
-        key = rank * (n + 1)
-        key[: max(0, n - width)] += rank[width:] + 1
+    """Order of the suffixes of a string of names: by 1, 2, 4, ... names, each time those that still share a rank.
+
+    A rank is the number of suffixes in smaller groups, so a group is refined without touching others.
+    """
+    n = len(names)
+    live = np.argsort(names, kind="stable")
+    rank, key, width = np.zeros(n, np.int64), names[live], 1
+    while len(live):
+        old, at = rank[live], np.arange(len(live))
+        new = np.append(True, key[1:] != key[:-1])
+        group = np.append(True, old[1:] != old[:-1])
+        rank[live] = old + np.maximum.accumulate(np.where(new, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        live = live[~(new & np.append(new[1:], True))]
+        after = live + width
+        key = rank[live] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
         order = np.argsort(key, kind="stable")
-        new = np.append(True, key[order][1:] != key[order][:-1])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
-        if new.all() or width >= n:
-            return order
-        width *= 2
+        live, key, width = live[order], key[order], width * 2
+    out = np.empty(n, np.int64)
+    out[rank] = np.arange(n)
+    return out
 
 
 def _sorted_starts(text: np.ndarray, starts: np.ndarray, separators: bool, folder: str, memory_rows: int) -> np.ndarray:
