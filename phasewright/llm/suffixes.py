@@ -24,7 +24,7 @@ from phasewright.llm.text import id_key, id_of, whole
 from phasewright.session import stage
 
 GRAM = 32  # bytes of an anchor
-BUFFER = 1 << 20  # bytes hashed at once
+BUFFER = 1 << 19  # bytes hashed at once
 SHARD = 1 << 20  # bytes sorted at once; an anchor is never split
 QUEUE = 100_000  # tuples of a sort that wait in memory, a fraction of a shard's; the others wait on disk
 SINGLE = 50_000  # windows of hot anchors sent on at once
