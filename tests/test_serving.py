@@ -218,3 +218,23 @@ def test_key_value_is_one_row(spark):
     assert [r["key"] for r in stored.collect()] == ["k"] and S.key_value("k", df.limit(0)).count() == 1
     back = stored.select(F.explode(F.from_json("data", "array<struct<id: bigint, n: bigint>>")).alias("r")).select("r.*")
     assert rows(back) == rows(df)
+
+
+def test_key_value_joins_its_ranges_in_order(spark):
+    df = spark.createDataFrame([(3, "c"), (None, None), (1, 'a,"]['), (2, None), (1, "b"), (3, "c")], "id int, n string")
+    whole = '[{},{"id":1,"n":"a,\\"]["},{"id":1,"n":"b"},{"id":2},{"id":3,"n":"c"},{"id":3,"n":"c"}]'
+    for merged in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+        try:
+            assert [tuple(r) for r in S.key_value("k", df).collect()] == [("k", whole)]
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [tuple(r) for r in S.key_value("k", df.limit(0)).collect()] == [("k", "[]")]
+
+
+def test_the_stored_suppliers_are_one_value(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    wanted = [("suppliers", 1, k, n) for k, n in ((1, "a"), (2, None), (2, None), (3, "c"))]
+    spark.createDataFrame([r[2:] for r in wanted], "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    assert rows(entry.queries()["s27_key_value"](spark, str(tmp_path))) == rows(spark.createDataFrame(wanted, "key string, parts long, s_suppkey long, s_name string"))
