@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,10 +141,35 @@ def wide_states() -> list[Carried]:
 
 
 _PLACE = ["SignalID", "Date", "_bin"]
+# About as many rows as one bin and one task hold; bins get narrower and tasks more as the events of a day get denser.
+BIN_ROWS, TASK_ROWS = 10_000, 60_000
+
+
+def _bin_at(seconds: int) -> Column:
+    return F.floor((micros("Timestamp") - micros(midnight("Date"))) / (seconds * 1_000_000)).cast("int")
+
+
+def _dealing(rows: DataFrame, widest: int) -> tuple[int, int]:
+    """Seconds of a bin, so that the fullest holds at most ``BIN_ROWS`` (one second at the least), and the number of tasks.
+
+    Two numbers are read for each width tried, mostly one or two widths.
+    """
+    width, placed = widest, rows.where("SignalID is not null and Timestamp is not null")
+    while True:
+        bins = placed.groupBy("SignalID", "Date", _bin_at(width).alias("_bin")).count()
+        fullest, total = (n or 0 for n in bins.agg(F.max("count"), F.sum("count")).first())
+        if fullest <= BIN_ROWS or width <= 1:
+            return width, max(ceil(total / TASK_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+        width = max(1, int(width // ceil(fullest / BIN_ROWS)))
+
+
+def _shifted() -> Column:
+    """Rows that their detector's distance has put into the day after their own."""
+    return F.col("_own") < F.col("Date")
 
 
 def _stamp(state: State, group: str | None) -> Column:
-    """What a state takes at its own events, as a struct so that its end is a value too; null elsewhere."""
+    """What a state takes at its own events; null elsewhere. Of a state with an end it is a struct, so that the end is a value too."""
     hit = F.col("EventCode").isin(*state.codes)
     if state.when is not None:
         hit = hit & state.when
@@ -151,42 +177,55 @@ def _stamp(state: State, group: str | None) -> Column:
     if state.spread is not None:
         instant = [*_PLACE, "Timestamp", *([group] if group and state.spread == "group" else [])]
         value = F.max(value).over(Window.partitionBy(*instant))
-    out = F.when(value.isNotNull(), F.struct(value.alias("v")))
+    out = value
     if state.off is not None:
+        out = F.when(value.isNotNull(), F.struct(value.alias("v")))
         out = F.when(F.col("EventCode") == state.off, F.struct(F.when(F.lit(False), state.value).alias("v"))).otherwise(out)
     return F.when(F.col(group).isNotNull(), out) if group else out
 
 
-def _fill_bins(rows: DataFrame, states: list[Carried]) -> DataFrame:
-    """Every state inside each bin of a signal. All windows partition by signal, day and bin or finer, so one exchange serves them."""
-    placed = rows.repartition(*_PLACE)
+def _fill_bins(rows: DataFrame, states: list[Carried], tasks: int | None = None) -> DataFrame:
+    """Every state inside each bin of a signal. All windows partition by signal, day and bin or finer, so one exchange serves them.
+
+    ``_edge_`` marks the last row of a bin and key (going up: the first), which holds what the bin passes on. The windows of
+    a task keep its rows several times over: given ``tasks``, the rows are dealt to as many, whatever the session would merge.
+    """
+    placed = rows.repartition(*_PLACE) if tasks is None else rows.repartition(tasks, *_PLACE)
     placed = placed.select("*", *[_stamp(s, c.group).alias(f"_s_{s.name}") for c in states for s in (*c.down, *c.up)])
     order = ["Timestamp", "EventCode", "EventParam"]
     for c in states:
         part = Window.partitionBy(*_PLACE, *([c.group] if c.group else []))
+        edge = F.lit(False)
         for held, window in ((c.down, part.orderBy(*order)), (c.up, part.orderBy(*[F.desc(o) for o in order]))):
-            until = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            placed = placed.withColumns({f"_f_{s.name}": F.last(f"_s_{s.name}", ignorenulls=True).over(until) for s in held})
+            if held:
+                until, name = window.rangeBetween(Window.unboundedPreceding, Window.currentRow), f"_last_{held[0].name}"
+                filled = {f"_f_{s.name}": F.last(f"_s_{s.name}", ignorenulls=True).over(until) for s in held}
+                placed = placed.withColumns({**filled, name: F.lead(F.lit(1)).over(window).isNull()})
+                edge = edge | F.col(name)
+        placed = placed.withColumn(f"_edge_{c.group or 'signal'}", edge).drop(*[f"_last_{held[0].name}" for held in (c.down, c.up) if held])
     return placed.drop(*[f"_s_{s.name}" for c in states for s in (*c.down, *c.up)])
 
 
 def _carry_in(filled: DataFrame, c: Carried, days_before: int | None) -> DataFrame:
-    """Per signal, day, bin and key of ``c``: the states that reach the bin from others, each as a struct ``s`` or null.
+    """Per signal, day, bin and key of ``c``: the states that reach the bin from others.
 
     One row for each bin in which the key has rows: what the bin begins and ends with, and
-    from there the nearest states before and after. A state lasts into later days until
+    from there the nearest states before and after. Only the rows at a bin's edges and those
+    shifted past midnight are aggregated. A state lasts into later days until
     ``days_before`` of them have begun (None: for ever). Going up, a marker is found on its own
     day, or just after midnight if its detector's distance has shifted it there.
     """
     group = [c.group] if c.group else []
     order = F.struct("Timestamp", "EventCode", "EventParam")
-    shifted = F.col("_own") < F.col("Date")
     late = [s for s in c.up if s.spread is None]
-    ends = (filled.where(F.col(c.group).isNotNull()) if c.group else filled).groupBy(*_PLACE, *group).agg(
-        F.max(~shifted).alias("_own_day"),
+    told = F.col(f"_edge_{c.group or 'signal'}")
+    for s in late:
+        told = told | (F.col("EventCode").isin(*s.codes) & _shifted())
+    told = filled.where(told & F.col(c.group).isNotNull() if c.group else told)
+    ends = told.groupBy(*_PLACE, *group).agg(
         *[F.max_by(f"_f_{s.name}", order).alias(f"_e_{s.name}") for s in c.down],
         *[F.min_by(f"_f_{s.name}", order).alias(f"_e_{s.name}") for s in c.up],
-        *[F.min(F.when(F.col("EventCode").isin(*s.codes) & shifted, F.struct(s.value.alias("v")))).alias(f"_late_{s.name}") for s in late],
+        *[F.min(F.when(F.col("EventCode").isin(*s.codes) & _shifted(), s.value)).alias(f"_late_{s.name}") for s in late],
     )
     key = Window.partitionBy("SignalID", *group)
     bins = Window.unboundedPreceding, -1
@@ -198,7 +237,7 @@ def _carry_in(filled: DataFrame, c: Carried, days_before: int | None) -> DataFra
         return F.last(F.when(value.isNotNull(), F.struct(value.alias("s"), F.col("Date").alias("day"))), ignorenulls=True).over(window)
 
     found = ends.select(
-        *_PLACE, *group, F.max("_own_day").over(Window.partitionBy("SignalID", "Date")).alias("_own_day"),
+        *_PLACE, *group,
         *[nearest(f"_e_{s.name}", earlier).alias(f"_n_{s.name}") for s in c.down],
         *[nearest(f"_e_{s.name}", later).alias(f"_n_{s.name}") for s in c.up],
         *[nearest(f"_late_{s.name}", later).alias(f"_l_{s.name}") for s in late])
@@ -214,11 +253,11 @@ def _carry_in(filled: DataFrame, c: Carried, days_before: int | None) -> DataFra
         own = on_days(f"_n_{s.name}", today, today)
         tomorrow = F.date_add(today, 1)
         up.append((F.coalesce(own, on_days(f"_l_{s.name}", tomorrow, tomorrow)) if s in late else own).alias(s.name))
-    return found.select(*_PLACE, *group, "_own_day", F.struct(*down, *up).alias("_in"))
+    return found.select(*_PLACE, *group, F.struct(*down, *up).alias("_in"))
 
 
 def _carried_states(filled: DataFrame, states: list[Carried], days_before: int | None) -> DataFrame:
-    """One row per signal, day and bin: ``_own_day``, the signal's states, and a map of states for each other key."""
+    """One row per signal, day and bin: the signal's states, and a map of states for each other key. Days with shifted rows alone have none."""
     out = None
     for c in states:
         part = _carry_in(filled, c, days_before)
@@ -228,7 +267,8 @@ def _carried_states(filled: DataFrame, states: list[Carried], days_before: int |
             held = F.map_from_entries(F.collect_list(F.struct(c.group, "_in")))
             part = part.groupBy(*_PLACE).agg(held.alias(f"_in_{c.group}"))
         out = part if out is None else out.join(part, _PLACE, "left")
-    return out
+    own_days = filled.where(~_shifted()).select("SignalID", "Date").distinct()
+    return out.join(own_days, ["SignalID", "Date"], "left_semi")
 
 
 def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600, days_before: int | None = 1) -> DataFrame:
@@ -240,6 +280,10 @@ def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600, days
     (None: without end). A bin's states of all phases, detectors and inputs sit in one row of
     maps, so rows with and without such a key meet it in one join.
 
+    Bins are ``bin_seconds`` wide, or narrower where a signal's events are dense, and dealt to tasks
+    by the number of rows, so what one task holds does not grow with the log. Events of one signal
+    and second stay together.
+
     An event belongs to the day of its shifted time. ``config`` is the detector list by
     date: SignalID, Detector, CallPhase, TimeFromStopBar, Date. A day on which a signal has
     only events shifted over from the day before is not produced.
@@ -254,8 +298,9 @@ def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600, days
     )
     rows = rows.join(dc, ["SignalID", "EventParam", "_own", "_det"], "left").drop("_det")
     rows = rows.withColumn("Timestamp", plus_seconds("Timestamp", F.coalesce("_shift", F.lit(0.0)))).drop("_shift")
-    rows = rows.withColumn("Date", F.to_date("Timestamp"))
-    rows = rows.withColumn("_bin", F.floor((micros("Timestamp") - micros(midnight("Date"))) / (bin_seconds * 1_000_000)).cast("int"))
+    rows = stage(rows.withColumn("Date", F.to_date("Timestamp")), "shifted-events")
+    width, tasks = _dealing(rows, bin_seconds)
+    rows = rows.withColumn("_bin", _bin_at(width))
     rows = rows.withColumn("Detector", F.when(is_det, param)).withColumn("Phase", F.when(is_det, F.col("_phase"))).drop("_phase")
     rows = derive_on_codes(rows, PROGRAMMED_SPLIT, code, "Phase", lambda c: c - (PROGRAMMED_SPLIT[0] - 1))
     rows = derive_on_codes(rows, RECORDED_SPLIT, code, "Phase", lambda c: c - (RECORDED_SPLIT[0] - 1))
@@ -265,11 +310,13 @@ def widen(events: DataFrame, config: DataFrame, *, bin_seconds: int = 3600, days
     rows = derive_on_codes(rows, TERMINATIONS, code, "TermType")
 
     states = wide_states()
-    filled = stage(_fill_bins(rows, states), "filled-bins")
-    wide = filled.join(_carried_states(filled, states, days_before), _PLACE).where("_own_day")
+    filled = stage(_fill_bins(rows, states, tasks), "filled-bins")
+    # The small side is hashed, so the wide rows need no sort.
+    wide = filled.join(_carried_states(filled, states, days_before).hint("shuffle_hash"), _PLACE)
     for c in states:
         carried = F.col("_in_signal") if c.group is None else F.try_element_at(f"_in_{c.group}", c.group)
-        wide = wide.withColumns({s.name: F.coalesce(F.col(f"_f_{s.name}"), carried.getField(s.name)).getField("v") for s in (*c.down, *c.up)})
+        known = [(s, F.coalesce(F.col(f"_f_{s.name}"), carried.getField(s.name))) for s in (*c.down, *c.up)]
+        wide = wide.withColumns({s.name: v if s.off is None else v.getField("v") for s, v in known})
     wide = wide.where(~code.isin(DETECTOR_OFF, PED_OFF))
     det_off, ped_off = F.when(code == DETECTOR_ON, F.col("DetectorOff")), F.when(code == PED_ON, F.col("PedInputOff"))
     return wide.select(

@@ -63,3 +63,22 @@ def test_rows_without_a_key_and_many_states_at_once(log, config):
     assert got[1, 4]["PhaseStart"] == start and got[502, 1]["PhaseStart"] is None  # an instant's start is known to all phases there
     assert got[8, 2]["RecordedSplit"] is None and got[300, 9]["Phase"] == 1 and got[300, 9]["RecordedSplit"] == 9
     assert got[8, 2]["PedWait"] == 4 and got[612, 4]["PedWait"] == 4
+
+
+def test_dense_hours_are_cut_and_dealt_by_rows(log, config, monkeypatch):
+    code = lambda n: (82, 81, 1, 8, 0, 31, 84, 83)[n % 8]
+    events = log(*[("1", f"8:{n // 60}:{n % 60}", code(n), n % 2 + 1) for n in range(1200)], ("1", "7:00", 131, 4), ("1", "9:30", 1, 2))
+    want, staged, stage = rows(W.widen(events, config)), {}, W.stage
+    monkeypatch.setattr(W, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(W, "BIN_ROWS", 40, raising=False)
+    monkeypatch.setattr(W, "TASK_ROWS", 100, raising=False)
+    assert rows(W.widen(events, config)) == want
+    filled = staged["filled-bins"]
+    assert filled.groupBy("_bin").count().agg(F.max("count")).first()[0] <= 40
+    assert filled.select(F.input_file_name()).distinct().count() > 6  # bins of one hour lie in many tasks
+
+
+def test_bins_are_a_second_at_the_least(log, monkeypatch):
+    monkeypatch.setattr(W, "BIN_ROWS", 3)
+    burst = log(*[("1", "8:00:01", 82, n) for n in range(30)], ("1", "8:00:02", 82, 1))
+    assert W._dealing(burst, 3600)[0] == 1 and W._dealing(burst.limit(3), 3600)[0] == 3600 and W._dealing(burst.limit(0), 60)[0] == 60
