@@ -82,3 +82,16 @@ def test_bins_are_a_second_at_the_least(log, monkeypatch):
     monkeypatch.setattr(W, "BIN_ROWS", 3)
     burst = log(*[("1", "8:00:01", 82, n) for n in range(30)], ("1", "8:00:02", 82, 1))
     assert W._dealing(burst, 3600)[0] == 1 and W._dealing(burst.limit(3), 3600)[0] == 3600 and W._dealing(burst.limit(0), 60)[0] == 60
+
+
+@pytest.mark.parametrize("measure", [W.arrivals_by_interval, W.wide_counts])
+def test_measures_of_dense_hours_hold_few_rows_in_a_task(log, config, monkeypatch, measure):
+    cycle = ((0, 2), (1, 2), (82, 1), (81, 1), (8, 2), (82, 1), (81, 1), (10, 2), (82, 1), (81, 1))
+    events = log(*[("1", f"8:{n // 20}:{n % 20}", *cycle[n % 10]) for n in range(400)])
+    want, staged, stage = rows(measure(W.widen(events, config))), {}, W.stage
+    monkeypatch.setattr(W, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(W, "BIN_ROWS", 20, raising=False)
+    monkeypatch.setattr(W, "TASK_ROWS", 40, raising=False)
+    assert want and rows(measure(W.widen(events, config))) == want
+    per_task = staged["filled-bins"].groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert per_task <= 200
